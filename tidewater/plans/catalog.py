@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.plans import queries_core, queries_io  # noqa: F401  (registers)
+from tidewater.plans import queries_core, queries_io, queries_ml  # noqa: F401  (registers)
 from tidewater.plans.registry import ORACLES, QUERIES
 
 
