@@ -107,11 +107,29 @@ def category_group(c: ColumnOrName, keep: Sequence[str], groups: dict[str, Seque
     return expr.otherwise(F.lit(other))
 
 
+_UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "ETC/GMT", "Z", "+00:00", "UCT", "ZULU"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    tz = spark.conf.get("spark.sql.session.timeZone", "UTC") if spark else "UTC"
+    return tz.upper() in _UTC_NAMES
+
+
 def ntz_to_instant(ts: ColumnOrName) -> Column:
-    """timestamp_ntz wall clock (read as UTC) -> timestamp, in any session zone."""
+    """timestamp_ntz wall clock (read as UTC) -> timestamp, in any session zone.
+
+    In a UTC session this is a plain cast; otherwise the wall clock is moved
+    from UTC to the session zone first, so the instant is the same.
+    """
+    if _session_is_utc():
+        return _c(ts).cast("timestamp")
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(ts)).cast("timestamp")
 
 
 def instant_to_ntz(ts: ColumnOrName) -> Column:
     """Inverse of :func:`ntz_to_instant`: timestamp -> its UTC wall clock as NTZ."""
+    if _session_is_utc():
+        return _c(ts).cast("timestamp_ntz")
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _UNITS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
           "hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
@@ -58,17 +59,39 @@ def sliding_sum(df: DataFrame, ts: str, keys, duration: str, slide: str,
                 value: Column | None, name: str) -> DataFrame:
     """Sliding-window sum (``value=None``: row count) with pre-aggregation.
 
-    Batch only: streaming engines do not chain two aggregations in update
-    mode, so streams use :func:`window_agg` directly.
+    1. each row -> the start of its slide-width bucket (integer micros,
+       ``m - pmod(m, S)``), partial sums per (bucket, keys) -- one shuffle of
+       at most one row per bucket and key per task;
+    2. each bucket row -> the D/S window starts that contain it
+       (``explode(sequence(b - (D/S - 1)·S, b, S))``), summed per window.
+
+    Windows are aligned to the epoch exactly as ``window(ts, D, S)`` aligns
+    them, and the result equals it.  Batch only: streams use
+    :func:`window_agg` (streaming does not chain two aggregations in update
+    mode).  Falls back to :func:`window_agg` when S does not divide D.
     """
+    from tidewater.functions.columns import instant_to_ntz, ntz_to_instant
     d, s = duration_micros(duration), duration_micros(slide)
     measure = F.lit(1) if value is None else value
     if d is None or s is None or s <= 0 or d % s != 0:
         return window_agg(df, ts, keys, duration, slide, {name: F.sum(measure)})
     ks = _keys(keys)
-    pre = (df.groupBy(F.window(ts, slide).start.alias("_bucket"), *ks)
-           .agg(F.sum(measure).alias("_part")))
-    return window_agg(pre, "_bucket", ks, duration, slide, {name: F.sum("_part")})
+    is_ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    instant = ntz_to_instant(ts) if is_ntz else F.col(ts).cast("timestamp")
+    micros = F.unix_micros(instant)
+    bucket = (micros - F.pmod(micros, F.lit(s))).alias("_bucket")
+    pre = df.groupBy(bucket, *ks).agg(F.sum(measure).alias("_part"))
+    n = d // s
+    starts = F.sequence(F.col("_bucket") - F.lit((n - 1) * s), F.col("_bucket"), F.lit(s))
+    per_window = (pre.select(F.explode(starts).alias("_start"), *ks, "_part")
+                  .groupBy("_start", *ks).agg(F.sum("_part").alias(name)))
+
+    def as_ts(c):
+        t = F.timestamp_micros(c)
+        return instant_to_ntz(t) if is_ntz else t
+
+    return per_window.select(as_ts(F.col("_start")).alias("window_start"),
+                             as_ts(F.col("_start") + F.lit(d)).alias("window_end"), *ks, name)
 
 
 def top_k_per_window(df: DataFrame, ts: str, duration: str, key: str, value: Column,
