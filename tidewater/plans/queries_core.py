@@ -20,7 +20,7 @@ from tidewater.operators.stats import correlations
 from tidewater.operators.text import STOP_WORDS, remove_stop_words, tokenize, word_counts
 from tidewater.operators.windows import sliding_sum, top_k_per_window, window_agg
 from tidewater.plans import jobs
-from tidewater.plans.registry import register
+from tidewater.plans.registry import half_up, register
 from tidewater.sources.tables import Tables
 
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August",
@@ -40,24 +40,27 @@ def _month_pivot_sql() -> str:
 
 def _event_pivot_sql() -> str:
     return ",\n  ".join(
-        f"round(sum(value) filter (where event_type = '{e}'), 4) as \"{e}\"" for e in EVENT_TYPES)
+        half_up(f"sum(value) filter (where event_type = '{e}')", 4) + f' as "{e}"'
+        for e in EVENT_TYPES)
 
 
 def _status_pivot_sql() -> str:
     out = []
     for s in ("F", "O", "P"):
-        out.append(f"round(avg(o_totalprice) filter (where o_orderstatus = '{s}'), 2) as \"{s}_avg\"")
-        out.append(f"round(stddev_samp(o_totalprice) filter (where o_orderstatus = '{s}'), 2) "
-                   f"as \"{s}_std_dev\"")
+        out.append(half_up(f"avg(o_totalprice) filter (where o_orderstatus = '{s}')", 2)
+                   + f' as "{s}_avg"')
+        out.append(half_up(f"stddev_samp(o_totalprice) filter (where o_orderstatus = '{s}')", 2)
+                   + f' as "{s}_std_dev"')
     return ",\n  ".join(out)
 
 
 def _year_pivot_sql(years=range(1995, 2002)) -> str:
     out = []
     for y in years:
-        out.append(f"round(avg(o_totalprice) filter (where year(o_orderdate) = {y}), 2) as \"{y}_avg\"")
-        out.append(f"round(stddev_samp(o_totalprice) filter (where year(o_orderdate) = {y}), 2) "
-                   f"as \"{y}_std_dev\"")
+        out.append(half_up(f"avg(o_totalprice) filter (where year(o_orderdate) = {y})", 2)
+                   + f' as "{y}_avg"')
+        out.append(half_up(f"stddev_samp(o_totalprice) filter (where year(o_orderdate) = {y})", 2)
+                   + f' as "{y}_std_dev"')
     return ",\n  ".join(out)
 
 
@@ -246,13 +249,12 @@ def q_prefix_test(spark, sf):
     return o.select("o_orderkey", F.col("o_orderpriority").startswith("1").alias("is_urgent"))
 
 
-@register("round_to", """
-select c_nationkey, c_mktsegment, round(avg(c_acctbal), 2) as avg_acctbal
-from customer group by 1, 2""")
+@register("round_to", f"""
+select c_custkey, c_acctbal, {half_up("c_acctbal", 1)} as acctbal_1dp from customer""")
 def q_round_to(spark, sf):
+    """HALF_UP on the decimal value: 1863.85 -> 1863.9, -5.25 -> -5.3."""
     c = Tables(spark, sf).customer
-    return (c.groupBy("c_nationkey", "c_mktsegment")
-            .agg(C.round_half_up(F.avg("c_acctbal"), 2).alias("avg_acctbal")))
+    return c.select("c_custkey", "c_acctbal", C.round_half_up("c_acctbal", 1).alias("acctbal_1dp"))
 
 
 @register("binary_to_string", "select p_partkey, p_name as name from part")
@@ -330,9 +332,9 @@ def q_having_min_count(spark, sf):
     return R.having(R.count_by(Tables(spark, sf).lineitem, "l_partkey", "n"), F.col("n") > 10)
 
 
-@register("max_mean_by_keys", """
+@register("max_mean_by_keys", f"""
 select o_orderstatus, o_orderpriority, max(o_totalprice) as max_price,
-       round(avg(o_totalprice), 4) as mean_price
+       {half_up("avg(o_totalprice)", 4)} as mean_price
 from orders group by 1, 2""")
 def q_max_mean_by_keys(spark, sf):
     o = Tables(spark, sf).orders
@@ -341,9 +343,9 @@ def q_max_mean_by_keys(spark, sf):
             .withColumn("mean_price", F.round("mean_price", 4)))
 
 
-@register("stddev_by_key", """
-select o_orderpriority, round(avg(o_totalprice), 2) as avg,
-       round(stddev_samp(o_totalprice), 2) as std_dev
+@register("stddev_by_key", f"""
+select o_orderpriority, {half_up("avg(o_totalprice)", 2)} as avg,
+       {half_up("stddev_samp(o_totalprice)", 2)} as std_dev
 from orders group by 1""")
 def q_stddev_by_key(spark, sf):
     return R.mean_stddev_by(Tables(spark, sf).orders, "o_orderpriority", "o_totalprice", 2)
@@ -425,11 +427,11 @@ def q_ratio_of_counts(spark, sf):
             .select("n_nationkey", "n_suppliers", "share"))
 
 
-@register("pearson_corr", """
-select 'l_extendedprice' as feature, round(corr(l_quantity, l_extendedprice), 6) as corr
+@register("pearson_corr", f"""
+select 'l_extendedprice' as feature, {half_up("corr(l_quantity, l_extendedprice)", 6)} as corr
 from lineitem
-union all select 'l_discount', round(corr(l_quantity, l_discount), 6) from lineitem
-union all select 'l_tax', round(corr(l_quantity, l_tax), 6) from lineitem""")
+union all select 'l_discount', {half_up("corr(l_quantity, l_discount)", 6)} from lineitem
+union all select 'l_tax', {half_up("corr(l_quantity, l_tax)", 6)} from lineitem""")
 def q_pearson_corr(spark, sf):
     li = Tables(spark, sf).lineitem
     return correlations(li, "l_quantity", ["l_extendedprice", "l_discount", "l_tax"], digits=6)
@@ -634,10 +636,11 @@ def q_exam_stats_pivot(spark, sf):
     return jobs.exam_stats_pivot(results)
 
 
-@register("price_correlation_report", """
-select 'l_quantity' as feature, round(corr(l_extendedprice, l_quantity), 6) as corr from lineitem
-union all select 'l_discount', round(corr(l_extendedprice, l_discount), 6) from lineitem
-union all select 'l_tax', round(corr(l_extendedprice, l_tax), 6) from lineitem""")
+@register("price_correlation_report", f"""
+select 'l_quantity' as feature, {half_up("corr(l_extendedprice, l_quantity)", 6)} as corr
+from lineitem
+union all select 'l_discount', {half_up("corr(l_extendedprice, l_discount)", 6)} from lineitem
+union all select 'l_tax', {half_up("corr(l_extendedprice, l_tax)", 6)} from lineitem""")
 def q_price_correlation_report(spark, sf):
     li = Tables(spark, sf).lineitem
     return jobs.price_correlation_report(

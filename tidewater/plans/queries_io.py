@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidewater.operators.relational import broadcast_if_small
 from tidewater.plans.queries_core import (q_sliding_window_60m_1m, q_sliding_window_default_slide,
                                           q_tumbling_event_window)
-from tidewater.plans.registry import ORACLES, register
+from tidewater.plans.registry import ORACLES, half_up, register
 from tidewater.session import scratch_path
 from tidewater.sources import text as S
 from tidewater.sources.streams import file_stream
@@ -108,8 +108,8 @@ def q_inline_rows(spark, sf):
             .groupBy("status_name").agg(F.count(F.lit(1)).alias("n_orders")))
 
 
-@register("temp_view_sql", """
-select o_orderpriority, count(*) as n_orders, round(sum(o_totalprice), 2) as revenue
+@register("temp_view_sql", f"""
+select o_orderpriority, count(*) as n_orders, {half_up("sum(o_totalprice)", 2)} as revenue
 from orders group by 1""")
 def q_temp_view_sql(spark, sf):
     Tables(spark, sf).orders.createOrReplaceTempView("tidewater_orders")

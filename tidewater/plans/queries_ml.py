@@ -16,7 +16,7 @@ from tidewater.operators import features as FE
 from tidewater.operators import models as M
 from tidewater.operators.relational import broadcast_if_small, lookup
 from tidewater.plans import model_jobs as MJ
-from tidewater.plans.registry import register
+from tidewater.plans.registry import half_up, register
 from tidewater.sources.tables import Tables
 
 _PRIORITY_RANK = """
@@ -71,24 +71,27 @@ def q_random_split(spark, sf):
     return FE.split_check(FE.seeded_split(o, [0.8, 0.2], 42), "o_orderkey")
 
 
-@register("linear_regression", """
-select round(regr_slope(l_extendedprice, l_quantity), 4) as slope,
-       round(regr_intercept(l_extendedprice, l_quantity), 4) as intercept,
-       round(regr_r2(l_extendedprice, l_quantity), 6) as r2
+@register("linear_regression", f"""
+select {half_up("regr_slope(l_extendedprice, l_quantity)", 4)} as slope,
+       {half_up("regr_intercept(l_extendedprice, l_quantity)", 4)} as intercept,
+       {half_up("regr_r2(l_extendedprice, l_quantity)", 6)} as r2
 from lineitem""")
 def q_linear_regression(spark, sf):
     li = Tables(spark, sf).lineitem.select(F.col("l_extendedprice").alias("label"), "l_quantity")
     data = FE.assemble(li, ["l_quantity"])
     model = M.linear_regression().fit(data)
-    row = [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 4),
-            round(float(model.summary.r2), 6))]
-    return spark.createDataFrame(row, "slope double, intercept double, r2 double")
+    row = [(float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))]
+    fit = spark.createDataFrame(row, "slope double, intercept double, r2 double")
+    return fit.select(F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"),
+                      F.round("r2", 6).alias("r2"))
 
 
-@register("regression_metrics", """
-select round(1 - sum(power(l_extendedprice - l_quantity * 1500.0, 2))
-                 / (var_samp(l_extendedprice) * (count(*) - 1)), 6) as r2,
-       round(sqrt(avg(power(l_extendedprice - l_quantity * 1500.0, 2))), 6) as rmse,
+_SSE = "sum(power(l_extendedprice - l_quantity * 1500.0, 2))"
+
+
+@register("regression_metrics", f"""
+select {half_up(f"1 - {_SSE} / (var_samp(l_extendedprice) * (count(*) - 1))", 6)} as r2,
+       {half_up(f"sqrt({_SSE} / count(*))", 6)} as rmse,
        count(*) as n
 from lineitem""")
 def q_regression_metrics(spark, sf):

@@ -19,6 +19,15 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
+def half_up(expr: str, digits: int) -> str:
+    """Oracle form of Spark's ``round(double, d)``: HALF_UP on the decimal value.
+
+    Spark rounds the double's decimal representation (2348.325 -> 2348.33);
+    rounding the binary double directly can go the other way on exact ties.
+    """
+    return f"cast(round(cast({expr} as decimal(38, 10)), {digits}) as double)"
+
+
 def register(key: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if key in QUERIES:
