@@ -28,7 +28,7 @@ def duck(small_dir):
 def test_registry_is_consistent():
     qs = entry.queries()
     assert set(ORACLES) <= set(qs)
-    assert len(qs) >= 80
+    assert len(qs) >= 90
     for bad in ("pipeline", "llm"):
         assert not any(bad in k for k in qs)
 

@@ -8,6 +8,8 @@ engines add in different orders.
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -567,8 +569,9 @@ def q_category_grouping(spark, sf):
 select p_partkey, cast(split_part(p_brand, '#', 2) as integer) as brand_no from part""")
 def q_register_sql_udf(spark, sf):
     register_brand_number(spark)
-    Tables(spark, sf).part.createOrReplaceTempView("tidewater_part")
-    return spark.sql("select p_partkey, brand_number(p_brand) as brand_no from tidewater_part")
+    view = f"tw_part_{uuid.uuid4().hex[:8]}"
+    Tables(spark, sf).part.createOrReplaceTempView(view)
+    return spark.sql(f"select p_partkey, brand_number(p_brand) as brand_no from {view}")
 
 
 # --------------------------------------------------------------------------

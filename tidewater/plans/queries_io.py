@@ -8,6 +8,8 @@ Streaming queries replay ``events.parquet`` through the file source with an
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +22,8 @@ from tidewater.sources import text as S
 from tidewater.sources.streams import file_stream
 from tidewater.sources.tables import Tables, table_path
 from tidewater.streaming import jobs as SJ
-from tidewater.streaming.runner import latest_versions, run_until_done, versioned_writer
+from tidewater.streaming.runner import (latest_versions, run_on_interval, run_until_done,
+                                        versioned_writer)
 
 # --------------------------------------------------------------------------
 # 2.1 sources
@@ -112,10 +115,11 @@ def q_inline_rows(spark, sf):
 select o_orderpriority, count(*) as n_orders, {half_up("sum(o_totalprice)", 2)} as revenue
 from orders group by 1""")
 def q_temp_view_sql(spark, sf):
-    Tables(spark, sf).orders.createOrReplaceTempView("tidewater_orders")
-    return spark.sql("""
+    view = f"tw_orders_{uuid.uuid4().hex[:8]}"
+    Tables(spark, sf).orders.createOrReplaceTempView(view)
+    return spark.sql(f"""
         select o_orderpriority, count(*) as n_orders, round(sum(o_totalprice), 2) as revenue
-        from tidewater_orders group by o_orderpriority""")
+        from {view} group by o_orderpriority""")
 
 
 # --------------------------------------------------------------------------
@@ -163,6 +167,15 @@ def q_stream_key_count(spark, sf):
     return _run_versioned(spark, agg, "key-count", ["window_start", "window_end", "level"])
 
 
+@register("micro_batch_trigger", ORACLES["tumbling_event_window"])
+def q_micro_batch_trigger(spark, sf):
+    """The tumbling job under a fixed 1-second processing-time trigger."""
+    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes")
+    out = scratch_path(spark, "sink-interval")
+    run_on_interval(versioned_writer(agg, out), spark, "interval", "1 second")
+    return latest_versions(spark, out, ["window_start", "window_end", "course_name"])
+
+
 @register("stream_watermark_append")
 def q_stream_watermark_append(spark, sf):
     """Append mode: a window is emitted once the watermark passes its end, and

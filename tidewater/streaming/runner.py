@@ -48,6 +48,21 @@ def run_until_done(writer: DataStreamWriter, spark: SparkSession, name: str,
         q.stop()
 
 
+def run_on_interval(writer: DataStreamWriter, spark: SparkSession, name: str,
+                    processing_time: str = "1 second", checkpoint: str | None = None) -> None:
+    """Run with a fixed micro-batch interval until everything available so
+    far has been processed, then stop (a running service would instead
+    ``awaitTermination()``)."""
+    q = start(writer, spark, name, processing_time=processing_time, checkpoint=checkpoint)
+    try:
+        q.processAllAvailable()
+        err = q.exception()
+        if err is not None:
+            raise RuntimeError(f"streaming query {name} failed: {err}")
+    finally:
+        q.stop()
+
+
 def versioned_writer(df: DataFrame, path: str, output_mode: str = "update",
                      batch_col: str = "batch_id") -> DataStreamWriter:
     """``foreachBatch`` sink appending each micro-batch's rows tagged with its id.
