@@ -91,3 +91,25 @@ def test_attach_to_few_keeps_rows_without_match(spark):
     few = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
     dim = spark.createDataFrame([(1, "a"), (3, "c")], "k int, name string")
     assert rows(jobs.attach_to_few(few, dim, "k"), "k", "name") == [(1, "a"), (2, None)]
+
+
+def test_jobs_on_empty_inputs(spark):
+    views, chapters, titles = _course_inputs(spark)
+    empty_views = views.limit(0)
+    assert jobs.course_popularity(empty_views, chapters, titles).count() == 0
+    r = spark.createDataFrame([], "item int, rating double")
+    n = spark.createDataFrame([], "item int, name string")
+    assert jobs.lowest_rated_items(r, n).count() == 0
+    logs = spark.createDataFrame([], "level string, datetime string")
+    assert jobs.log_level_by_month(logs).count() == 0
+
+
+def test_top_k_ties_at_the_boundary_are_broken_by_key(spark):
+    from tidewater.operators.relational import top_k, top_k_per_group
+    df = spark.createDataFrame([(i, 1.0 if i < 6 else 2.0) for i in range(10)], "id int, v double")
+    got = [r["id"] for r in top_k(df, 3, [F.col("v").asc(), F.col("id").desc()]).collect()]
+    assert got == [5, 4, 3]
+    g = df.withColumn("g", F.col("id") % 2)
+    per = top_k_per_group(g, "g", [F.col("v").asc(), F.col("id").asc()], 2)
+    assert sorted((r["g"], r["id"], r["rank"]) for r in per.collect()) == [
+        (0, 0, 1), (0, 2, 2), (1, 1, 1), (1, 3, 2)]

@@ -88,3 +88,23 @@ def test_sliding_sum_equals_window_expand(spark):
 def test_correlation_is_one_aggregate(spark, small_dir):
     p = plan(queries()["pearson_corr"](spark, small_dir))
     assert p.count("HashAggregate") <= 2 and "Exchange SinglePartition" in p
+
+
+def test_event_on_window_edge_belongs_to_next_window(spark):
+    import datetime as dt
+    from tidewater.operators.windows import window_agg
+    t0 = dt.datetime(2024, 1, 1, 10, 2, 0)
+    df = spark.createDataFrame([(t0, "a")], "ts timestamp_ntz, k string")
+    tumble = window_agg(df, "ts", "k", "2 minutes", None, {"n": F.count(F.lit(1))}).first()
+    assert tumble["window_start"] == t0 and tumble["window_end"] == dt.datetime(2024, 1, 1, 10, 4)
+    slid = sliding_sum(df, "ts", "k", "4 minutes", "2 minutes", None, "n").collect()
+    assert sorted(r["window_start"] for r in slid) == [dt.datetime(2024, 1, 1, 10, 0), t0]
+
+
+def test_sliding_sum_falls_back_when_slide_does_not_divide(spark):
+    from tidewater.operators.windows import window_agg
+    df = spark.range(200).select(F.timestamp_seconds(F.col("id") * 41).alias("ts"),
+                                 (F.col("id") % 2).alias("k"))
+    a = sliding_sum(df, "ts", "k", "5 minutes", "2 minutes", None, "n")
+    b = window_agg(df, "ts", "k", "5 minutes", "2 minutes", {"n": F.count(F.lit(1))})
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -11,8 +11,6 @@ S divides D, which is checked.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,6 +107,3 @@ def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:
     return df.select(F.col(f"{col}.start").alias("window_start"),
                      F.col(f"{col}.end").alias("window_end"), *rest)
 
-
-__all__: Sequence[str] = ("window_agg", "sliding_sum", "top_k_per_window", "flatten_window",
-                          "duration_micros")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import columns as C
-from tidewater.functions.udfs import brand_number_udf, register_brand_number
+from tidewater.functions.udfs import register_brand_number
 from tidewater.operators import relational as R
 from tidewater.operators.pivot import pivot_agg
 from tidewater.operators.stats import correlations
@@ -650,5 +650,3 @@ def q_price_correlation_report(spark, sf):
         li, "l_extendedprice", drop=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                      "l_shipdate"), digits=6)
 
-
-__all__ = ["brand_number_udf"]

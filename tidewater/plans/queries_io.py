@@ -13,9 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.relational import broadcast_if_small
-from tidewater.plans.queries_core import (q_sliding_window_60m_1m, q_sliding_window_default_slide,
-                                          q_tumbling_event_window)
+from tidewater.plans import queries_core  # noqa: F401  (registers the batch oracles reused here)
 from tidewater.plans.registry import ORACLES, half_up, register
 from tidewater.session import scratch_path
 from tidewater.sources import text as S
@@ -203,6 +201,3 @@ def q_viewing_figures_stream(spark, sf):
                             ["window_start", "window_end", "course_name"])
     return SJ.rank_within_windows(latest, "seconds_watched", "course_name")
 
-
-__all__ = ["broadcast_if_small", "q_sliding_window_60m_1m", "q_sliding_window_default_slide",
-           "q_tumbling_event_window"]

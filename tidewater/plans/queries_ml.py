@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import binary_label, category_group
 from tidewater.operators import features as FE
 from tidewater.operators import models as M
-from tidewater.operators.relational import broadcast_if_small, lookup
+from tidewater.operators.relational import lookup
 from tidewater.plans import model_jobs as MJ
 from tidewater.plans.registry import half_up, register
 from tidewater.sources.tables import Tables
@@ -316,5 +316,3 @@ def q_trial_conversion_trees(spark, sf):
     c = _customer_frame(spark, sf)
     return MJ.trial_conversion_trees(spark, c, "country", ["c_acctbal", "n_orders", "avg_order"])
 
-
-__all__ = ["broadcast_if_small"]
