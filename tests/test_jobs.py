@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidewater.plans import jobs
 
-# Fixture rows of the course-popularity job's built-in test mode.
+# The course-popularity job's built-in test rows, (user, chapter)
+# views and (chapter, course) pairs; expected scores by hand: course 2 -> 10,
+# course 1 -> 6, course 3 -> 0.
 VIEWS = [(14, 96), (14, 97), (13, 96), (13, 96), (13, 96), (14, 99), (13, 100)]
 CHAPTERS = [(96, 1), (97, 1), (98, 1), (99, 2)] + [(c, 3) for c in range(100, 110)]
-TITLES = [(1, "How to find a better job"), (2, "Work faster harder smarter until you drop"),
-          (3, "Content Creation is a Mug's Game")]
+TITLES = [(1, "course one"), (2, "course two"), (3, "course three")]
 
 
 def _course_inputs(spark, views=VIEWS, chapters=CHAPTERS, titles=TITLES):
@@ -41,6 +42,7 @@ def test_course_popularity_bands_are_strict(spark):
     assert out[0]["score"] == 2
 
 
+# Five log rows (level, date-time; single-digit months in two).
 LOG_ROWS = [("WARN", "2016-12-31 04:19:32"), ("FATAL", "2016-12-31 03:22:34"),
             ("WARN", "2016-12-31 03:21:21"), ("INFO", "2015-4-21 14:32:21"),
             ("FATAL", "2015-4-21 19:23:20")]

@@ -54,7 +54,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     small = broadcast_if_small(dim, max_broadcast_rows)
     if strict:
         keys = _cols(on)
-        missing = fact.select(*keys).join(small.select(*keys), keys, "left_anti").limit(1).count()
+        missing = fact.select(*keys).join(small.select(*keys), keys, "left_anti").limit(1).collect()
         if missing:
             raise KeyError(f"lookup: ids missing from the dimension on {keys}")
     return fact.join(small, on, how)
