@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from check_oracles import _close, _rows  # noqa: E402
+from check_oracles import _close, _rows, type_diffs  # noqa: E402
 from tidewater.sources.tables import TABLE_NAMES, table_path  # noqa: E402
 
 ORACLES = entry.oracle_sql()
@@ -41,10 +41,13 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, small_dir, key):
-    pdf = entry.queries()[key](spark, small_dir).toPandas()
+    df = entry.queries()[key](spark, small_dir)
+    schema = df.schema
+    pdf = df.toPandas()
     srows = _rows(list(pdf.columns), pdf.itertuples(index=False, name=None))
     rel = duck.sql(ORACLES[key])
     orows = _rows(list(rel.columns), rel.fetchall())
     assert sorted(pdf.columns) == sorted(rel.columns)
+    assert type_diffs(schema, rel) == []
     assert len(srows) == len(orows)
     assert srows == orows or _close(srows, orows)

@@ -46,10 +46,10 @@ def q_index_to_string(spark, sf):
 
 @register("one_hot", _PRIORITY_RANK + """
 select o.o_orderkey,
-       case when r.idx = 0 then 1.0 else 0.0 end as oh0,
-       case when r.idx = 1 then 1.0 else 0.0 end as oh1,
-       case when r.idx = 2 then 1.0 else 0.0 end as oh2,
-       case when r.idx = 3 then 1.0 else 0.0 end as oh3
+       cast(case when r.idx = 0 then 1.0 else 0.0 end as double) as oh0,
+       cast(case when r.idx = 1 then 1.0 else 0.0 end as double) as oh1,
+       cast(case when r.idx = 2 then 1.0 else 0.0 end as double) as oh2,
+       cast(case when r.idx = 3 then 1.0 else 0.0 end as double) as oh3
 from orders o join r on o.o_orderpriority = r.v""")
 def q_one_hot(spark, sf):
     df, _ = _priority_indexed(spark, sf)
@@ -107,7 +107,7 @@ def _labelled_docs(spark, sf):
     return t.documents.select("doc_id", "n_chars", "lang", "source").join(t.labels, "doc_id")
 
 
-_RULE_PRED = "case when d.n_chars > 5000 then 1.0 else 0.0 end"
+_RULE_PRED = "cast(case when d.n_chars > 5000 then 1.0 else 0.0 end as double)"
 _RULE_FROM = "from documents d join labels l on d.doc_id = l.doc_id"
 
 
