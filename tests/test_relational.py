@@ -80,3 +80,22 @@ def test_stop_words_list_and_frame(spark):
     assert listed == [("birds", 1), ("cat", 1), ("dog", 2)]
     stops = spark.createDataFrame([("the",), ("and",), ("a",)], "w string")
     assert rows(word_counts(remove_stop_words(words, "word", stops))) == listed
+
+
+def test_conditional_pivot_equals_native_pivot(spark, sales):
+    specs = {"s": (F.sum, "n"), "c": (F.count, "v"), "m": (F.max, "v")}
+    native = pivot_agg(sales, "k", "g", {"s": F.sum("n"), "c": F.count("v"), "m": F.max("v")},
+                       ["x", "y", "z"])
+    cond = pivot_agg(sales, "k", "g", specs, ["x", "y", "z"])
+    assert cond.columns == native.columns
+    assert rows(cond) == rows(native)
+    # discovered values, single measure -> cells named by value only
+    one = pivot_agg(sales, "k", "g", {"count": (F.count, F.lit(1))})
+    assert one.columns == ["k", "x", "y"]
+    assert rows(one) == [("a", 2, 1), ("b", 1, None)]
+
+
+def test_conditional_pivot_is_one_aggregation(spark, sales):
+    p = pivot_agg(sales, "k", "g", {"s": (F.sum, "n")}, ["x", "y"])
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

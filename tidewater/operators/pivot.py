@@ -1,28 +1,75 @@
 """Pivots: rows x pivot values, one or several measures per cell.
 
-With ``values`` given, Spark skips the distinct-values job and plans one
-aggregate whose cells are conditional aggregates (no extra shuffle).  With
-``values=None`` the values are discovered by a distinct job first (bounded
-by ``spark.sql.pivotMaxValues``), as in the reference.
+Two plans for the same result:
+
+* ``pivot_agg`` with measures given as ``(function, column)`` specs builds
+  one conditional aggregate per cell, ``fn(when(pivot = v, column))``,
+  guarded by a presence count so a (group, value) pair without rows gives
+  null exactly as ``pivot`` does.  One aggregation, one shuffle (partial
+  aggregates map-side), for any bounded value list.
+* with measures given as Columns it uses Spark's ``pivot`` (two
+  aggregations: per (group, value), then per group).
+
+With ``values=None`` the values are discovered first by one distinct job
+(sorted, at most ``max_values`` -- Spark's ``spark.sql.pivotMaxValues``
+default), as the reference's ``pivot(col)`` does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MeasureSpec = tuple[Callable[[Column], Column], "Column | str"]
+
+
+def discover_values(df: DataFrame, pivot_col: str, max_values: int = 10_000) -> list:
+    """Sorted distinct values of ``pivot_col`` (nulls first), at most ``max_values``."""
+    found = [r[0] for r in df.select(pivot_col).distinct()
+             .orderBy(F.col(pivot_col).asc_nulls_first()).limit(max_values + 1).collect()]
+    if len(found) > max_values:
+        raise ValueError(f"pivot column {pivot_col!r} has more than {max_values} values")
+    return found
+
+
+def _cell_name(value, measure: str | None) -> str:
+    v = "null" if value is None else str(value)
+    return v if not measure else f"{v}_{measure}"
+
+
+def pivot_conditional(df: DataFrame, group_cols, pivot_col: str, values: Sequence,
+                      measures: dict[str, MeasureSpec]) -> DataFrame:
+    """One aggregate with a conditional cell per (value, measure)."""
+    groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    p = F.col(pivot_col)
+    single = len(measures) == 1
+    cells = []
+    for v in values:
+        cond = p.isNull() if v is None else (p == F.lit(v))
+        present = F.count(F.when(cond, F.lit(1))) > 0
+        for name, (fn, col) in measures.items():
+            c = F.col(col) if isinstance(col, str) else col
+            cell = F.when(present, fn(F.when(cond, c)))
+            cells.append(cell.alias(_cell_name(v, None if single else name)))
+    return df.groupBy(*groups).agg(*cells)
 
 
-def pivot_agg(df: DataFrame, group_cols, pivot_col: str, measures: dict[str, Column] | Column,
-              values: Sequence | None = None) -> DataFrame:
+def pivot_agg(df: DataFrame, group_cols, pivot_col: str,
+              measures: dict[str, MeasureSpec] | dict[str, Column] | Column,
+              values: Sequence | None = None, max_values: int = 10_000) -> DataFrame:
     """``groupBy(group_cols).pivot(pivot_col, values).agg(...)``.
 
-    With several measures the cells are named ``<value>_<alias>``; with a
-    single unnamed measure they are named ``<value>``.
+    Cells are named ``<value>_<measure>`` (``<value>`` for a single measure).
     """
+    specs = isinstance(measures, dict) and all(isinstance(m, tuple) for m in measures.values())
+    if values is None:
+        values = discover_values(df, pivot_col, max_values)
+    if specs:
+        return pivot_conditional(df, group_cols, pivot_col, values, measures)
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    g = df.groupBy(*groups)
-    p = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
+    p = df.groupBy(*groups).pivot(pivot_col, list(values))
     if isinstance(measures, Column):
         return p.agg(measures)
     return p.agg(*[m.alias(name) for name, m in measures.items()])

@@ -89,7 +89,8 @@ def exam_stats_pivot(results: DataFrame, subject: str = "subject", year: str = "
     """
     s = F.col(score).cast("double")
     return pivot_agg(results, subject, year,
-                     {"avg": F.round(F.avg(s), digits), "std_dev": F.round(F.stddev_samp(s), digits)},
+                     {"avg": (lambda c: F.round(F.avg(c), digits), s),
+                      "std_dev": (lambda c: F.round(F.stddev_samp(c), digits), s)},
                      values)
 
 

@@ -387,8 +387,8 @@ def q_pivot_inferred_multi_agg(spark, sf):
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     j = t.orders.select("o_custkey", "o_orderstatus", "o_totalprice").join(c, "o_custkey")
     return pivot_agg(j, "c_mktsegment", "o_orderstatus",
-                     {"avg": F.round(F.avg("o_totalprice"), 2),
-                      "std_dev": F.round(F.stddev_samp("o_totalprice"), 2)})
+                     {"avg": (lambda c: F.round(F.avg(c), 2), "o_totalprice"),
+                      "std_dev": (lambda c: F.round(F.stddev_samp(c), 2), "o_totalprice")})
 
 
 @register("pivot_explicit_values", f"""
@@ -398,7 +398,7 @@ from orders group by o_orderpriority""")
 def q_pivot_explicit_values(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderpriority",
                                         C.month_name("o_orderdate").alias("month"))
-    return pivot_agg(o, "o_orderpriority", "month", F.count(F.lit(1)), MONTHS)
+    return pivot_agg(o, "o_orderpriority", "month", {"count": (F.count, F.lit(1))}, MONTHS)
 
 
 @register("pivot_user_item", f"""
@@ -407,7 +407,8 @@ select user_id,
 from events group by user_id""")
 def q_pivot_user_item(spark, sf):
     e = Tables(spark, sf).events
-    return pivot_agg(e, "user_id", "event_type", F.round(F.sum("value"), 4), EVENT_TYPES)
+    return pivot_agg(e, "user_id", "event_type", {"sum": (lambda c: F.round(F.sum(c), 4), "value")},
+                     EVENT_TYPES)
 
 
 @register("ratio_of_counts", """
@@ -424,7 +425,8 @@ def q_ratio_of_counts(spark, sf):
     s = t.supplier.select("s_nationkey").join(nations, "s_nationkey")
     child = s.groupBy("n_regionkey", F.col("s_nationkey").alias("n_nationkey")) \
              .agg(F.count(F.lit(1)).alias("n_suppliers"))
-    parent = s.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_region"))
+    # parent totals from the (small) child counts: the fact side is read once
+    parent = child.groupBy("n_regionkey").agg(F.sum("n_suppliers").alias("n_region"))
     return (R.ratio_of_counts(child, parent, "n_regionkey", "n_suppliers", "n_region")
             .select("n_nationkey", "n_suppliers", "share"))
 
