@@ -163,7 +163,13 @@ def sse_from_centers(spark: SparkSession, pred: DataFrame, model, features: str
 
 def als(user: str, item: str, rating: str, max_iter: int = 10, reg_param: float = 0.1,
         rank: int = 10, seed: int = 42) -> ALS:
-    """Explicit-rating ALS; cold-start rows are dropped from predictions."""
+    """Explicit-rating ALS; cold-start rows are dropped from predictions.
+
+    Every 5 iterations the factor RDDs are checkpointed to the SparkContext
+    checkpoint folder (set it to the shared ``spark.checkpoint.dir``, see
+    ``tidewater.session.checkpoint_root``), so a lost executor does not
+    replay the whole iteration history.
+    """
     return ALS(userCol=user, itemCol=item, ratingCol=rating, maxIter=max_iter, regParam=reg_param,
                rank=rank, seed=seed, coldStartStrategy="drop", checkpointInterval=5)
 

@@ -80,7 +80,7 @@ def retention_model(spark: SparkSession, df: DataFrame, label_source: str,
     tvs_model = M.tune(lr, M.grid(lr, reg_params, elastic_nets),
                        BinaryClassificationEvaluator(metricName="areaUnderROC"), train,
                        train_ratio, seed)
-    pred = tvs_model.bestModel.transform(holdout).persist(StorageLevel.MEMORY_AND_DISK)
+    pred = tvs_model.bestModel.transform(holdout)
     return M.confusion_table(pred), M.classification_summary(pred)
 
 

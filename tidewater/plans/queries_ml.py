@@ -17,6 +17,7 @@ from tidewater.operators import models as M
 from tidewater.operators.relational import lookup
 from tidewater.plans import model_jobs as MJ
 from tidewater.plans.registry import half_up, register
+from tidewater.session import checkpoint_root
 from tidewater.sources.tables import Tables
 
 _PRIORITY_RANK = """
@@ -268,6 +269,7 @@ def q_silhouette(spark, sf):
 
 
 def _ratings(spark, sf):
+    checkpoint_root(spark)      # ALS cuts its lineage every few iterations here
     t = Tables(spark, sf)
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     j = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(o, "l_orderkey")
