@@ -112,9 +112,8 @@ _UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "ETC/GMT", "Z", "+00:00", "UCT", "ZULU"}
 
 def _session_is_utc() -> bool:
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    tz = spark.conf.get("spark.sql.session.timeZone", "UTC") if spark else "UTC"
-    return tz.upper() in _UTC_NAMES
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    return spark.conf.get("spark.sql.session.timeZone", "UTC").upper() in _UTC_NAMES
 
 
 def ntz_to_instant(ts: ColumnOrName) -> Column:
