@@ -50,7 +50,7 @@ def window_agg(df: DataFrame, ts: str, keys, duration: str, slide: str | None,
     g = df.groupBy(w.alias("window"), *ks).agg(*[m.alias(n) for n, m in measures.items()])
     return g.select(F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"),
-                    *[k if isinstance(k, str) else k for k in ks], *measures.keys())
+                    *ks, *measures.keys())
 
 
 def sliding_sum(df: DataFrame, ts: str, keys, duration: str, slide: str,

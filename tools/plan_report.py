@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tidewater.plans.catalog import queries  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
 
+JOIN = re.compile(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[[^\]]*\], \[[^\]]*\], (\w+)")
 SKIP_PREFIX = ("stream_",)
 SKIP = {"micro_batch_trigger", "viewing_figures_stream", "grid_search", "ml_stages",
         "logistic_regression", "decision_tree", "random_forest", "kmeans", "kmeans_centers",
@@ -33,11 +34,7 @@ def summarise(plan: str) -> dict:
         "range": len(re.findall(r"Exchange rangepartitioning", plan)),
         "single": len(re.findall(r"Exchange SinglePartition", plan)),
         "bcast": len(re.findall(r"BroadcastExchange", plan)),
-        "joins": ", ".join(sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)"
-                                                 r" \[[^\]]*\], \[[^\]]*\], (\w+)", plan)
-                                      and [f"{a} {b}" for a, b in re.findall(
-                                          r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)"
-                                          r" \[[^\]]*\], \[[^\]]*\], (\w+)", plan)]))),
+        "joins": ", ".join(sorted({f"{a} {b}" for a, b in JOIN.findall(plan)})),
         "pushed": "yes" if re.search(r"PushedFilters: \[(?!\])", plan) else "-",
         "python": "yes" if re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas",
                                      plan) else "-",
