@@ -72,3 +72,41 @@ def test_scratch_paths_are_under_checkpoint_root(spark):
     from tidewater.session import checkpoint_root
     a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
     assert a != b and a.startswith(checkpoint_root(spark).rstrip("/"))
+
+
+class _FakeContext:
+    def __init__(self, master, conf=None, ckpt=None):
+        self.master = master
+        self._conf = conf or {}
+        self._ckpt = ckpt
+        self.set_to = None
+
+    def getConf(self):
+        conf = self._conf
+
+        class _C:
+            def get(self, key, default=None):
+                return conf.get(key, default)
+        return _C()
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, d):
+        self.set_to = d
+
+
+class _FakeSession:
+    def __init__(self, sc):
+        self.sparkContext = sc
+
+
+def test_checkpoint_root_on_a_cluster_needs_the_shared_folder():
+    from tidewater.session import checkpoint_root
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_FakeSession(_FakeContext("yarn")))
+    sc = _FakeContext("yarn", {"spark.checkpoint.dir": "hdfs://nn/shared/ckpt"})
+    assert checkpoint_root(_FakeSession(sc)) == "hdfs://nn/shared/ckpt"
+    assert sc.set_to == "hdfs://nn/shared/ckpt"
+    sc2 = _FakeContext("k8s://x", ckpt="s3a://bucket/ckpt/1234-uuid")
+    assert checkpoint_root(_FakeSession(sc2)) == "s3a://bucket/ckpt"
