@@ -115,3 +115,22 @@ def test_console_sink_builds_writer(spark):
     d = _write_batches(spark, BATCHES[:1])
     w = console_sink(_stream(spark, d).groupBy("event_type").count(), "update")
     assert w is not None
+
+
+def test_state_partitions_fixed_at_first_start(spark):
+    d = _write_batches(spark, BATCHES)
+    agg = SJ.seconds_per_course(_stream(spark, d), "ts", "event_type", "2 minutes")
+    out = scratch_path(spark, "sink")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    from tidewater.streaming.runner import start
+    ckpt = scratch_path(spark, "ckpt")
+    q = start(versioned_writer(agg, out), spark, "parts", checkpoint=ckpt, state_partitions=3)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    import os
+    state = os.path.join(ckpt.replace("file:", ""), "state", "0")
+    assert sorted(os.listdir(state)) == ["0", "1", "2"] or sorted(
+        d for d in os.listdir(state) if d.isdigit()) == ["0", "1", "2"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -42,7 +42,9 @@ def lowest_rated_items(ratings: DataFrame, names: DataFrame, item: str = "item",
     worst = (stats.filter(F.col("n_ratings") > min_count)
              .orderBy(F.col("avg_rating").asc(), F.col(item).asc()).limit(k))
     named = attach_to_few(worst, names.select(item, "name"), item)
-    return named.select(item, "name", "n_ratings", "avg_rating")
+    # k rows: re-sorting after the name join is free and keeps the report ordered
+    return (named.select(item, "name", "n_ratings", "avg_rating")
+            .orderBy(F.col("avg_rating").asc(), F.col(item).asc()))
 
 
 def course_popularity(views: DataFrame, chapters: DataFrame, titles: DataFrame,

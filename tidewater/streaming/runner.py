@@ -26,19 +26,37 @@ def trigger_options(processing_time: str | None = None, available_now: bool = Tr
 
 
 def start(writer: DataStreamWriter, spark: SparkSession, name: str,
-          processing_time: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
+          processing_time: str | None = None, checkpoint: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start with its own checkpoint folder and a unique name.
+
+    ``state_partitions`` fixes the number of state-store partitions of the
+    query's stateful operators.  Spark reads it once, when the query first
+    starts, and keeps it in the checkpoint (AQE does not re-plan streams), so
+    choose it for the peak state size; by default the session's
+    ``spark.sql.shuffle.partitions`` applies.
+    """
     ckpt = checkpoint or scratch_path(spark, f"stream-{name}")
     w = writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}").option("checkpointLocation", ckpt)
     trig = trigger_options(processing_time)
     if trig:
         w = w.trigger(**trig)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()          # the query clones the session conf here
+    finally:
+        spark.conf.set(key, previous)
 
 
 def run_until_done(writer: DataStreamWriter, spark: SparkSession, name: str,
-                   timeout_s: float | None = None, checkpoint: str | None = None) -> None:
+                   timeout_s: float | None = None, checkpoint: str | None = None,
+                   state_partitions: int | None = None) -> None:
     """Run an ``availableNow`` query to its end; re-raise its failure."""
-    q = start(writer, spark, name, checkpoint=checkpoint)
+    q = start(writer, spark, name, checkpoint=checkpoint, state_partitions=state_partitions)
     try:
         q.awaitTermination(timeout_s)
         err = q.exception()
