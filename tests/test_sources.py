@@ -110,3 +110,13 @@ def test_checkpoint_root_on_a_cluster_needs_the_shared_folder():
     assert sc.set_to == "hdfs://nn/shared/ckpt"
     sc2 = _FakeContext("k8s://x", ckpt="s3a://bucket/ckpt/1234-uuid")
     assert checkpoint_root(_FakeSession(sc2)) == "s3a://bucket/ckpt"
+
+
+def test_scale_settings_grow_with_the_data():
+    from tidewater.session import scale_settings
+    tb = 1 << 40
+    big = scale_settings(100 * tb, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200 * 1024     # 50 TB / 256 MB
+    small = scale_settings(1 << 30, total_cores=64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192         # 3 waves of 64 cores
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

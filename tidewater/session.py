@@ -79,3 +79,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.5,
+                   target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the data, not from defaults.
+
+    Shuffle partitions are chosen so one partition of the largest expected
+    shuffle (``shuffle_ratio`` of the input after map-side combine) is about
+    ``target_partition_bytes`` and there are at least 3 waves of tasks;
+    AQE then coalesces small partitions and splits skewed ones.  Input splits
+    stay at 256 MB.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_ratio)
+    partitions = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
