@@ -18,7 +18,7 @@ from tidewater.plans.registry import ORACLES, half_up, register
 from tidewater.session import scratch_path
 from tidewater.sources import text as S
 from tidewater.sources.streams import file_stream
-from tidewater.sources.tables import Tables, table_path
+from tidewater.sources.tables import SCHEMAS, Tables
 from tidewater.streaming import jobs as SJ
 from tidewater.streaming.runner import (latest_versions, run_on_interval, run_until_done,
                                         versioned_writer)
@@ -125,7 +125,7 @@ def q_temp_view_sql(spark, sf):
 # --------------------------------------------------------------------------
 
 def events_stream(spark, sf, max_files_per_trigger=None):
-    schema = spark.read.parquet(table_path(sf, "events")).schema
+    schema = T.StructType.fromDDL(SCHEMAS["events"])
     return file_stream(spark, sf, schema, glob="events.parquet",
                        max_files_per_trigger=max_files_per_trigger)
 

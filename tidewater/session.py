@@ -32,6 +32,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # Local data is small: a low coalescing floor keeps several partitions
+         # after a tiny shuffle, which matters when the next stage fans rows
+         # out (sliding windows).  Irrelevant at cluster scale.
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                 os.environ.get("TIDEWATER_MIN_PARTITION_SIZE", "64k"))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "12g"))
