@@ -108,3 +108,10 @@ def test_sliding_sum_falls_back_when_slide_does_not_divide(spark):
     a = sliding_sum(df, "ts", "k", "5 minutes", "2 minutes", None, "n")
     b = window_agg(df, "ts", "k", "5 minutes", "2 minutes", {"n": F.count(F.lit(1))})
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_sliding_sum_final_aggregate_needs_no_third_shuffle(spark, small_dir):
+    p = plan(queries()["sliding_window_60m_1m"](spark, small_dir))
+    assert p.count("Exchange hashpartitioning") == 2
+    final = p[:p.index("Generate explode(sequence")]
+    assert "Exchange" not in final           # windows summed where the chunk already is

@@ -55,18 +55,27 @@ def window_agg(df: DataFrame, ts: str, keys, duration: str, slide: str | None,
 
 def sliding_sum(df: DataFrame, ts: str, keys, duration: str, slide: str,
                 value: Column | None, name: str) -> DataFrame:
-    """Sliding-window sum (``value=None``: row count) with pre-aggregation.
-
-    1. each row -> the start of its slide-width bucket (integer micros,
-       ``m - pmod(m, S)``), partial sums per (bucket, keys) -- one shuffle of
-       at most one row per bucket and key per task;
-    2. each bucket row -> the D/S window starts that contain it
-       (``explode(sequence(b - (D/S - 1)·S, b, S))``), summed per window.
-
-    Windows are aligned to the epoch exactly as ``window(ts, D, S)`` aligns
-    them, and the result equals it.  Batch only: streams use
-    :func:`window_agg` (streaming does not chain two aggregations in update
-    mode).  Falls back to :func:`window_agg` when S does not divide D.
+    """Sliding-window sum (``value=None``: row count) of windows D long every S.
+
+    ``window(ts, D, S)`` copies every input row D/S times before anything is
+    combined.  Here:
+
+    1. each row -> the start of its S-wide bucket (integer micros,
+       ``m - pmod(m, S)``); partial sums per (bucket, keys), one shuffle of at
+       most one row per bucket and key per task;
+    2. each bucket row is routed to its D-wide time chunk and to the chunk
+       before (a window starting in chunk c only covers buckets of c and
+       c + 1) and shuffled by (chunk, keys): 2 rows per bucket, and a
+       (chunk, key) group never holds more than 2·D/S rows, so a hot key
+       cannot skew it;
+    3. inside each task, every bucket fans out to the window starts of its
+       own partition's chunk and the windows are summed -- partitioning by
+       (chunk, keys) already clusters them, so no third shuffle.
+
+    Exact for sums and counts; windows are aligned to the epoch as
+    ``window()`` aligns them.  Batch only (streams use :func:`window_agg`:
+    Structured Streaming does not chain aggregations in update mode).  Falls
+    back to :func:`window_agg` when S does not divide D.
     """
     from tidewater.functions.columns import instant_to_ntz, ntz_to_instant
     d, s = duration_micros(duration), duration_micros(slide)
@@ -77,12 +86,20 @@ def sliding_sum(df: DataFrame, ts: str, keys, duration: str, slide: str,
     is_ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
     instant = ntz_to_instant(ts) if is_ntz else F.col(ts).cast("timestamp")
     micros = F.unix_micros(instant)
-    bucket = (micros - F.pmod(micros, F.lit(s))).alias("_bucket")
-    pre = df.groupBy(bucket, *ks).agg(F.sum(measure).alias("_part"))
     n = d // s
+
+    def floor_to(c: Column, width: int) -> Column:
+        return c - F.pmod(c, F.lit(width))
+
+    pre = df.groupBy(floor_to(micros, s).alias("_bucket"), *ks).agg(F.sum(measure).alias("_part"))
+    chunk = floor_to(F.col("_bucket"), d)
+    routed = (pre.select(F.explode(F.array(chunk, chunk - F.lit(d))).alias("_chunk"), *ks,
+                         "_bucket", "_part")
+              .repartition("_chunk", *ks))
     starts = F.sequence(F.col("_bucket") - F.lit((n - 1) * s), F.col("_bucket"), F.lit(s))
-    per_window = (pre.select(F.explode(starts).alias("_start"), *ks, "_part")
-                  .groupBy("_start", *ks).agg(F.sum("_part").alias(name)))
+    fanned = (routed.select("_chunk", *ks, F.explode(starts).alias("_start"), "_part")
+              .filter(floor_to(F.col("_start"), d) == F.col("_chunk")))
+    per_window = fanned.groupBy("_chunk", *ks, "_start").agg(F.sum("_part").alias(name))
 
     def as_ts(c):
         t = F.timestamp_micros(c)
