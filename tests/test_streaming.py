@@ -134,3 +134,18 @@ def test_state_partitions_fixed_at_first_start(spark):
     assert sorted(os.listdir(state)) == ["0", "1", "2"] or sorted(
         d for d in os.listdir(state) if d.isdigit()) == ["0", "1", "2"]
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_versioned_sink_replay_is_idempotent(spark):
+    from tidewater.streaming.runner import write_version
+    out = scratch_path(spark, "versions")
+    b0 = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    b1 = spark.createDataFrame([("a", 5)], "k string, v int")
+    write_version(b0, 0, out)
+    write_version(b1, 1, out)
+    write_version(b1, 1, out)                       # replayed batch
+    assert rows(latest_versions(spark, out, ["k"])) == [("a", 5), ("b", 2)]
+    assert spark.read.parquet(out).count() == 3
+    single = scratch_path(spark, "versions")
+    write_version(b0, 0, single)
+    assert rows(latest_versions(spark, single, ["k"])) == [("a", 1), ("b", 2)]

@@ -9,6 +9,7 @@ there in as many micro-batches as the source limits allow, then ends;
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,23 +84,36 @@ def run_on_interval(writer: DataStreamWriter, spark: SparkSession, name: str,
 
 def versioned_writer(df: DataFrame, path: str, output_mode: str = "update",
                      batch_col: str = "batch_id") -> DataStreamWriter:
-    """``foreachBatch`` sink appending each micro-batch's rows tagged with its id.
+    """``foreachBatch`` sink: each micro-batch's rows go to ``<path>/<batch_col>=<id>``.
 
-    Replaying a batch after a failure appends identical rows with the same id,
-    so :func:`latest_versions` stays correct: the sink is idempotent in effect.
+    A batch replayed after a failure overwrites its own folder, so the sink is
+    idempotent; :func:`latest_versions` keeps the newest row per key.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn(batch_col, F.lit(batch_id).cast("long")) \
-             .write.mode("append").parquet(path)
+        write_version(batch, batch_id, path, batch_col)
 
     return df.writeStream.outputMode(output_mode).foreachBatch(write)
 
 
+def write_version(batch: DataFrame, batch_id: int, path: str, batch_col: str = "batch_id") -> None:
+    """Write one micro-batch's rows; writing the same id again replaces them."""
+    batch.write.mode("overwrite").parquet(f"{path}/{batch_col}={batch_id}")
+
+
 def latest_versions(spark: SparkSession, path: str, keys: list[str],
                     batch_col: str = "batch_id") -> DataFrame:
-    """Newest row per key from a versioned sink (update / complete modes)."""
+    """Newest row per key from a versioned sink (update / complete modes).
+
+    The batch ids come from the folder names (no job).  With one batch there
+    is one version per key and the rows are returned as they are; otherwise
+    one aggregation keeps the row of the highest batch id per key.
+    """
     rows = spark.read.parquet(path)
     values = [c for c in rows.columns if c not in keys and c != batch_col]
+    batches = {m.group(1) for f in rows.inputFiles()
+               for m in [re.search(rf"/{re.escape(batch_col)}=(\d+)/", f)] if m}
+    if len(batches) <= 1:
+        return rows.select(*keys, *values)
     newest = rows.groupBy(*keys).agg(
         F.max_by(F.struct(*values), F.col(batch_col)).alias("_v"))
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
