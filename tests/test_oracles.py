@@ -51,3 +51,17 @@ def test_query_matches_oracle(spark, duck, small_dir, key):
     assert type_diffs(schema, rel) == []
     assert len(srows) == len(orows)
     assert srows == orows or _close(srows, orows)
+
+
+@pytest.mark.parametrize("key", ["sliding_window_60m_1m", "top_k_per_window", "stream_tumbling_update",
+                                 "filter_row_predicate", "log_level_by_month"])
+def test_time_queries_match_in_a_non_utc_session(spark, duck, small_dir, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")      # +05:30
+    try:
+        pdf = entry.queries()[key](spark, small_dir).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(ORACLES[key])
+    assert _rows(list(pdf.columns), pdf.itertuples(index=False, name=None)) == \
+        _rows(list(rel.columns), rel.fetchall())

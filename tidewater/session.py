@@ -37,7 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          # out (sliding windows).  Irrelevant at cluster scale.
          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
                  os.environ.get("TIDEWATER_MIN_PARTITION_SIZE", "64k"))
-         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.session.timeZone", (extra or {}).get("spark.sql.session.timeZone", "UTC"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "12g"))
          .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true"))
