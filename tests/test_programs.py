@@ -47,3 +47,9 @@ def test_correlation_report_from_csv(spark):
     path = _text(spark, ["id,price,size,rooms", "1,100,10,1", "2,200,20,3", "3,300,31,2"], "houses")
     got = dict(rows(P.correlation_report_from_csv(spark, path, "price", drop=["id"], digits=3)))
     assert set(got) == {"size", "rooms"} and got["size"] > 0.99
+
+
+def test_kafka_program_explains_missing_connector(spark):
+    import pytest
+    with pytest.raises(RuntimeError, match="Kafka"):
+        P.viewing_figures_from_kafka(spark, "localhost:9092", "viewrecords")
