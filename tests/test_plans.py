@@ -115,3 +115,32 @@ def test_sliding_sum_final_aggregate_needs_no_third_shuffle(spark, small_dir):
     assert p.count("Exchange hashpartitioning") == 2
     final = p[:p.index("Generate explode(sequence")]
     assert "Exchange" not in final           # windows summed where the chunk already is
+
+
+def test_hot_join_key_is_split_by_aqe(spark):
+    """One key holds a third of the fact rows: AQE's skew join splits it."""
+    from tidewater.operators.relational import inner_join
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000).alias("k"),
+            F.col("id").alias("v"))
+        dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = inner_join(fact, dim, "k")
+        n = len(joined.collect())                      # runs this plan (AQE final plan)
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "skew=true" in final
+        assert n == 60_000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
