@@ -149,3 +149,20 @@ def test_versioned_sink_replay_is_idempotent(spark):
     single = scratch_path(spark, "versions")
     write_version(b0, 0, single)
     assert rows(latest_versions(spark, single, ["k"])) == [("a", 1), ("b", 2)]
+
+
+def test_sliding_windows_from_streamed_buckets_equal_batch(spark):
+    from tidewater.operators.windows import sliding_from_buckets
+    d = _write_batches(spark, BATCHES)
+    buckets = SJ.seconds_per_course(_stream(spark, d), "ts", "event_type", "2 minutes")
+    out = scratch_path(spark, "sink")
+    run_until_done(versioned_writer(buckets, out), spark, "test-buckets")
+    latest = latest_versions(spark, out, ["window_start", "window_end", "course_name"])
+    got = sliding_from_buckets(latest, "window_start", "course_name", "6 minutes", "2 minutes",
+                               "seconds_watched", "seconds_watched")
+    flat = spark.createDataFrame([r for b in BATCHES for r in b], SCHEMA) \
+        .withColumnRenamed("event_type", "course_name")
+    want = window_agg(flat, "ts", "course_name", "6 minutes", "2 minutes",
+                      {"seconds_watched": F.sum(F.lit(5)).cast("long")})
+    cols = ["window_start", "window_end", "course_name", "seconds_watched"]
+    assert rows(got, *cols) == rows(want, *cols)

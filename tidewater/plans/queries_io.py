@@ -17,6 +17,7 @@ from tidewater.plans import queries_core  # noqa: F401  (registers the batch ora
 from tidewater.plans.registry import ORACLES, half_up, register
 from tidewater.session import scratch_path
 from tidewater.sources import text as S
+from tidewater.operators.windows import sliding_from_buckets
 from tidewater.sources.streams import file_stream
 from tidewater.sources.tables import SCHEMAS, Tables
 from tidewater.streaming import jobs as SJ
@@ -151,9 +152,15 @@ def q_stream_tumbling_update(spark, sf):
 
 @register("stream_sliding_sum", ORACLES["sliding_window_60m_1m"])
 def q_stream_sliding_sum(spark, sf):
-    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "60 minutes",
-                                "1 minute")
-    return _run_versioned(spark, agg, "sliding", ["window_start", "window_end", "course_name"])
+    """The stream keeps tumbling 1-minute sums per course (state: one row per
+    bucket and course, one update per event); the 60-minute windows every
+    minute are built from that bucket table, not by copying each event into
+    60 windows of streaming state."""
+    buckets = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "1 minute")
+    latest = _run_versioned(spark, buckets, "sliding-buckets",
+                            ["window_start", "window_end", "course_name"])
+    return sliding_from_buckets(latest, "window_start", "course_name", "60 minutes", "1 minute",
+                                "seconds_watched", "seconds_watched")
 
 
 @register("stream_key_count", ORACLES["sliding_window_default_slide"])
@@ -161,8 +168,10 @@ def q_stream_key_count(spark, sf):
     ev = events_stream(spark, sf)
     lines = ev.select("ts", F.concat_ws(",", "event_type", F.col("ts").cast("string"))
                       .alias("value"))
-    agg = SJ.level_counts(lines, "ts", "value", ",", "2 minutes", "2 seconds")
-    return _run_versioned(spark, agg, "key-count", ["window_start", "window_end", "level"])
+    # 2-second bucket counts in the stream; 2-minute windows built from them
+    buckets = SJ.level_counts(lines, "ts", "value", ",", "2 seconds", None)
+    latest = _run_versioned(spark, buckets, "key-count", ["window_start", "window_end", "level"])
+    return sliding_from_buckets(latest, "window_start", "level", "2 minutes", "2 seconds", "n", "n")
 
 
 @register("micro_batch_trigger", ORACLES["tumbling_event_window"])

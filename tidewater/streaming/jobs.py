@@ -1,5 +1,10 @@
 """Streaming jobs.  The windowing logic is the batch code of
 ``tidewater.operators.windows``; only source, watermark and sink differ.
+
+Sliding windows on a stream: either aggregate ``window(ts, D, S)`` directly
+(each event updates D/S windows of state), or -- cheaper at scale -- keep
+tumbling S-wide bucket sums in the stream and build the D-long windows from
+the bucket table with ``operators.windows.sliding_from_buckets``.
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ def seconds_per_course(stream: DataFrame, ts: str, course: str, duration: str =
 
 
 def level_counts(lines: DataFrame, ts: str, line_col: str = "value", sep: str = ",",
-                 duration: str = "2 minutes", slide: str = "2 seconds",
+                 duration: str = "2 minutes", slide: str | None = "2 seconds",
                  watermark: str | None = None) -> DataFrame:
     """Count of the first field of each line ('LEVEL,...') per sliding window.
 
