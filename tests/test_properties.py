@@ -62,3 +62,14 @@ def test_band_score_matches_rule(spark, ratios):
     df = spark.createDataFrame([(r,) for r in ratios], "r double")
     got = [x[0] for x in df.select(band_score("r")).collect()]
     assert got == [_band(r) for r in ratios]
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from("xyz"), st.sampled_from(["p", "q", "r", None]),
+                               st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=40))
+def test_discovered_pivot_equals_native(spark, rows):
+    df = spark.createDataFrame(rows, "g string, p string, v int")
+    native = df.groupBy("g").pivot("p").agg(F.sum("v").alias("sum"), F.count("v").alias("cnt"))
+    ours = pivot_agg(df, "g", "p", {"sum": (F.sum, "v"), "cnt": (F.count, "v")})
+    assert ours.columns == native.columns
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, native.collect()))

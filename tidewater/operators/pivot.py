@@ -10,9 +10,11 @@ Two plans for the same result:
 * with measures given as Columns it uses Spark's ``pivot`` (two
   aggregations: per (group, value), then per group).
 
-With ``values=None`` the values are discovered first by one distinct job
-(sorted, at most ``max_values`` -- Spark's ``spark.sql.pivotMaxValues``
-default), as the reference's ``pivot(col)`` does.
+With ``values=None`` and spec measures, the input is aggregated once per
+(group, value), checkpointed (small), and values are discovered and the
+cells reshaped from the checkpoint: one pass over the input instead of a
+discovery pass plus an aggregation pass.  Values are sorted, at most
+``max_values`` (Spark's ``spark.sql.pivotMaxValues`` default).
 """
 
 from __future__ import annotations
@@ -56,6 +58,36 @@ def pivot_conditional(df: DataFrame, group_cols, pivot_col: str, values: Sequenc
     return df.groupBy(*groups).agg(*cells)
 
 
+def pivot_discovered(df: DataFrame, group_cols, pivot_col: str,
+                     measures: dict[str, MeasureSpec], max_values: int = 10_000) -> DataFrame:
+    """Pivot whose values are not known: one pass over the input.
+
+    The input is aggregated once per (group, value) -- each row of that result
+    already *is* a final cell -- and the small result is checkpointed to the
+    session's checkpoint folder.  Value discovery and the reshape to one row
+    per group then read the checkpoint, so the input is scanned once (not once
+    for discovery and again for the aggregate, as ``pivot(col)`` does).
+    """
+    from tidewater.session import checkpoint_root
+    groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    checkpoint_root(df.sparkSession)
+    names = list(measures)
+    cell_cols = [f"_m{i}" for i in range(len(names))]
+    cells = df.groupBy(*groups, pivot_col).agg(
+        *[fn(F.col(col) if isinstance(col, str) else col).alias(c)
+          for c, (fn, col) in zip(cell_cols, measures.values())]).checkpoint(eager=True)
+    values = discover_values(cells, pivot_col, max_values)
+    p = F.col(pivot_col)
+    single = len(names) == 1
+    out = []
+    for v in values:
+        cond = p.isNull() if v is None else (p == F.lit(v))
+        for name, c in zip(names, cell_cols):
+            out.append(F.first(F.when(cond, F.col(c)), ignorenulls=True)
+                       .alias(_cell_name(v, None if single else name)))
+    return cells.groupBy(*groups).agg(*out)
+
+
 def pivot_agg(df: DataFrame, group_cols, pivot_col: str,
               measures: dict[str, MeasureSpec] | dict[str, Column] | Column,
               values: Sequence | None = None, max_values: int = 10_000) -> DataFrame:
@@ -64,10 +96,12 @@ def pivot_agg(df: DataFrame, group_cols, pivot_col: str,
     Cells are named ``<value>_<measure>`` (``<value>`` for a single measure).
     """
     specs = isinstance(measures, dict) and all(isinstance(m, tuple) for m in measures.values())
-    if values is None:
-        values = discover_values(df, pivot_col, max_values)
     if specs:
+        if values is None:
+            return pivot_discovered(df, group_cols, pivot_col, measures, max_values)
         return pivot_conditional(df, group_cols, pivot_col, values, measures)
+    if values is None:
+        values = discover_values(df, pivot_col, max_values)
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     p = df.groupBy(*groups).pivot(pivot_col, list(values))
     if isinstance(measures, Column):
