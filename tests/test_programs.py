@@ -53,3 +53,10 @@ def test_kafka_program_explains_missing_connector(spark):
     import pytest
     with pytest.raises(RuntimeError, match="Kafka"):
         P.viewing_figures_from_kafka(spark, "localhost:9092", "viewrecords")
+
+
+def test_word_counts_from_files(spark):
+    texts = _text(spark, ["The cat and the dog.", "A dog, a DOG!", ""], "texts")
+    stops = _text(spark, ["the", "A ", "and", ""], "stops", crlf=True)
+    out = [(r["word"], r["n"]) for r in P.word_counts_from_files(spark, texts, stops).collect()]
+    assert out == [("dog", 3), ("cat", 1)]

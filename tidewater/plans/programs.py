@@ -54,6 +54,17 @@ def correlation_report_from_csv(spark: SparkSession, path: str, target: str,
     return jobs.price_correlation_report(S.read_csv_inferred(spark, path), target, drop, digits)
 
 
+def word_counts_from_files(spark: SparkSession, texts_path: str, stop_words_path: str) -> DataFrame:
+    """Every line of the text files -> (word, n) over words not in the stop-word file
+    (one word per line), most frequent first (word breaks ties)."""
+    from tidewater.operators.text import remove_stop_words, tokenize, word_counts
+    texts = spark.read.text(texts_path, wholetext=False)
+    stops = spark.read.text(stop_words_path).select(F.lower(F.trim("value")).alias("word")) \
+        .filter(F.col("word") != "")
+    words = remove_stop_words(tokenize(texts, "value"), "word", stops)
+    return word_counts(words, "word", "n").orderBy(F.col("n").desc(), F.col("word").asc())
+
+
 def viewing_figures_from_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                                duration: str = "2 minutes", slide: str | None = None,
                                watermark: str | None = None) -> DataFrame:
