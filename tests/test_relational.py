@@ -99,3 +99,12 @@ def test_conditional_pivot_is_one_aggregation(spark, sales):
     p = pivot_agg(sales, "k", "g", {"s": (F.sum, "n")}, ["x", "y"])
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_spread_only_when_partitions_are_few(spark):
+    from tidewater.operators.relational import spread_if_few_partitions
+    few = spark.range(0, 1000, numPartitions=2)
+    spread = spread_if_few_partitions(few, 8)
+    assert spread.rdd.getNumPartitions() == 8 and spread.count() == 1000
+    many = spark.range(0, 1000, numPartitions=16)
+    assert spread_if_few_partitions(many, 8) is many

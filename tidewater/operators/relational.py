@@ -155,3 +155,18 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """null -> 0 on the named columns, names and positions kept."""
     return df.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
+
+
+def spread_if_few_partitions(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin the rows over ``min_partitions`` tasks when the input has
+    fewer partitions than that, before CPU-heavy per-row work.
+
+    A scan has fewer partitions than the cluster has cores only when the
+    input is small (each split holds at most ``spark.sql.files.maxPartitionBytes``),
+    so the extra shuffle is bounded; on large inputs this returns ``df``
+    unchanged and adds nothing to the plan.
+    """
+    if df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+

@@ -27,8 +27,17 @@ WORD_PATTERN = "[^a-z]+"
 
 
 def tokenize(df: DataFrame, text_col: str, pattern: str = WORD_PATTERN, lower: bool = True,
-             keep: Sequence[str] = (), word_col: str = "word") -> DataFrame:
-    """One row per non-empty token of the whole text, extra columns in ``keep``."""
+             keep: Sequence[str] = (), word_col: str = "word",
+             min_partitions: int | None = None) -> DataFrame:
+    """One row per non-empty token of the whole text, extra columns in ``keep``.
+
+    ``min_partitions``: spread a small input over at least that many tasks
+    before splitting (see ``relational.spread_if_few_partitions``); large
+    inputs are left as they are.
+    """
+    if min_partitions:
+        from tidewater.operators.relational import spread_if_few_partitions
+        df = spread_if_few_partitions(df.select(*keep, text_col), min_partitions)
     t = F.lower(F.col(text_col)) if lower else F.col(text_col)
     words = df.select(*keep, F.explode(F.split(t, pattern)).alias(word_col))
     return words.filter(F.col(word_col) != "")

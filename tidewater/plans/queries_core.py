@@ -206,7 +206,9 @@ where word <> '' and word not in ({_stop_list_sql()})
 group by word""")
 def q_stopword_filter(spark, sf):
     docs = Tables(spark, sf).documents
-    words = remove_stop_words(tokenize(docs, "text"), "word", STOP_WORDS)
+    words = remove_stop_words(
+        tokenize(docs, "text", min_partitions=spark.sparkContext.defaultParallelism),
+        "word", STOP_WORDS)
     return word_counts(words, "word", "n")
 
 
