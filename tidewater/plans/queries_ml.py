@@ -7,7 +7,7 @@ checked for invariants in the unit tests.
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -170,25 +170,34 @@ def q_grid_search(spark, sf):
 
 @register("ml_stages")
 def q_ml_stages(spark, sf):
-    """Indexers -> one-hot -> assembler -> linear regression, fitted as one
-    stage list on a training split; predictions for every holdout row."""
+    """Indexers -> one-hot -> assembler -> tuned linear regression (3 x 3 grid,
+    validation ratio 0.8), fitted as one stage list on a training split;
+    predictions for every holdout row."""
     df = _lineitem_regression_frame(spark, sf).withColumnRenamed("l_extendedprice", "label")
     train, holdout = FE.seeded_split(df, [0.8, 0.2], 42)
     stages = MJ._encoded_stages(["p_type", "l_returnflag"], ["l_quantity", "p_retailprice"])
-    model = M.fit_stages(stages + [M.linear_regression()], train)
+    lr = M.linear_regression()
+    tvs = M.TrainValidationSplit(estimator=lr, estimatorParamMaps=M.grid(lr, (0.01, 0.1, 0.5),
+                                                                        (0.0, 0.5, 1.0)),
+                                 evaluator=RegressionEvaluator(metricName="r2"), trainRatio=0.8,
+                                 seed=42, parallelism=4)
+    model = M.fit_stages(stages + [tvs], train)
     return model.transform(holdout).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 @register("logistic_regression")
 def q_logistic_regression(spark, sf):
-    """Binary classifier on document features; holdout predictions."""
+    """Binary classifier on document features, tuned over regParam x elasticNet
+    (6 x 3, validation ratio 0.9, area under ROC); holdout predictions."""
     d = _labelled_docs(spark, sf)
     stages = MJ._encoded_stages(["lang"], ["n_chars"])
     prepared = M.fit_stages(stages, d).transform(d) \
         .select("doc_id", F.col("quality").cast("double").alias("label"), "features")
-    train, holdout = FE.seeded_split(prepared, [0.8, 0.2], 42)
-    model = M.logistic_regression().fit(train)
-    pred = model.transform(holdout)
+    train, holdout = FE.seeded_split(prepared, [0.9, 0.1], 42)
+    lr = M.logistic_regression()
+    tuned = M.tune(lr, M.grid(lr, (0.01, 0.1, 0.3, 0.5, 0.7, 1.0), (0.0, 0.5, 1.0)),
+                   BinaryClassificationEvaluator(metricName="areaUnderROC"), train, 0.9, 42)
+    pred = tuned.bestModel.transform(holdout)
     return pred.select("doc_id", "label", "prediction",
                        vector_to_array("probability").getItem(1).alias("p_positive"))
 
