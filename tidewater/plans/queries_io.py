@@ -131,9 +131,15 @@ def events_stream(spark, sf, max_files_per_trigger=None):
                        max_files_per_trigger=max_files_per_trigger)
 
 
+def _state_partitions(spark) -> int:
+    """One state-store partition per core (fixed when a query first starts)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _run_versioned(spark, df, name, keys, output_mode="update"):
     out = scratch_path(spark, f"sink-{name}")
-    run_until_done(versioned_writer(df, out, output_mode), spark, name)
+    run_until_done(versioned_writer(df, out, output_mode), spark, name,
+                   state_partitions=_state_partitions(spark))
     return latest_versions(spark, out, keys)
 
 
@@ -179,7 +185,8 @@ def q_micro_batch_trigger(spark, sf):
     """The tumbling job under a fixed 1-second processing-time trigger."""
     agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes")
     out = scratch_path(spark, "sink-interval")
-    run_on_interval(versioned_writer(agg, out), spark, "interval", "1 second")
+    run_on_interval(versioned_writer(agg, out), spark, "interval", "1 second",
+                    state_partitions=_state_partitions(spark))
     return latest_versions(spark, out, ["window_start", "window_end", "course_name"])
 
 
@@ -201,7 +208,7 @@ def q_stream_watermark_append(spark, sf):
                                 watermark="10 minutes")
     out = scratch_path(spark, "sink-append")
     writer = agg.writeStream.outputMode("append").format("parquet").option("path", out)
-    run_until_done(writer, spark, "watermark-append")
+    run_until_done(writer, spark, "watermark-append", state_partitions=_state_partitions(spark))
     return spark.read.parquet(out)
 
 

@@ -68,11 +68,13 @@ def run_until_done(writer: DataStreamWriter, spark: SparkSession, name: str,
 
 
 def run_on_interval(writer: DataStreamWriter, spark: SparkSession, name: str,
-                    processing_time: str = "1 second", checkpoint: str | None = None) -> None:
+                    processing_time: str = "1 second", checkpoint: str | None = None,
+                    state_partitions: int | None = None) -> None:
     """Run with a fixed micro-batch interval until everything available so
     far has been processed, then stop (a running service would instead
     ``awaitTermination()``)."""
-    q = start(writer, spark, name, processing_time=processing_time, checkpoint=checkpoint)
+    q = start(writer, spark, name, processing_time=processing_time, checkpoint=checkpoint,
+              state_partitions=state_partitions)
     try:
         q.processAllAvailable()
         err = q.exception()
