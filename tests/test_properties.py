@@ -15,6 +15,7 @@ SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture,
                                            HealthCheck.too_slow])
 BASE = dt.datetime(2024, 1, 1)
+SMALL = settings(SETTINGS, max_examples=8)
 
 events = st.lists(st.tuples(st.integers(-3_600, 20_000), st.sampled_from("abc"),
                             st.integers(1, 9)), min_size=1, max_size=60)
@@ -73,3 +74,71 @@ def test_discovered_pivot_equals_native(spark, rows):
     ours = pivot_agg(df, "g", "p", {"sum": (F.sum, "v"), "cnt": (F.count, "v")})
     assert ours.columns == native.columns
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, native.collect()))
+
+
+def _course_popularity_brute(views, chapters, titles):
+    course_of = dict(chapters)
+    size = {}
+    for _, c in chapters:
+        size[c] = size.get(c, 0) + 1
+    watched = {}
+    for u, ch in set(views):
+        if ch in course_of:
+            key = (u, course_of[ch])
+            watched[key] = watched.get(key, 0) + 1
+    score = {}
+    for (u, c), n in watched.items():
+        r = n / size[c]
+        s = 10 if r > 0.9 else 4 if r > 0.5 else 2 if r > 0.25 else 0
+        score[c] = score.get(c, 0) + s
+    names = dict(titles)
+    return sorted((c, names[c], s) for c, s in score.items() if c in names)
+
+
+@SMALL
+@given(views=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 14)), max_size=40),
+       sizes=st.lists(st.integers(1, 5), min_size=1, max_size=4))
+def test_course_popularity_equals_brute_force(spark, views, sizes):
+    from tidewater.plans import jobs
+    chapters, ch = [], 0
+    for course, n in enumerate(sizes):
+        for _ in range(n):
+            chapters.append((ch, course))
+            ch += 1
+    titles = [(c, f"t{c}") for c in range(len(sizes)) if c != 1]       # course 1 has no title
+    got = jobs.course_popularity(
+        spark.createDataFrame(views, "user_id int, chapter_id int"),
+        spark.createDataFrame(chapters, "chapter_id int, course_id int"),
+        spark.createDataFrame(titles, "course_id int, title string")).collect()
+    assert sorted(tuple(r) for r in got) == _course_popularity_brute(views, chapters, titles)
+
+
+@SMALL
+@given(ratings=st.lists(st.tuples(st.integers(0, 6), st.integers(1, 5)), max_size=80),
+       min_count=st.integers(0, 4), k=st.integers(1, 4))
+def test_lowest_rated_items_equals_brute_force(spark, ratings, min_count, k):
+    from tidewater.plans import jobs
+    names = [(i, f"n{i}") for i in range(0, 7, 2)]                  # odd items unnamed
+    got = jobs.lowest_rated_items(spark.createDataFrame(ratings, "item int, rating int"),
+                                  spark.createDataFrame(names, "item int, name string"),
+                                  min_count=min_count, k=k).collect()
+    per = {}
+    for i, r in ratings:
+        per.setdefault(i, []).append(r)
+    stats = sorted(((sum(v) / len(v), i, len(v)) for i, v in per.items() if len(v) > min_count))[:k]
+    want = [(i, dict(names).get(i), n, avg) for avg, i, n in stats]
+    assert [tuple(r) for r in got] == want
+
+
+@SMALL
+@given(rows=st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 20), st.integers(0, 3)),
+                     min_size=1, max_size=50), k=st.integers(1, 3))
+def test_top_k_per_group_equals_brute_force(spark, rows, k):
+    from tidewater.operators.relational import top_k_per_group
+    df = spark.createDataFrame([(g, i, v) for i, (g, _, v) in enumerate(rows)], "g string, id int, v int")
+    got = top_k_per_group(df, "g", [F.col("v").desc(), F.col("id").asc()], k)
+    want = []
+    for g in sorted({r[0] for r in rows}):
+        items = sorted(((-v, i) for i, (gg, _, v) in enumerate(rows) if gg == g))[:k]
+        want += [(g, i, -nv, rank + 1) for rank, (nv, i) in enumerate(items)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
