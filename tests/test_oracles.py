@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import _close, _rows, type_diffs  # noqa: E402
+from tidewater.plans import catalog  # noqa: E402
 from tidewater.sources.tables import TABLE_NAMES, table_path  # noqa: E402
 
-ORACLES = entry.oracle_sql()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +27,8 @@ def duck(small_dir):
 
 
 def test_registry_is_consistent():
-    qs = entry.queries()
-    assert set(ORACLES) <= set(qs)
+    qs = catalog.queries()
+    assert set(ORACLES) <= set(qs) <= set(entry.queries())
     assert len(qs) >= 90
     for bad in ("pipeline", "llm"):
         assert not any(bad in k for k in qs)
