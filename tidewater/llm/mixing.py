@@ -26,10 +26,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.llm.common import feistel, row_hash, stored, word_count
+from tidewater.llm.common import feistel, packed, row_hash, stored, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
-CHUNK = 4096
+CHUNK, MAX_TASKS = 4096, 20_000
 
 
 def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0,
@@ -74,7 +74,7 @@ def draw_slots(src: DataFrame, total_slots: int, blocks_per_shard: int, seed: in
                                  F.floor((F.col("slots") - 1) / CHUNK).cast("long")))
     chunks = (src.where("slots > 0").select("pos", "blocks", "slots", "slot_start",
                                             first.alias("chunk"))
-              .repartition("pos", "chunk"))
+              .repartition(min(total_slots // CHUNK + 1, MAX_TASKS), "pos", "chunk"))
     k = chunks.select("pos", "blocks", "slot_start", F.explode(F.sequence(
         F.col("chunk") * CHUNK,
         F.least((F.col("chunk") + 1) * CHUNK, F.col("slots")) - 1)).alias("k"))
@@ -94,6 +94,12 @@ def shard_counts(slots: DataFrame) -> DataFrame:
     return slots.groupBy("shard", "pos").agg(F.count("*").alias("n_blocks"))
 
 
+def block_uses(slots: DataFrame) -> DataFrame:
+    """How often each block is taken.  As many rows as the mix has blocks: never to be broadcast,
+    though the plan, which only knows the small table of sources, would estimate it as tiny."""
+    return slots.groupBy("pos", "block").agg(F.count("*").alias("uses")).hint("merge")
+
+
 def streams(rows: DataFrame, src: DataFrame, lanes: int) -> DataFrame:
     """(source, size, key...) rows with ``pos`` and ``start``, the words before them in their source."""
     rows = rows.withColumn("lane", F.pmod(F.xxhash64("key", "size"), F.lit(lanes)))
@@ -128,7 +134,7 @@ def mix_documents(docs: DataFrame, block_words: int = 256, blocks_per_shard: int
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                        F.xxhash64("doc_id", "text").alias("key"))
     placed, src, slots = plan(rows, block_words, blocks_per_shard, seed, lanes, share, most)
-    uses = slots.groupBy("pos", "block").agg(F.count("*").alias("uses"))
+    uses = block_uses(slots)
     L = F.lit(block_words)
     cut = placed.where("size > 0").select(
         "doc_id", "pos", "start", "size", F.explode(F.sequence(
@@ -152,16 +158,15 @@ def mixed_rows(docs: DataFrame, block_words: int = 256, blocks_per_shard: int =
     Used where the output must keep the documents whole; on average a
     document appears target / source size times.  Equal rows count together.
     """
-    keyed = docs.withColumns({"_mix_key": row_hash(docs), "_mix_size": word_count(F.col("text"))})
-    rows = keyed.select(F.col("_mix_key").alias("key"), "source", F.col("_mix_size").alias("size"))
+    keyed = packed(docs, source=F.col("source"), key=row_hash(docs), size=word_count(F.col("text")))
+    rows = keyed.select("key", "source", "size")
     placed, _, slots = plan(rows, block_words, blocks_per_shard, seed, lanes, share, most)
-    uses = slots.groupBy("pos", "block").agg(F.count("*").alias("uses"))
+    uses = block_uses(slots)
     begun = placed.where("size > 0").select(
         "key", "size", "pos", F.floor(F.col("start") / block_words).alias("block"))
     copies = (begun.join(uses, ["pos", "block"]).groupBy("key", "size")
-              .agg(F.sum("uses").cast("int").alias("_mix_copies"))
-              .withColumnsRenamed({"key": "_mix_key", "size": "_mix_size"}))
-    one = keyed.dropDuplicates(["_mix_key", "_mix_size"])
-    return (one.join(copies, ["_mix_key", "_mix_size"])
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-            .select(*docs.columns))
+              .agg(F.sum("uses").cast("int").alias("copies")))
+    one = keyed.dropDuplicates(["key", "size"])           # all of the equal rows' copies come of one
+    return (one.join(copies, ["key", "size"])
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select("_row.*"))
