@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from tidewater.llm.queries import QUERIES
 
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def queries():
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():

@@ -22,9 +22,19 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def row_hash(df: DataFrame, *more) -> Column:
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """The whole row as one column ``_row`` beside the named columns.
+
+    An operator's own columns then clash with none of the input's; the rows
+    come back with ``select("_row.*")``.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row, *[c.alias(name) for name, c in more.items()])
+
+
+def row_hash(df: DataFrame) -> Column:
     """64-bit content hash of a whole row: equal rows have equal hashes."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], *more)
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -82,7 +92,7 @@ def feistel(x: Column, n: Column, key: Column, rounds: int = 4) -> Column:
 
 
 def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, int]:
-    """(``df`` with its rank ``_row`` from 0 in ``order``, the number of rows).
+    """(``df`` with its rank ``_rank`` from 0 in ``order``, the number of rows).
 
     Rows are dealt by range, so a run of equal keys is split by the scan
     position added behind them: a key that holds a third of all rows is no
@@ -104,5 +114,5 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame,
     offsets = df.sparkSession.createDataFrame(starts, "_part int, _start long")
     # monotonically_increasing_id() is the partition's number * 2**33 + the place in it
     out = dealt.join(F.broadcast(offsets), "_part").withColumn(
-        "_row", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1))
+        "_rank", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1))
     return out.drop("_part", "_at", "_start"), total

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, sharding
+from tidewater.llm import decontam, mixing, quality_rules, sharding, simhash
 from tidewater.llm.common import read
 
 
+def op1_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_classes(read(spark, sf_dir, "documents"), shingle=3, budget=2)
+
+
+def op2_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.document_quality(read(spark, sf_dir, "documents"),
+                                          read(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read(spark, sf_dir, "documents"))
 
@@ -16,4 +25,10 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(read(spark, sf_dir, "documents"), n_shards=40)
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op7_feistel_shards)}
+def op10_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_classes, op2_quality_ratio, op3_mix_sources, op7_feistel_shards,
+    op10_benchmark_overlaps)}

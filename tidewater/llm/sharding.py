@@ -8,15 +8,14 @@ row number without any table, so a reader can find a row again.
 
 Defined results: equal rows get different, interchangeable places; a null or
 empty text has size ``overhead`` and CRC 0; an empty table gives no rows;
-extra columns are carried along.  Reserved column names: ``_tie _part _at
-_start _row shard slot``.
+extra columns are carried along, but ``shard`` and ``slot`` are replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import feistel, numbered
+from tidewater.llm.common import feistel, numbered, packed
 
 
 def locate(row: Column, total: Column, n_shards: int, seed: int) -> Column:
@@ -32,11 +31,11 @@ def shard_rows(df: DataFrame, order: list[Column], n_shards: int, seed: int = 7,
     """``df`` with ``shard`` (0..n_shards-1) and ``slot``; ``order`` fixes the row numbers."""
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
-    rows, total = numbered(df, order, name)
-    at = locate(F.col("_row"), F.lit(total).cast("long"), n_shards, seed)
-    return (rows.withColumn("_place", at)
-            .withColumns({"shard": F.col("_place.shard"), "slot": F.col("_place.slot")})
-            .drop("_place", "_row"))
+    df = df.drop("shard", "slot")
+    keys = {f"_order{i}": c for i, c in enumerate(order)}
+    rows, total = numbered(packed(df, **keys), [F.col(k) for k in keys], name)
+    at = locate(F.col("_rank"), F.lit(total).cast("long"), n_shards, seed)
+    return rows.withColumn("_place", at).select("_row.*", "_place.shard", "_place.slot")
 
 
 def document_shards(docs: DataFrame, n_shards: int = 40, seed: int = 7,
