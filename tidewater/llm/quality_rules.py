@@ -117,7 +117,10 @@ def judged(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
     """docs plus the base columns, ``ratio`` and ``kept``."""
     model = fit(docs, trusted, buckets)
     out = word_features(docs).withColumn("ratio", ratio("_h", model)).drop("_h")
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+    # Always true, but not foldable: a filter on ``kept`` stays above these
+    # columns.  Pushed below them it would repeat their expressions many times over.
+    here = F.monotonically_increasing_id() >= 0
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold) & here)
 
 
 def document_quality(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
