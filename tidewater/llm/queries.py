@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontam, mixing, quality_rules, sharding, simhash
+from tidewater.llm import decontam, mixing, ppm, quality_rules, ranking, sharding, simhash, warc, wordpiece
 from tidewater.llm.common import read
 
+#: A public byte-level vocabulary, read as word pieces: those with a leading space begin a word.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def op1_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.document_classes(read(spark, sf_dir, "documents"), shingle=3, budget=2)
@@ -21,14 +24,32 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read(spark, sf_dir, "documents"))
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(read(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.document_scores(read(spark, sf_dir, "documents"))
+
+
 def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(read(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op8_wordpiece_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    pieces = wordpiece.read_ranked_vocabulary(vocabulary)
+    return wordpiece.token_counts(read(spark, sf_dir, "documents"), pieces)
+
+
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.document_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                                   cut_score=0.3)
+
+
 def op10_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_classes, op2_quality_ratio, op3_mix_sources, op7_feistel_shards,
-    op10_benchmark_overlaps)}
+    op1_simhash_classes, op2_quality_ratio, op3_mix_sources, op4_warc_index,
+    op6_ppm_scores, op7_feistel_shards, op8_wordpiece_counts, op9_pairwise_quality, op10_benchmark_overlaps)}
