@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontam, mixing, ppm, quality_rules, ranking, sharding, simhash, warc, wordpiece
+from tidewater.llm import (decontam, mixing, ppm, quality_rules, ranking, sharding, simhash,
+                           suffix_dedup, warc, wordpiece)
 from tidewater.llm.common import read
 
 #: A public byte-level vocabulary, read as word pieces: those with a leading space begin a word.
@@ -28,6 +29,10 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(read(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.document_cuts(read(spark, sf_dir, "documents"), length=100)
+
+
 def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.document_scores(read(spark, sf_dir, "documents"))
 
@@ -52,4 +57,4 @@ def op10_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_classes, op2_quality_ratio, op3_mix_sources, op4_warc_index,
-    op6_ppm_scores, op7_feistel_shards, op8_wordpiece_counts, op9_pairwise_quality, op10_benchmark_overlaps)}
+    op5_repeated_bytes, op6_ppm_scores, op7_feistel_shards, op8_wordpiece_counts, op9_pairwise_quality, op10_benchmark_overlaps)}
