@@ -27,7 +27,7 @@ from tidewater.llm.common import packed, row_hash, stored
 
 TOKEN = r"[\p{L}\p{M}\p{N}]+"
 #: (least words of an item, masks of that span); 1 keeps a position, 0 ignores it.
-FAMILIES = ((12, ("110100110101", "101011001011", "111001010011")), (4, ("1101", "1011")),
+FAMILIES = ((12, ("110100100001", "101000010011", "100011001001")), (4, ("1101", "1011")),
             (3, ("111",)), (2, ("11",)), (1, ("1",)))
 SEGMENT = 4096
 
