@@ -72,17 +72,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: list[str] = ("doc_id",),
             least: float = 0.8, block_seeds: int = 500_000) -> DataFrame:
     """Confirmed overlaps: key..., item_id, words (equal words of the best window), first, last."""
     parts = stored(segments(benchmark, window), "decontam-items")
+    cost = F.size("item") * 3
+    bound = max(block_seeds, parts.agg(F.max(cost)).head()[0] or 0)     # a segment is never parted
     n_blocks = 1
     while True:                                   # the size of each broadcast is checked
         sized = parts.withColumn("block", F.pmod("seg_id", F.lit(n_blocks)))
-        most = sized.groupBy("block").agg(F.sum(F.size("item") * 3).alias("n")).agg(F.max("n")).head()[0] or 0
-        if most <= block_seeds or n_blocks >= 1 << 20:
+        if (sized.groupBy("block").agg(F.sum(cost).alias("n")).agg(F.max("n")).head()[0] or 0) <= bound:
             break
         n_blocks *= 2
-    spans = sorted(r[0] for r in parts.select("span").distinct().collect())   # at most five
+    blocks = {tuple(r) for r in sized.select("block", "span").distinct().collect()}   # one per pass
     base = docs.select(*key, token_hashes(F.col("text")).alias("doc"))
     hits = [_hits(base, sized.where(F.col("block") == b), span, masks, list(key), window, least)
-            for b in range(n_blocks) for span, masks in FAMILIES if span in spans]
+            for b, s in sorted(blocks) for span, masks in FAMILIES if span == s]
     if not hits:
         hits = [_hits(base, sized, 1, ("1",), list(key), window, least)]
     found = hits[0]
