@@ -37,20 +37,19 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewater.llm.common import stored
-
 LENGTH, GRAM, HOT = 100, 30, 2000
 CHUNK_BYTES = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
-ROUTED = "p int, o int, d bigint, a bigint, h bigint, n bigint, body binary"
 
 
 # ----------------------------------------------------------- rolling hashes
@@ -189,14 +188,14 @@ def _runs(a: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
                                       names=["a", "start", "end"])
 
 
-def _joined_runs(row: np.ndarray, start: np.ndarray, length: int):
-    """(row, start, end) runs of windows given by row and start, both sorted."""
+def _merged(row: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Overlapping or touching (row, start, end) runs joined; starts and ends rise within a row."""
     if not len(row):
-        return row, start, start
+        return row, start, end
     new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (start[1:] > start[:-1] + length)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > end[:-1])
     ends = np.append(np.flatnonzero(new)[1:], len(row)) - 1
-    return row[new], start[new], start[ends] + length
+    return row[new], start[new], end[ends]
 
 
 def stretches(routed: DataFrame, length: int, hot: int) -> DataFrame:
@@ -231,8 +230,8 @@ def stretches(routed: DataFrame, length: int, hot: int) -> DataFrame:
             whole = whole ^ (size.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
             later = np.ones(len(whole), dtype=bool)
             later[np.unique(np.stack([whole, phrase], 1), axis=0, return_index=True)[1]] = False
-            yield out(pa.nulls(int(later.sum()), pa.int64()), [None] * int(later.sum()), a[doc[later]],
-                      (first - at[doc])[later], (last + length - at[doc])[later], [None] * int(later.sum()))
+            row, begin, end = _merged(doc[later], first[later], last[later] + length)
+            yield out([None] * len(row), [None] * len(row), a[row], begin - at[row], end - at[row], [None] * len(row))
             todo = ~later & ~common
             view = memoryview(parsed.flat)
             yield out(_signed(phrase[todo]), [d[i] for i in doc[todo]], a[doc[todo]], (first - at[doc])[todo],
@@ -246,7 +245,7 @@ def stretches(routed: DataFrame, length: int, hot: int) -> DataFrame:
                 h = parsed.rolling(start, length)
                 again = np.ones(len(h), dtype=bool)
                 again[np.unique(h, return_index=True)[1]] = False
-                row, begin, end = _joined_runs(owner[again], start[again], length)
+                row, begin, end = _merged(owner[again], start[again], start[again] + length)
                 yield out([None] * len(row), [None] * len(row), a[row], begin - at[row], end - at[row],
                           [None] * len(row))
                 own, begin = owner[~again], start[~again]
@@ -254,39 +253,36 @@ def stretches(routed: DataFrame, length: int, hot: int) -> DataFrame:
                           begin + length - at[own], [None] * len(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, words, copies, table, rows = None, [], {}, None, []
-        for b in batches:
-            for part, o, d, a, h, n, body in zip(*(c.to_pylist() for c in b.columns)):
-                if part != p:
-                    if rows:
-                        yield from settle(rows, *table)
-                    p, words, copies, table, rows = part, [], {}, None, []
-                if o == 0:
-                    words.append((h, n))
-                elif o == 1:
-                    copies[h] = a
-                else:
-                    if table is None:
-                        known = np.array(words, dtype=np.int64).reshape(-1, 2)
-                        phrases, where = np.unique(known[:, 0].view(np.uint64), return_index=True)
-                        table, words = (phrases, known[where, 1]), []
-                    if len(body) < length:
-                        continue
-                    if copies.get(document_hash(body), a) != a:        # a later copy of a document
-                        yield out([None], [None], [a], [0], [len(body)], [None])
-                    else:
-                        rows.append((d, a, body))
-            if rows and sum(len(r[-1]) for r in rows) >= 8 * CHUNK_BYTES:
-                yield from settle(rows, *table)
-                rows = []
-        if rows:
-            yield from settle(rows, *table)
+        p, words, copies, table = None, [], {}, None
+        for part, o, a, h, n, body in _fields(batches):
+            if part != p:
+                p, words, copies, table = part, [], {}, None
+            if o == 0:
+                words.append((h, n))
+            elif o == 1:
+                copies[h] = a
+            else:
+                if table is None:
+                    known = np.array(words, dtype=np.int64).reshape(-1, 2)
+                    phrases, where = np.unique(known[:, 0].view(np.uint64), return_index=True)
+                    table, words = (phrases, known[where, 1]), []
+                rows, whole = [], []
+                for d, i, text in _unpacked(body):
+                    if len(text) >= length:
+                        if copies.get(document_hash(text), i) != i:    # a later copy of a document
+                            whole.append((i, len(text)))
+                        else:
+                            rows.append((d, i, text))
+                none = [None] * len(whole)
+                yield out(none, none, [w[0] for w in whole], [0] * len(whole), [w[1] for w in whole], none)
+                if rows:
+                    yield from settle(rows, *table)
 
     return routed.mapInArrow(run, "key bigint, d bigint, a bigint, start bigint, end bigint, body binary")
 
 
 def compare(found: DataFrame, length: int) -> DataFrame:
-    """Runs (a, start, end) of the windows that are not the first of their class."""
+    """Runs (a, start, end): those settled, and the windows that are not the first of their class."""
     def resolve(rows: list[tuple]) -> pa.RecordBatch:
         sizes = np.fromiter((len(r[-1]) for r in rows), dtype=np.int64, count=len(rows))
         at, n = np.cumsum(sizes) - sizes, sizes - length + 1
@@ -296,14 +292,18 @@ def compare(found: DataFrame, length: int) -> DataFrame:
         again = np.ones(len(h), dtype=bool)
         again[np.unique(h, return_index=True)[1]] = False
         start = np.array([r[2] for r in rows])
-        row, begin, end = _joined_runs(owner[again], (inside + start[owner])[again], length)
+        begin = (inside + start[owner])[again]
+        row, begin, end = _merged(owner[again], begin, begin + length)
         return _runs(np.array([r[1] for r in rows])[row], begin, end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last, single = [], 0, None, (False, None)
         for b in batches:
             ones = []
-            for key, a, start, end, body in zip(*(c.to_pylist() for c in b.columns)):
+            for kind, key, a, start, end, body in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == 2:
+                    ones.append((a, start, end))
+                    continue
                 if body is None:                       # one window: equal keys are equal windows
                     if single == (True, key):
                         ones.append((a, start, end))
@@ -320,10 +320,12 @@ def compare(found: DataFrame, length: int) -> DataFrame:
         if rows:
             yield resolve(rows)
 
-    todo = found.where("key is not null").withColumn("alone", F.col("body").isNull())
-    dealt = todo.repartition("alone", "key").sortWithinPartitions(
-        "alone", "key", F.col("d").asc_nulls_last(), "a", "start")
-    return dealt.select("key", "a", "start", "end", "body").mapInArrow(run, "a bigint, start bigint, end bigint")
+    kind = F.when(F.col("key").isNull(), 2).when(F.col("body").isNull(), 1).otherwise(0)
+    todo = found.withColumns({"kind": kind, "key": F.coalesce("key", "a")})
+    dealt = todo.repartition("kind", "key").sortWithinPartitions(
+        "kind", "key", F.col("d").asc_nulls_last(), "a", "start")
+    return dealt.select("kind", "key", "a", "start", "end", "body").mapInArrow(
+        run, "a bigint, start bigint, end bigint")
 
 
 # ----------------------------------------------------------------- cutting
@@ -344,11 +346,37 @@ def _cut(body: bytes, runs: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     return removed, spans, b"".join(kept)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """(p, blob): the documents of a scan partition in compressed chunks, for the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p, d, a, bodies = (c.to_pylist() for c in b.columns)
+            for part in chunks(list(zip(p, d, a, bodies))):
+                blob = zstandard.compress(pickle.dumps([r[1:] for r in part], protocol=5), 3)
+                yield pa.RecordBatch.from_arrays([pa.array([part[0][0]], pa.int32()), pa.array([blob], pa.binary())],
+                                                 names=["p", "body"])
+
+    return rows.select("p", "d", "a", "body").mapInArrow(run, "p int, body binary")
+
+
+def _unpacked(blob: bytes) -> list[tuple]:
+    """(doc_id, row, text) of a chunk that ``_packed`` made in this same query."""
+    return pickle.loads(zstandard.decompress(blob))
+
+
 def _routed(docs: DataFrame, notes: DataFrame) -> DataFrame:
     """Documents and notes of each scan partition together, the notes (o < 2) first."""
-    both = notes.unionByName(docs.withColumns({
-        "o": F.lit(2), "h": F.lit(None).cast("long"), "n": F.lit(None).cast("long")}))
-    return both.select("p", "o", "d", "a", "h", "n", "body").repartition("p").sortWithinPartitions("p", "o")
+    none = {c: F.lit(None).cast("long") for c in ("a", "h", "n")}
+    both = notes.unionByName(_packed(docs).withColumns({"o": F.lit(2), **none}))
+    return both.select("p", "o", "a", "h", "n", "body").repartition("p").sortWithinPartitions("p", "o")
+
+
+def _fields(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of ``_routed``, one after the other; blobs are not held longer than needed."""
+    for b in batches:
+        small = [c.to_pylist() for c in b.columns[:-1]]
+        for i, row in enumerate(zip(*small)):
+            yield (*row, b.column(5)[i].as_py())
 
 
 def cut_documents(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -360,28 +388,25 @@ def cut_documents(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
                        F.coalesce("text", F.lit("")).cast("binary").alias("body"))
     rows = rows.withColumn("p", F.shiftright("a", 33).cast("int"))
     none = F.lit(None).cast("binary").alias("body")
-    notes = dictionary(rows, length).select("p", F.col("kind").alias("o"), "d", "a", "h", "n", none)
-    found = stored(stretches(_routed(rows, notes), length, hot), "suffix-stretches")
-    runs = compare(found, length).unionByName(found.where("key is null").select("a", "start", "end"))
-    runs = runs.select(F.shiftright("a", 33).cast("int").alias("p"), F.lit(0).alias("o"),
-                       F.lit(None).cast("long").alias("d"), "a", F.col("start").alias("h"),
-                       F.col("end").alias("n"), none)
+    notes = dictionary(rows, length).select("p", F.col("kind").alias("o"), "a", "h", "n", none)
+    runs = compare(stretches(_routed(rows, notes), length, hot), length)
+    runs = runs.select(F.shiftright("a", 33).cast("int").alias("p"), F.lit(0).alias("o"), "a",
+                       F.col("start").alias("h"), F.col("end").alias("n"), none)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, by_row = None, {}
-        for b in batches:
+        kinds = (pa.int64(),) * 4 + (pa.string(), pa.binary())
+        for part, o, a, h, n, body in _fields(batches):
+            if part != p:
+                p, by_row = part, {}
+            if o == 0:
+                by_row.setdefault(a, []).append((h, n))
+                continue
             rows_out = []
-            for part, o, d, a, h, n, body in zip(*(c.to_pylist() for c in b.columns)):
-                if part != p:
-                    p, by_row = part, {}
-                if o == 0:
-                    by_row.setdefault(a, []).append((h, n))
-                else:
-                    removed, spans, kept = _cut(body, by_row.pop(a, []))
-                    rows_out.append((d, len(body), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
-            cols = list(zip(*rows_out)) or [[]] * 6
-            kinds = (pa.int64(),) * 4 + (pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[
+            for d, i, text in _unpacked(body):
+                removed, spans, kept = _cut(text, by_row.pop(i, []))
+                rows_out.append((d, len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_out), kinds)], names=[
                 "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return _routed(rows, runs).mapInArrow(
