@@ -40,8 +40,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewater.llm.common import stored
 
 ORDER = 5                                    # context bytes; with the symbol at most 8 bytes
-CHUNK_BYTES, FLUSH_WORDS = 2 << 20, 300_000
-MAX_EDGES, MAX_FREQUENT, WORD_BYTES = 1 << 21, 1 << 18, 64
+CHUNK_BYTES, FLUSH_WORDS = 512 << 10, 300_000
+SLICE_ROWS = 1000
+MAX_EDGES, MAX_FREQUENT, WORD_BYTES = 1 << 20, 1 << 17, 64
 
 
 def fold(doc_id: Column, folds: int = 7) -> Column:
@@ -230,7 +231,7 @@ def corpus_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
             names=["gram", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in batches:                                # memory: one batch's texts and its counts
             words: Counter = Counter()
             raws = [_raw(t) for t in b.column(0).to_pylist()]
             for raw in raws:
@@ -280,25 +281,31 @@ def fit(counts: DataFrame, order: int = ORDER, max_edges: int = MAX_EDGES):
 _MODELS: dict = {}
 
 
-def _worker(name: str, orders, words, counts, denominator):
-    """Model and log10 of the frequent words' base probabilities, built once per Python worker."""
+def _worker(name: str, parts: dict):
+    """Model and log10 of the frequent words' base probabilities, built once per Python worker.
+
+    ``parts`` is this worker's copy of what was broadcast; it is emptied, as the model replaces it.
+    """
     if name not in _MODELS:
         _MODELS.clear()
-        logs = np.log10((counts + 1) / denominator).tolist()
-        _MODELS[name] = (Model(orders), dict(zip(words, logs)))
+        logs = np.log10((parts.pop("counts") + 1) / parts.pop("denominator")).tolist()
+        known = dict(zip(parts.pop("words"), logs))
+        _MODELS[name] = (Model(parts.pop("orders")), known)
     return _MODELS[name]
 
 
 def scan_scores(docs: DataFrame, orders, words: list[bytes], counts: np.ndarray, denominator: float) -> DataFrame:
     """One row per document, and one per document and distinct word that is not among ``words``."""
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, orders, words, counts, denominator))
+    name = uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(
+        {"orders": orders, "words": words, "counts": counts, "denominator": denominator})
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "tf"]
     kinds = (pa.int64(), None, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs = _worker(*shared.value)
-        for b in batches:
+        model, logs = _worker(name, shared.value)
+        for b in (x.slice(i, SLICE_ROWS) for x in batches for i in range(0, x.num_rows, SLICE_ROWS)):
             raws = [_raw(t) for t in b.column(2).to_pylist()]
             score = model.scores(raws)
             totals, known, base, rare = [], [], [], ([], [], [])
