@@ -13,10 +13,45 @@ from tidewater.sources.tables import Tables
 
 def test_split_is_disjoint_and_complete(spark, small_dir):
     o = Tables(spark, small_dir).orders.select("o_orderkey")
-    r = FE.split_check(FE.seeded_split(o, [0.8, 0.2], 7), "o_orderkey").first()
+    r = FE.split_check(FE.seeded_split(o, [0.8, 0.2], "o_orderkey", 7), "o_orderkey").first()
     assert r["total"] == o.count() and r["overlap"] == 0
 
 
+def test_persisted_training_side_over_a_shuffle_join_stays_disjoint(spark, small_dir):
+    """Reading one side from a cache and the other afresh, with other partitions, moves no row."""
+    t = Tables(spark, small_dir)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_size")
+        df = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(part, "l_partkey")
+        train, holdout = FE.seeded_split(df, [0.8, 0.2], ["l_orderkey", "l_linenumber"])
+        train = train.persist()
+        n = train.count()
+        both = train.withColumn("part", F.lit(0)).unionByName(holdout.withColumn("part", F.lit(1)))
+        keys = both.groupBy("l_orderkey", "l_linenumber").agg(F.count_distinct("part").alias("parts"))
+        assert keys.where("parts > 1").count() == 0 and both.count() == df.count()
+        assert 0.7 < n / df.count() < 0.9
+        train.unpersist()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_split_by_any_key_type_and_nulls(spark):
+    df = spark.createDataFrame([(f"k{i}" if i % 7 else None, i - 500) for i in range(1000)], "s string, i int")
+    for keys in ("s", "i", ["s", "i"]):
+        parts = FE.seeded_split(df, [0.5, 0.3, 0.2], keys, 3)
+        sizes = [p.count() for p in parts]
+        assert sum(sizes) == 1000 and all(p.columns == df.columns for p in parts)
+        if keys != "s":
+            assert abs(sizes[0] - 500) < 80 and abs(sizes[2] - 200) < 60
+
+
+def test_dense_ids(spark):
+    df = spark.createDataFrame([(2**40,), (-3,), (7,), (7,), (None,)], "k bigint")
+    assert sorted(map(tuple, FE.dense_ids(df, "k", "no").collect())) == [(-3, 0), (7, 1), (2**40, 2)]
+
+
 def test_regression_metrics_match_evaluator(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.5), (3.0, 3.5), (4.0, 3.0), (10.0, 8.0)],
                                "label double, prediction double")
@@ -99,13 +134,30 @@ def test_forest_fixed_seed_is_reproducible(spark):
 
 def test_als_recommendations_and_history(spark):
     ratings = [(u, i, float((u * i) % 5 + 1)) for u in range(6) for i in range(8) if (u + i) % 3]
-    df = spark.createDataFrame(ratings, "user_id int, item_id int, rating double")
-    model = M.als("user_id", "item_id", "rating", max_iter=5).fit(df)
-    recs = M.top_items_per_user(model, "user_id", "item_id", 3)
-    assert recs.count() == 6 * 3
+    big = 2**40                                   # keys beyond an int
+    df = spark.createDataFrame([(u + big, i + big, r) for u, i, r in ratings], "user_id bigint, item_id bigint, rating double")
+    fitted = M.rating_model(df, "user_id", "item_id", "rating", max_iter=5)
+    wanted = spark.createDataFrame([(big,), (big + 3,), (999,), (big,)], "user_id bigint")
+    recs = M.recommend(fitted, wanted, "user_id", "item_id", 3)
+    assert sorted((r.user_id - big, r["rank"]) for r in recs.collect()) == [(u, k) for u in (0, 3) for k in (1, 2, 3)]
+    assert all(0 <= r.item_id - big < 8 for r in recs.collect())
     both = M.recommendations_with_history(recs, df, "user_id", "item_id")
     kinds = {r["kind"]: r["count"] for r in both.groupBy("kind").count().collect()}
-    assert kinds == {"recommended": 18, "watched": len(ratings)}
+    assert kinds == {"recommended": 6, "watched": len(ratings)}
+
+
+def test_forecast_clustering_and_ols_jobs(spark):
+    from tidewater.plans import model_jobs as MJ
+    data = [(i, "ab"[i % 2], float(i % 10) if i % 9 else None, 3.0 + 2.0 * (i % 10) + (5.0 if i % 2 else 0.0))
+            for i in range(300)]
+    df = spark.createDataFrame(data, "k int, c string, x double, y double")
+    pred = MJ.views_forecast(df, "y", ["x"], ["c"], "k").collect()
+    assert pred and all(abs(r.label - r.prediction) < 12 for r in pred)
+    report = MJ.clustering_report(df.fillna(0.0), ["x"], ["c"], k=3).collect()
+    assert sum(r["size"] for r in report) == 300 and len({r.cost for r in report}) == 1
+    clean = df.where("x is not null")
+    ols = {r.position: r.coefficient for r in MJ.ols_report(spark, clean, "y", ["x"], ["c"]).collect()}
+    assert len(ols) >= 3 and ols[1] == pytest.approx(2.0, abs=1e-6)
 
 
 def test_grid_report_marks_one_choice(spark):

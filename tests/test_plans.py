@@ -5,7 +5,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import broadcast_if_small, is_small
 from tidewater.operators.windows import sliding_sum
 from tidewater.plans.catalog import queries
 
@@ -51,18 +50,25 @@ def test_no_cartesian_products(spark, small_dir, key):
     assert "BroadcastNestedLoopJoin" not in sp and "CartesianProduct" not in sp
 
 
-def test_broadcast_only_behind_a_row_bound(spark):
-    small = spark.range(10)
-    assert is_small(small, 100) and not is_small(spark.range(1000), 100)
-    big = spark.range(1000).withColumnRenamed("id", "k")
+def test_course_popularity_never_deals_user_rows_by_course(spark):
+    """A course that a third of all views belong to: only per-level counts are dealt by course."""
+    from tidewater.plans.jobs import course_popularity
+    views = spark.range(30000).select((F.col("id") % 1000).alias("user_id"),
+                                      F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("chapter_id"))
+    chapters = spark.range(40).select(F.col("id").alias("chapter_id"), (F.col("id") % 8).alias("course_id"))
+    titles = spark.range(8).select(F.col("id").alias("course_id"), F.col("id").cast("string").alias("title"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fact = spark.range(5000).withColumnRenamed("id", "k")
-        hinted = fact.join(broadcast_if_small(big, 2000), "k")
-        assert "BroadcastHashJoin" in plan(hinted)
-        not_hinted = fact.join(broadcast_if_small(big, 100), "k")
-        assert "BroadcastHashJoin" not in plan(not_hinted)
+        out = course_popularity(views, chapters, titles)
+        p = plan(out)
+        assert out.count() == 8
+        # users appear only in exchanges keyed by user and chapter, by chapter, or by user and course
+        for line in p.splitlines():
+            if "Exchange hashpartitioning(course_id" in line:
+                assert "user_id" not in line
+        before = p.split("functions=[partial_count(1)]")
+        assert any("n_watched" in x for x in before)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
@@ -113,7 +119,7 @@ def test_sliding_sum_falls_back_when_slide_does_not_divide(spark):
 def test_sliding_sum_final_aggregate_needs_no_third_shuffle(spark, small_dir):
     p = plan(queries()["sliding_window_60m_1m"](spark, small_dir))
     assert p.count("Exchange hashpartitioning") == 2
-    final = p[:p.index("Generate explode(sequence")]
+    final = p[:p.index("Generate explode(")]
     assert "Exchange" not in final           # windows summed where the chunk already is
 
 

@@ -101,10 +101,29 @@ def test_conditional_pivot_is_one_aggregation(spark, sales):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_spread_only_when_partitions_are_few(spark):
-    from tidewater.operators.relational import spread_if_few_partitions
-    few = spark.range(0, 1000, numPartitions=2)
-    spread = spread_if_few_partitions(few, 8)
-    assert spread.rdd.getNumPartitions() == 8 and spread.count() == 1000
-    many = spark.range(0, 1000, numPartitions=16)
-    assert spread_if_few_partitions(many, 8) is many
+def test_pivot_with_discovered_values_keeps_every_value_and_null(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("b", "unlisted", 3), (None, "x", 4)],
+                               "k string, g string, n int")
+    one = pivot_agg(df, "k", "g", {"s": (F.sum, "n")})
+    assert one.columns == ["k", "null", "unlisted", "x"]
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(
+        [("a", 2, None, 1), ("b", None, 3, None), (None, None, None, 4)], key=str)
+    many = spark.range(3000).select((F.col("id") % 3).alias("k"), (F.col("id") % 300).alias("g"), F.col("id").alias("n"))
+    wide = pivot_agg(many, "k", "g", {"s": (F.sum, "n"), "c": (F.count, "n")})
+    assert len(wide.columns) == 601 and wide.count() == 3
+
+
+def test_accented_words_stay_whole(spark):
+    df = spark.createDataFrame([("Für l'été señor ÖL 42 naïve",)], "text string")
+    assert rows(tokenize(df, "text")) == sorted((w,) for w in ("für", "l", "été", "señor", "öl", "naïve"))
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, small_dir):
+    from tidewater.plans.catalog import queries
+    tracker = spark.sparkContext.statusTracker()
+    for key in ("broadcast_lookup", "category_grouping", "ratio_of_counts", "course_popularity", "stopword_filter"):
+        group = f"build-{key}"
+        spark.sparkContext.setJobGroup(group, key)
+        queries()[key](spark, small_dir)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext._jsc.clearJobGroup()

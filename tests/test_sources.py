@@ -120,3 +120,15 @@ def test_scale_settings_grow_with_the_data():
     small = scale_settings(1 << 30, total_cores=64)
     assert int(small["spark.sql.shuffle.partitions"]) == 192         # 3 waves of 64 cores
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_text_round_trip_with_nulls_and_empty_strings(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "b", None)], "a int, b string, c string")
+    path = scratch_path(spark, "lines")
+    S.write_lines(df, path, "|")
+    got = S.read_delimited(spark, path, [("a", "int"), ("b", "string"), ("c", "string")], "|")
+    assert rows(got) == [(1, "", "x"), (2, "", "y"), (3, "b", "")]
+    with pytest.raises(Exception, match="missing field d"):
+        S.read_delimited(spark, path, [("a", "int"), ("b", "string"), ("c", "string"), ("d", "int")], "|").collect()
+    loose = S.read_delimited(spark, path, [("a", "int"), ("b", "string"), ("c", "string"), ("d", "int")], "|", strict=False)
+    assert [r.d for r in loose.collect()] == [None] * 3

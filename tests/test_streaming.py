@@ -50,7 +50,7 @@ def test_stream_equals_batch_over_three_micro_batches(spark):
     run_until_done(versioned_writer(agg, out), spark, "test-equal")
     batches = spark.read.parquet(out).select("batch_id").distinct().count()
     assert batches == 3
-    got = latest_versions(spark, out, ["window_start", "window_end", "course_name"])
+    got = latest_versions(spark, out, ["window_start", "window_end", "course_name"], agg.schema)
     flat = spark.createDataFrame([r for b in BATCHES for r in b], SCHEMA) \
         .withColumnRenamed("event_type", "course_name")
     want = window_agg(flat, "ts", "course_name", "2 minutes", None,
@@ -65,7 +65,7 @@ def test_sliding_stream_equals_batch(spark):
     agg = SJ.level_counts(lines, "ts", "value", ",", "4 minutes", "2 minutes")
     out = scratch_path(spark, "sink")
     run_until_done(versioned_writer(agg, out), spark, "test-sliding")
-    got = latest_versions(spark, out, ["window_start", "window_end", "level"])
+    got = latest_versions(spark, out, ["window_start", "window_end", "level"], agg.schema)
     flat = spark.createDataFrame([r for b in BATCHES for r in b], SCHEMA).withColumnRenamed("event_type", "level")
     want = window_agg(flat, "ts", "level", "4 minutes", "2 minutes", {"n": F.count(F.lit(1))})
     cols = ["window_start", "window_end", "level", "n"]
@@ -144,11 +144,11 @@ def test_versioned_sink_replay_is_idempotent(spark):
     write_version(b0, 0, out)
     write_version(b1, 1, out)
     write_version(b1, 1, out)                       # replayed batch
-    assert rows(latest_versions(spark, out, ["k"])) == [("a", 5), ("b", 2)]
+    assert rows(latest_versions(spark, out, ["k"], b0.schema)) == [("a", 5), ("b", 2)]
     assert spark.read.parquet(out).count() == 3
     single = scratch_path(spark, "versions")
     write_version(b0, 0, single)
-    assert rows(latest_versions(spark, single, ["k"])) == [("a", 1), ("b", 2)]
+    assert rows(latest_versions(spark, single, ["k"], b0.schema)) == [("a", 1), ("b", 2)]
 
 
 def test_sliding_windows_from_streamed_buckets_equal_batch(spark):
@@ -157,7 +157,7 @@ def test_sliding_windows_from_streamed_buckets_equal_batch(spark):
     buckets = SJ.seconds_per_course(_stream(spark, d), "ts", "event_type", "2 minutes")
     out = scratch_path(spark, "sink")
     run_until_done(versioned_writer(buckets, out), spark, "test-buckets")
-    latest = latest_versions(spark, out, ["window_start", "window_end", "course_name"])
+    latest = latest_versions(spark, out, ["window_start", "window_end", "course_name"], buckets.schema)
     got = sliding_from_buckets(latest, "window_start", "course_name", "6 minutes", "2 minutes",
                                "seconds_watched", "seconds_watched")
     flat = spark.createDataFrame([r for b in BATCHES for r in b], SCHEMA) \
@@ -166,3 +166,40 @@ def test_sliding_windows_from_streamed_buckets_equal_batch(spark):
                       {"seconds_watched": F.sum(F.lit(5)).cast("long")})
     cols = ["window_start", "window_end", "course_name", "seconds_watched"]
     assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_streams_read_a_table_stored_as_a_folder(spark, small_dir, tmp_path):
+    from tidewater.plans import queries_io as Q
+    from tidewater.plans.catalog import queries
+    events = spark.read.parquet(f"{small_dir}/events.parquet")
+    events.repartition(5, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    for key in ("stream_file_source", "stream_tumbling_update", "stream_sliding_sum", "stream_key_count",
+                "stream_watermark_append", "micro_batch_trigger", "viewing_figures_stream", "stream_sliding_ranked",
+                "stream_top_emissions"):
+        one, many = (queries()[key](spark, d) for d in (small_dir, str(tmp_path)))
+        assert rows(many) == rows(one) and one.count() > 0, key
+    # one file per micro-batch: five versions of the windows, the same result
+    agg = SJ.seconds_per_course(Q.events_stream(spark, str(tmp_path), 1), "ts", "event_type", "2 minutes",
+                                watermark=Q.WATERMARK)
+    out = scratch_path(spark, "sink")
+    run_until_done(versioned_writer(agg, out), spark, "files", state_partitions=3)
+    assert spark.read.parquet(out).select("batch_id").distinct().count() >= 5
+    keys = ["window_start", "window_end", "course_name"]
+    got = latest_versions(spark, out, keys, agg.schema)
+    assert rows(got, *keys, "seconds_watched") == rows(
+        queries()["stream_tumbling_update"](spark, small_dir), *keys, "seconds_watched")
+
+
+def test_an_empty_stream_gives_an_empty_table(spark, small_dir, tmp_path):
+    from tidewater.plans.catalog import queries
+    (spark.read.parquet(f"{small_dir}/events.parquet").where("false").write.parquet(f"{tmp_path}/events.parquet"))
+    for key in ("stream_file_source", "stream_tumbling_update", "viewing_figures_stream"):
+        df = queries()[key](spark, str(tmp_path))
+        assert df.count() == 0 and df.columns == queries()[key](spark, small_dir).columns
+
+
+def test_state_partitions_leave_the_session_alone(spark, small_dir):
+    from tidewater.plans.catalog import queries
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    queries()["stream_file_source"](spark, small_dir)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -16,6 +16,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.session import written
+
 
 def string_indexer(input_cols: Sequence[str], output_cols: Sequence[str],
                    handle_invalid: str = "error",
@@ -82,9 +84,64 @@ def array_column_to_vector(df: DataFrame, array_col: str, output_col: str = "fea
     return df.withColumn(output_col, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def seeded_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
-    """``randomSplit`` that always takes a seed (reproducible splits)."""
-    return df.randomSplit(list(weights), seed)
+# Fixed values of the split's key arithmetic: a prime modulus and two multipliers,
+# small enough that no product leaves 64 bits.
+SPLIT_PRIME, SPLIT_A, SPLIT_B = 2147483647, 48271, 69621
+
+
+def split_point_sql(keys: Sequence[str], seed: int = 42) -> str:
+    """A number in [0, 1) that depends on integer keys alone, as SQL that any engine runs."""
+    v = str(seed % SPLIT_PRIME)
+    for k in keys:
+        key = f"((cast({k} as bigint) % {SPLIT_PRIME} + {SPLIT_PRIME}) % {SPLIT_PRIME})"
+        v = f"((({v}) * cast({SPLIT_B} as bigint) + {key} * {SPLIT_A} + 12345) % {SPLIT_PRIME})"
+        v = f"((({v}) * cast(16807 as bigint) + 7) % {SPLIT_PRIME})"
+    return f"(cast({v} as double) / {SPLIT_PRIME}.0)"
+
+
+def seeded_split(df: DataFrame, weights: Sequence[float], keys: Sequence[str] | str,
+                 seed: int = 42) -> list[DataFrame]:
+    """Disjoint parts of about the given weights, chosen by a hash of the row's key.
+
+    A row's part depends on its key and the seed only, never on how the rows
+    are partitioned or cached, so the parts cannot overlap or lose rows when
+    they are read at different times.  Rows with equal keys stay together.
+    Keys that are not integers count by their 64-bit hash, null keys as 0.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    kinds = dict(df.dtypes)
+    ints = ("tinyint", "smallint", "int", "bigint")
+    # the helper columns are dropped again with the split point
+    hashed = {f"_key{i}": F.coalesce(F.col(k).cast("bigint") if kinds[k] in ints else F.xxhash64(k), F.lit(0))
+              for i, k in enumerate(keys)}
+    at = F.expr(split_point_sql(list(hashed), seed))
+    tagged = df.withColumns(hashed).withColumn("_split", at).drop(*hashed)
+    total, low, parts = float(sum(weights)), 0.0, []
+    for i, w in enumerate(weights):
+        high = 2.0 if i == len(weights) - 1 else low + w / total
+        parts.append(tagged.where((F.col("_split") >= low) & (F.col("_split") < high)).drop("_split"))
+        low = high
+    return parts
+
+
+def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
+    """(col, name): the distinct non-null values and a number from 0 without gaps, as int.
+
+    Numbers follow the values' order: ranges of values are numbered apart and
+    shifted by the sizes of the ranges before them (one row per range).
+    """
+    part = df.select(col).where(F.col(col).isNotNull()).distinct().repartitionByRange(col).sortWithinPartitions(col)
+    part = written(part.select(col, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i")),
+                   "dense-ids")
+    starts, at = [], 0
+    for p, n in sorted(tuple(r) for r in part.groupBy("_p").count().collect()):
+        starts.append((p, at))
+        at += n
+    if at > 2**31 - 1:
+        raise ValueError(f"{at} distinct values of {col}: more than an int can number")
+    starts = df.sparkSession.createDataFrame(starts, "_p int, _start bigint")
+    place = F.col("_start") + F.col("_i").bitwiseAND((1 << 33) - 1)
+    return part.join(F.broadcast(starts), "_p").select(col, place.cast("int").alias(name))
 
 
 def split_check(parts: Sequence[DataFrame], key: str) -> DataFrame:

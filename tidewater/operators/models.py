@@ -4,15 +4,13 @@ Estimators are Spark ML's distributed implementations.  Evaluation metrics
 are also offered as DataFrame aggregates (``regression_metrics``,
 ``classification_summary``, ``confusion_table``, ``accuracy``): one lazy
 aggregation over the predictions, comparable to a SQL oracle, instead of
-several evaluator jobs.  Training sets are persisted around grid searches
-(many passes) and released afterwards.
+several evaluator jobs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -25,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.features import dense_ids
+
 
 # ---------------------------------------------------------------- metrics
 
@@ -98,15 +98,11 @@ def grid(estimator, reg_params: Sequence[float], elastic_nets: Sequence[float]):
 
 def tune(estimator, param_maps, evaluator, train: DataFrame, train_ratio: float = 0.8,
          seed: int = 42, parallelism: int = 4):
-    """TrainValidationSplit over a persisted training set; best model refit on all of it."""
+    """TrainValidationSplit; best model refit on all of ``train``."""
     tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=param_maps,
                                evaluator=evaluator, trainRatio=train_ratio, seed=seed,
                                parallelism=parallelism)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return tvs.fit(train)
-    finally:
-        train.unpersist()
+    return tvs.fit(train)          # caches its two parts itself
 
 
 def grid_report(spark: SparkSession, tvs_model, metric_name: str) -> DataFrame:
@@ -174,14 +170,33 @@ def als(user: str, item: str, rating: str, max_iter: int = 10, reg_param: float
                rank=rank, seed=seed, coldStartStrategy="drop", checkpointInterval=5)
 
 
-def top_items_per_user(model, user: str, item: str, k: int = 5) -> DataFrame:
-    """Exploded ``recommendForAllUsers(k)``: (user, rank, item, score)."""
-    recs = model.recommendForAllUsers(k)
+def top_items_for_users(model, users: DataFrame, user: str, item: str, k: int = 5) -> DataFrame:
+    """(user, rank, item, score): the k best items of the *given* users only.
+
+    The users are the query set; their factors meet the item factors in
+    blocks, and each block keeps k items per user.
+    """
+    recs = model.recommendForUserSubset(users.select(user).distinct(), k)
     ex = recs.select(user, F.posexplode("recommendations").alias("pos", "rec"))
     return ex.select(user, (F.col("pos") + 1).alias("rank"), F.col(f"rec.{item}").alias(item),
                      F.col("rec.rating").cast("double").alias("score"))
 
 
+def rating_model(ratings: DataFrame, user: str, item: str, rating: str, **params):
+    """ALS over any key type: (model, user ids, item ids); the id tables map keys to dense ints."""
+    users, items = dense_ids(ratings, user, "user_no"), dense_ids(ratings, item, "item_no")
+    numbered = ratings.join(users, user).join(items, item).select("user_no", "item_no", rating)
+    return als("user_no", "item_no", rating, **params).fit(numbered), users, items
+
+
+def recommend(fitted, wanted: DataFrame, user: str, item: str, k: int = 5) -> DataFrame:
+    """(user, rank, item, score) in the original keys for the users in ``wanted``."""
+    model, users, items = fitted
+    some = users.join(wanted.select(user).distinct(), user)
+    recs = top_items_for_users(model, some, "user_no", "item_no", k)
+    return recs.join(some, "user_no").join(items, "item_no").select(user, "rank", item, "score")
+
+
 def recommendations_with_history(recs: DataFrame, history: DataFrame, user: str, item: str,
                                  score: str = "score", history_score: str = "rating") -> DataFrame:
     """Recommendations next to what each user already rated, as rows tagged

@@ -11,10 +11,10 @@ Two plans for the same result:
   aggregations: per (group, value), then per group).
 
 With ``values=None`` and spec measures, the input is aggregated once per
-(group, value), checkpointed (small), and values are discovered and the
-cells reshaped from the checkpoint: one pass over the input instead of a
-discovery pass plus an aggregation pass.  Values are sorted, at most
-``max_values`` (Spark's ``spark.sql.pivotMaxValues`` default).
+(group, value) and written to the shared folder; the values are read off that
+small table and Spark's ``pivot`` turns its cells into columns: one pass over
+the input instead of a discovery pass plus an aggregation pass.  Every value
+becomes a column, however many there are.
 """
 
 from __future__ import annotations
@@ -24,16 +24,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.session import written
+
 MeasureSpec = tuple[Callable[[Column], Column], "Column | str"]
 
 
-def discover_values(df: DataFrame, pivot_col: str, max_values: int = 10_000) -> list:
-    """Sorted distinct values of ``pivot_col`` (nulls first), at most ``max_values``."""
-    found = [r[0] for r in df.select(pivot_col).distinct()
-             .orderBy(F.col(pivot_col).asc_nulls_first()).limit(max_values + 1).collect()]
-    if len(found) > max_values:
-        raise ValueError(f"pivot column {pivot_col!r} has more than {max_values} values")
-    return found
+def discover_values(df: DataFrame, pivot_col: str) -> list:
+    """Sorted distinct values of ``pivot_col`` (nulls first): the result's column names."""
+    return [r[0] for r in df.select(pivot_col).distinct()
+            .orderBy(F.col(pivot_col).asc_nulls_first()).collect()]
 
 
 def _cell_name(value, measure: str | None) -> str:
@@ -59,38 +58,38 @@ def pivot_conditional(df: DataFrame, group_cols, pivot_col: str, values: Sequenc
 
 
 def pivot_discovered(df: DataFrame, group_cols, pivot_col: str,
-                     measures: dict[str, MeasureSpec], max_values: int = 10_000) -> DataFrame:
+                     measures: dict[str, MeasureSpec]) -> DataFrame:
     """Pivot whose values are not known: one pass over the input.
 
     The input is aggregated once per (group, value) -- each row of that result
-    already *is* a final cell -- and the small result is checkpointed to the
-    session's checkpoint folder.  Value discovery and the reshape to one row
-    per group then read the checkpoint, so the input is scanned once (not once
-    for discovery and again for the aggregate, as ``pivot(col)`` does).
+    already *is* a final cell -- and the result is written to the session's
+    shared folder.  The values are the distinct ones of that table, and its
+    cells are pivoted with the value list given, one ``first`` per measure.
     """
-    from tidewater.session import checkpoint_root
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    checkpoint_root(df.sparkSession)
     names = list(measures)
-    cell_cols = [f"_m{i}" for i in range(len(names))]
-    cells = df.groupBy(*groups, pivot_col).agg(
+    cells = written(df.groupBy(*groups, pivot_col).agg(
         *[fn(F.col(col) if isinstance(col, str) else col).alias(c)
-          for c, (fn, col) in zip(cell_cols, measures.values())]).checkpoint(eager=True)
-    values = discover_values(cells, pivot_col, max_values)
-    p = F.col(pivot_col)
-    single = len(names) == 1
-    out = []
-    for v in values:
-        cond = p.isNull() if v is None else (p == F.lit(v))
-        for name, c in zip(names, cell_cols):
-            out.append(F.first(F.when(cond, F.col(c)), ignorenulls=True)
-                       .alias(_cell_name(v, None if single else name)))
-    return cells.groupBy(*groups).agg(*out)
+          for c, (fn, col) in measures.items()]), "pivot")
+    values = discover_values(cells, pivot_col)
+    # pivot matches values with =, which null never passes: its cells are joined by a flag of their own
+    known = [v for v in values if v is not None]
+    firsts = [F.first(c).alias(c) for c in names]
+    out = cells.groupBy(*groups).pivot(pivot_col, known).agg(*firsts) if known else cells.select(*groups).distinct()
+    if len(known) < len(values):
+        null_cells = cells.where(F.col(pivot_col).isNull()).select(
+            *groups, *[F.col(c).alias(_cell_name(None, None if len(names) == 1 else c)) for c in names])
+        same = [F.col(f"o.{g}").eqNullSafe(F.col(f"n.{g}")) for g in groups]
+        out = out.alias("o").join(null_cells.alias("n"), same, "left").select(
+            *[F.col(f"o.{g}").alias(g) for g in groups],
+            *[F.col(f"n.`{c}`") for c in null_cells.columns[len(groups):]],
+            *[F.col(f"o.`{c}`") for c in out.columns[len(groups):]])
+    return out
 
 
 def pivot_agg(df: DataFrame, group_cols, pivot_col: str,
               measures: dict[str, MeasureSpec] | dict[str, Column] | Column,
-              values: Sequence | None = None, max_values: int = 10_000) -> DataFrame:
+              values: Sequence | None = None) -> DataFrame:
     """``groupBy(group_cols).pivot(pivot_col, values).agg(...)``.
 
     Cells are named ``<value>_<measure>`` (``<value>`` for a single measure).
@@ -98,10 +97,10 @@ def pivot_agg(df: DataFrame, group_cols, pivot_col: str,
     specs = isinstance(measures, dict) and all(isinstance(m, tuple) for m in measures.values())
     if specs:
         if values is None:
-            return pivot_discovered(df, group_cols, pivot_col, measures, max_values)
+            return pivot_discovered(df, group_cols, pivot_col, measures)
         return pivot_conditional(df, group_cols, pivot_col, values, measures)
     if values is None:
-        values = discover_values(df, pivot_col, max_values)
+        values = discover_values(df, pivot_col)
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     p = df.groupBy(*groups).pivot(pivot_col, list(values))
     if isinstance(measures, Column):

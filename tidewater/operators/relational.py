@@ -1,9 +1,8 @@
 """Joins, grouping, distinct, ordering and top-k.
 
-All operators are DataFrame -> DataFrame and lazy, except the size check in
-:func:`broadcast_if_small`, which runs one bounded job (``limit(n+1).count()``)
-to *prove* a side is small before it is broadcast.  Beyond the bound the
-plain join is returned and Spark/AQE pick a shuffle join.
+All operators are DataFrame -> DataFrame and lazy: no job runs while a plan is
+built.  Joins carry no hints; Spark picks broadcast, hash or sort-merge from
+its own byte estimates and, with AQE, from measured shuffle sizes.
 """
 
 from __future__ import annotations
@@ -14,11 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-# Rows a lookup side may have and still be broadcast.  A dimension with a few
-# narrow columns stays within a few tens of MB at this bound.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
 def _cols(cols) -> list:
     if cols is None:
         return []
@@ -27,37 +21,18 @@ def _cols(cols) -> list:
     return list(cols)
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    ``limit(n).collect()`` of a constant column scans partitions
-    incrementally (1, then 4x more, ...) and stops at ``max_rows + 1`` rows,
-    so the check reads little even on a huge table; at most ``max_rows + 1``
-    one-byte rows reach the driver.
-    """
-    return len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()) <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise unchanged."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, strict: bool = False) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left", strict: bool = False) -> DataFrame:
     """id -> attributes from a dimension.
 
     ``how="left"`` keeps fact rows whose id is missing (null attributes).
     ``strict=True`` raises instead, like a dictionary lookup would; the check
-    is one anti-join count.
+    is one anti-join count, run when ``lookup`` is called.
     """
-    small = broadcast_if_small(dim, max_broadcast_rows)
     if strict:
         keys = _cols(on)
-        missing = fact.select(*keys).join(small.select(*keys), keys, "left_anti").limit(1).collect()
-        if missing:
+        if not fact.select(*keys).join(dim.select(*keys), keys, "left_anti").isEmpty():
             raise KeyError(f"lookup: ids missing from the dimension on {keys}")
-    return fact.join(small, on, how)
+    return fact.join(dim, on, how)
 
 
 def inner_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -155,18 +130,3 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """null -> 0 on the named columns, names and positions kept."""
     return df.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
-
-
-def spread_if_few_partitions(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` tasks when the input has
-    fewer partitions than that, before CPU-heavy per-row work.
-
-    A scan has fewer partitions than the cluster has cores only when the
-    input is small (each split holds at most ``spark.sql.files.maxPartitionBytes``),
-    so the extra shuffle is bounded; on large inputs this returns ``df``
-    unchanged and adds nothing to the plan.
-    """
-    if df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
-

@@ -2,8 +2,7 @@
 
 Tokenising is ``explode(split(lower(text), pattern))``: one JVM generator,
 no Python.  The stop list is either a literal list (an ``InSet`` predicate,
-no join at all) or a DataFrame (a left-anti join, broadcast only when its
-size is proven small).
+no join at all) or a DataFrame (a left-anti join).
 """
 
 from __future__ import annotations
@@ -13,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import broadcast_if_small
-
 # The default stop-word list (common English function words).
 STOP_WORDS: tuple[str, ...] = (
     "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "from", "has", "have",
@@ -23,21 +20,16 @@ STOP_WORDS: tuple[str, ...] = (
     "will", "with", "you",
 )
 
-WORD_PATTERN = "[^a-z]+"
+# Anything but letters and their combining marks separates words, in any script.
+WORD_PATTERN = r"[^\p{L}\p{M}]+"
 
 
 def tokenize(df: DataFrame, text_col: str, pattern: str = WORD_PATTERN, lower: bool = True,
-             keep: Sequence[str] = (), word_col: str = "word",
-             min_partitions: int | None = None) -> DataFrame:
+             keep: Sequence[str] = (), word_col: str = "word") -> DataFrame:
     """One row per non-empty token of the whole text, extra columns in ``keep``.
 
-    ``min_partitions``: spread a small input over at least that many tasks
-    before splitting (see ``relational.spread_if_few_partitions``); large
-    inputs are left as they are.
+    On a small input the number of tasks follows ``spark.sql.files.maxPartitionBytes``.
     """
-    if min_partitions:
-        from tidewater.operators.relational import spread_if_few_partitions
-        df = spread_if_few_partitions(df.select(*keep, text_col), min_partitions)
     t = F.lower(F.col(text_col)) if lower else F.col(text_col)
     words = df.select(*keep, F.explode(F.split(t, pattern)).alias(word_col))
     return words.filter(F.col(word_col) != "")
@@ -48,14 +40,10 @@ def remove_stop_words(words: DataFrame, word_col: str,
     """Keep the words that are not in the stop list."""
     if isinstance(stop_words, DataFrame):
         stops = stop_words.select(F.col(stop_words.columns[0]).alias(word_col)).distinct()
-        return words.join(broadcast_if_small(stops), word_col, "left_anti")
+        return words.join(stops, word_col, "left_anti")
     return words.filter(~F.col(word_col).isin(list(stop_words)))
 
 
-def is_stop_word(word_col: str, stop_words: Sequence[str] = STOP_WORDS):
-    return F.col(word_col).isin(list(stop_words))
-
-
 def word_counts(words: DataFrame, word_col: str = "word", name: str = "n") -> DataFrame:
     """Occurrences per word; partial counts are combined map-side, so a very
     frequent word costs one row per task in the shuffle."""

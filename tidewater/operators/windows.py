@@ -81,9 +81,12 @@ def _windows_from_bucket_micros(pre: DataFrame, ks: list, d: int, s: int, name:
     routed = (pre.select(F.explode(F.array(chunk, chunk - F.lit(d))).alias("_chunk"), *ks,
                          "_bucket", "_part")
               .repartition("_chunk", *ks))
-    starts = F.sequence(F.col("_bucket") - F.lit((n - 1) * s), F.col("_bucket"), F.lit(s))
-    fanned = (routed.select("_chunk", *ks, F.explode(starts).alias("_start"), "_part")
-              .filter(_floor_to(F.col("_start"), d) == F.col("_chunk")))
+    # only the starts inside the row's own chunk: the first multiple of S there, to its last
+    first = F.greatest(F.col("_bucket") - F.lit((n - 1) * s),
+                       F.col("_chunk") + F.pmod(F.col("_bucket") - F.col("_chunk"), F.lit(s)))
+    last = F.least(F.col("_bucket"), F.col("_chunk") + F.lit(d - 1))
+    starts = F.when(first <= last, F.sequence(first, last, F.lit(s)))
+    fanned = routed.select("_chunk", *ks, F.explode(starts).alias("_start"), "_part")
     per_window = fanned.groupBy("_chunk", *ks, "_start").agg(F.sum("_part").alias(name))
 
     def as_ts(c):
@@ -153,11 +156,3 @@ def top_k_per_window(df: DataFrame, ts: str, duration: str, key: str, value: Col
     per_key = window_agg(df, ts, key, duration, None, {total_name: F.sum(value)})
     return top_k_per_group(per_key, ["window_start", "window_end"],
                            [F.col(total_name).desc(), F.col(key).asc()], k, rank_name)
-
-
-def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:
-    """window struct -> window_start, window_end columns."""
-    rest = [c for c in df.columns if c != col]
-    return df.select(F.col(f"{col}.start").alias("window_start"),
-                     F.col(f"{col}.end").alias("window_end"), *rest)
-

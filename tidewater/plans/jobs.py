@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from tidewater.functions.columns import DEFAULT_BANDS, band_score, month_name, month_number
 from tidewater.operators.pivot import pivot_agg
-from tidewater.operators.relational import broadcast_if_small
 from tidewater.operators.stats import correlations, numeric_columns
 
 
@@ -59,13 +58,15 @@ def course_popularity(views: DataFrame, chapters: DataFrame, titles: DataFrame,
     chapters = chapters.select(chapter, course)
     chapter_counts = chapters.groupBy(course).agg(F.count(F.lit(1)).alias("n_chapters"))
     seen = views.select(user, chapter).distinct()
-    watched = (seen.join(broadcast_if_small(chapters), chapter, "inner")
+    watched = (seen.join(chapters, chapter, "inner")
                .groupBy(user, course).agg(F.count(F.lit(1)).alias("n_watched")))
-    # chapter_counts has one row per course; AQE broadcasts it from the
-    # measured size of its shuffle, so no eager size check is spent on it.
-    scored = (watched.join(chapter_counts, course, "inner")
-              .select(course, band_score(F.col("n_watched") / F.col("n_chapters"), bands)
-                      .cast("long").alias("score")))
+    # Users per (course, chapters watched): at most one row per chapter of a
+    # course, pre-counted map-side.  Only these meet the chapter counts, so a
+    # course watched by a third of all users moves a few rows, not its users.
+    levels = watched.groupBy(course, "n_watched").agg(F.count(F.lit(1)).alias("n_users"))
+    scored = (levels.join(chapter_counts, course, "inner")
+              .select(course, (band_score(F.col("n_watched") / F.col("n_chapters"), bands).cast("long")
+                               * F.col("n_users")).alias("score")))
     per_course = scored.groupBy(course).agg(F.sum("score").alias("score"))
     out = per_course.join(titles.select(course, title), course, "inner")
     return out.select(course, title, "score").orderBy(F.col("score").desc(), F.col(course).asc())

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.functions import columns as C
-from tidewater.functions.udfs import register_brand_number
+from tidewater.functions.udfs import (register_brand_number, register_country_grouping,
+                                      register_has_passed)
 from tidewater.operators import relational as R
 from tidewater.operators.pivot import pivot_agg
 from tidewater.operators.stats import correlations
@@ -25,9 +24,10 @@ from tidewater.plans import jobs
 from tidewater.plans.registry import half_up, register
 from tidewater.sources.tables import Tables
 
+# The columns that the oracle of pivot_user_item expects; the query finds its own.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August",
           "September", "October", "November", "December")
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def _stop_list_sql() -> str:
@@ -185,30 +185,27 @@ def q_filter_column_expr(spark, sf):
     return o.filter(cond).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@F.pandas_udf(T.BooleanType())
-def _fulfilled_since_1998(status: pd.Series, when: pd.Series) -> pd.Series:
-    return (status == "F") & (pd.to_datetime(when) >= pd.Timestamp("1998-01-01"))
-
-
 @register("filter_row_predicate", _FILTER_ORACLE)
 def q_filter_row_predicate(spark, sf):
-    """Opaque row predicate, vectorised: a boolean pandas UDF (Arrow batches)."""
-    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice",
-                                        "o_orderstatus", "o_orderdate")
-    return (o.filter(_fulfilled_since_1998("o_orderstatus", "o_orderdate"))
-            .select("o_orderkey", "o_custkey", "o_totalprice"))
+    """A predicate over the whole row, written as a function of its columns, so
+    that it reaches the scan like any other filter."""
+    o = Tables(spark, sf).orders
+
+    def keep(row):
+        since = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+        return row["o_orderstatus"].eqNullSafe("F") & ~(row["o_orderdate"] < since)
+
+    return o.filter(keep(o)).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @register("stopword_filter", f"""
-with t as (select unnest(string_split_regex(lower(text), '[^a-z]+')) as word from documents)
+with t as (select unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}]+')) as word from documents)
 select word, count(*) as n from t
 where word <> '' and word not in ({_stop_list_sql()})
 group by word""")
 def q_stopword_filter(spark, sf):
     docs = Tables(spark, sf).documents
-    words = remove_stop_words(
-        tokenize(docs, "text", min_partitions=spark.sparkContext.defaultParallelism),
-        "word", STOP_WORDS)
+    words = remove_stop_words(tokenize(docs, "text"), "word", STOP_WORDS)
     return word_counts(words, "word", "n")
 
 
@@ -409,8 +406,7 @@ select user_id,
 from events group by user_id""")
 def q_pivot_user_item(spark, sf):
     e = Tables(spark, sf).events
-    return pivot_agg(e, "user_id", "event_type", {"sum": (lambda c: F.round(F.sum(c), 4), "value")},
-                     EVENT_TYPES)
+    return pivot_agg(e, "user_id", "event_type", {"sum": (lambda c: F.round(F.sum(c), 4), "value")})
 
 
 @register("ratio_of_counts", """
@@ -422,8 +418,7 @@ select c.n_nationkey, c.n_suppliers, cast(c.n_suppliers as double) / p.n_region
 from c join p on c.n_regionkey = p.n_regionkey""")
 def q_ratio_of_counts(spark, sf):
     t = Tables(spark, sf)
-    nations = R.broadcast_if_small(t.nation.select(F.col("n_nationkey").alias("s_nationkey"),
-                                                   "n_regionkey"))
+    nations = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
     s = t.supplier.select("s_nationkey").join(nations, "s_nationkey")
     child = s.groupBy("n_regionkey", F.col("s_nationkey").alias("n_nationkey")) \
              .agg(F.count(F.lit(1)).alias("n_suppliers"))
@@ -549,6 +544,31 @@ def q_udf_pass_rule(spark, sf):
                     .alias("passed"))
 
 
+@register("sql_called_rules", """
+select o_orderkey,
+       case when o_orderstatus = 'Biology' then starts_with(o_orderpriority, 'A')
+            else starts_with(o_orderpriority, 'A') or starts_with(o_orderpriority, 'B')
+                 or starts_with(o_orderpriority, 'C') end as passed,
+       case when o_orderstatus in ('GB', 'US', 'IN', 'UNKNOWN') then o_orderstatus
+            when o_orderstatus in ('DE', 'FR', 'EU') then 'EUROPE' else 'OTHER' end as country
+from (select o_orderkey, substr('DBCAE', cast(substr(o_orderpriority, 1, 1) as int), 1) as o_orderpriority,
+             case o_orderstatus when 'F' then 'Biology' when 'O' then 'DE' else 'US' end as o_orderstatus
+      from orders)""")
+def q_sql_called_rules(spark, sf):
+    """The pass rule and the country grouping, registered and called from SQL text."""
+    register_has_passed(spark)
+    register_country_grouping(spark)
+    view = f"tw_exam_{uuid.uuid4().hex[:8]}"
+    o = Tables(spark, sf).orders
+    grade = F.substring(F.lit("DBCAE"), F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(1))
+    subject = F.when(F.col("o_orderstatus") == "F", "Biology").when(
+        F.col("o_orderstatus") == "O", "DE").otherwise("US")
+    o.select("o_orderkey", grade.alias("grade"), subject.alias("subject")).createOrReplaceTempView(view)
+    return spark.sql(f"""
+        select o_orderkey, hasPassed(grade, subject) as passed, countryGrouping(subject) as country
+        from {view}""")
+
+
 # Nation grouping used by the test query: a few nations kept, region 3's
 # other members folded into one group, the rest OTHER.
 _KEEP_NATIONS = ("NATION_0", "NATION_1", "NATION_2", "NATION_3")

@@ -1,8 +1,10 @@
 """Test queries for feature preparation, models and the model-building jobs (2.8, 2.9).
 
-Feature transformers and metrics have SQL oracles; fitted models (whose
-exact numbers depend on Spark ML's solvers and seeds) are rows-only here and
-checked for invariants in the unit tests.
+Feature transformers and metrics have SQL oracles.  The numbers of fitted
+models depend on Spark ML's solvers and seeds; their queries fit and apply the
+model and return what SQL can tell as well: which rows are held out, with
+which labels, how many, and that each got a valid result.  The fitted numbers
+themselves are checked in the unit tests.
 """
 
 from __future__ import annotations
@@ -66,10 +68,16 @@ def q_assemble_vector(spark, sf):
     return FE.vector_elements(v, "features", 3, "f", keep=["l_orderkey", "l_linenumber"])
 
 
-@register("random_split", "select count(*) as total, cast(0 as bigint) as overlap from orders")
+def _point(*keys: str) -> str:
+    return FE.split_point_sql(keys, 42)
+
+
+@register("random_split", f"""
+select o_orderkey, case when {_point("o_orderkey")} < 0.8 then 0 else 1 end as part from orders""")
 def q_random_split(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey")
-    return FE.split_check(FE.seeded_split(o, [0.8, 0.2], 42), "o_orderkey")
+    train, holdout = FE.seeded_split(o, [0.8, 0.2], "o_orderkey", 42)
+    return train.withColumn("part", F.lit(0)).unionByName(holdout.withColumn("part", F.lit(1)))
 
 
 @register("linear_regression", f"""
@@ -156,50 +164,67 @@ def _lineitem_regression_frame(spark, sf):
             .join(part, "l_partkey"))
 
 
-@register("grid_search")
+_LI = "lineitem l join part p on l.l_partkey = p.p_partkey"
+
+
+@register("grid_search", """
+select r.r as reg_param, e.e as elastic_net, true as scored, cast(1 as bigint) as n_chosen
+from (values (cast(0.01 as double)), (0.1), (0.5)) r(r), (values (cast(0.0 as double)), (0.5), (1.0)) e(e)
+where exists (select 1 from lineitem)""")
 def q_grid_search(spark, sf):
-    """3 x 3 grid of (regParam, elasticNet), validation split 0.8, R²."""
+    """3 x 3 grid of (regParam, elasticNet), validation split 0.8, R²: the grid
+    points, each with a finite metric, and exactly one of them chosen."""
     df = _lineitem_regression_frame(spark, sf)
     data = FE.assemble(df.withColumnRenamed("l_extendedprice", "label"),
                        ["l_quantity", "p_retailprice", "l_discount", "l_tax"]).select("label", "features")
     lr = M.linear_regression()
-    model = M.tune(lr, M.grid(lr, (0.01, 0.1, 0.5), (0.0, 0.5, 1.0)),
-                   RegressionEvaluator(metricName="r2"), data, 0.8, 42)
-    return M.grid_report(spark, model, "r2")
+    model = M.tune(lr, M.grid(lr, *MJ.PRICE_GRID), RegressionEvaluator(metricName="r2"), data, 0.8, 42)
+    report = M.grid_report(spark, model, "r2")
+    chosen = report.agg(F.count_if("chosen")).head()[0]
+    return report.select("reg_param", "elastic_net", (F.col("r2") <= 1.0).alias("scored"),
+                         F.lit(chosen).cast("long").alias("n_chosen"))
+
 
+def _finite(c: str):
+    return (F.col(c).isNotNull() & ~F.isnan(c)).alias("scored")
 
-@register("ml_stages")
+
+@register("ml_stages", f"""
+select l_orderkey, l_linenumber, l_extendedprice as label, true as scored from {_LI}
+where {_point("l_orderkey", "l_linenumber")} >= 0.8""")
 def q_ml_stages(spark, sf):
     """Indexers -> one-hot -> assembler -> tuned linear regression (3 x 3 grid,
-    validation ratio 0.8), fitted as one stage list on a training split;
-    predictions for every holdout row."""
+    validation ratio 0.8), fitted as one stage list on a training split; every
+    holdout row with its label and whether it got a prediction."""
     df = _lineitem_regression_frame(spark, sf).withColumnRenamed("l_extendedprice", "label")
-    train, holdout = FE.seeded_split(df, [0.8, 0.2], 42)
+    train, holdout = FE.seeded_split(df, [0.8, 0.2], ["l_orderkey", "l_linenumber"], 42)
     stages = MJ._encoded_stages(["p_type", "l_returnflag"], ["l_quantity", "p_retailprice"])
     lr = M.linear_regression()
-    tvs = M.TrainValidationSplit(estimator=lr, estimatorParamMaps=M.grid(lr, (0.01, 0.1, 0.5),
-                                                                        (0.0, 0.5, 1.0)),
+    tvs = M.TrainValidationSplit(estimator=lr, estimatorParamMaps=M.grid(lr, *MJ.PRICE_GRID),
                                  evaluator=RegressionEvaluator(metricName="r2"), trainRatio=0.8,
                                  seed=42, parallelism=4)
     model = M.fit_stages(stages + [tvs], train)
-    return model.transform(holdout).select("l_orderkey", "l_linenumber", "label", "prediction")
+    return model.transform(holdout).select("l_orderkey", "l_linenumber", "label", _finite("prediction"))
 
 
-@register("logistic_regression")
+@register("logistic_regression", f"""
+select d.doc_id, cast(l.quality as double) as label, true as scored
+from documents d join labels l on d.doc_id = l.doc_id where {_point("d.doc_id")} >= 0.9""")
 def q_logistic_regression(spark, sf):
     """Binary classifier on document features, tuned over regParam x elasticNet
-    (6 x 3, validation ratio 0.9, area under ROC); holdout predictions."""
+    (6 x 3, validation ratio 0.9, area under ROC); every holdout row with its
+    label and whether it got a probability."""
     d = _labelled_docs(spark, sf)
     stages = MJ._encoded_stages(["lang"], ["n_chars"])
     prepared = M.fit_stages(stages, d).transform(d) \
         .select("doc_id", F.col("quality").cast("double").alias("label"), "features")
-    train, holdout = FE.seeded_split(prepared, [0.9, 0.1], 42)
+    train, holdout = FE.seeded_split(prepared, [0.9, 0.1], "doc_id", 42)
     lr = M.logistic_regression()
-    tuned = M.tune(lr, M.grid(lr, (0.01, 0.1, 0.3, 0.5, 0.7, 1.0), (0.0, 0.5, 1.0)),
+    tuned = M.tune(lr, M.grid(lr, *MJ.RETENTION_GRID),
                    BinaryClassificationEvaluator(metricName="areaUnderROC"), train, 0.9, 42)
     pred = tuned.bestModel.transform(holdout)
-    return pred.select("doc_id", "label", "prediction",
-                       vector_to_array("probability").getItem(1).alias("p_positive"))
+    return pred.select("doc_id", "label",
+                       vector_to_array("probability").getItem(1).between(0.0, 1.0).alias("scored"))
 
 
 def _customer_frame(spark, sf):
@@ -223,21 +248,30 @@ def _tree_data(spark, sf):
     idx, _ = FE.index_strings(c, {"country": "country_index"})
     data = FE.assemble(idx, ["country_index", "c_acctbal", "n_orders", "avg_order"]) \
              .select("c_custkey", F.col("label").cast("double").alias("label"), "features")
-    return FE.seeded_split(data, [0.8, 0.2], 42)
+    return FE.seeded_split(data, [0.8, 0.2], "c_custkey", 42)
+
+
+_TREE_ORACLE = f"""
+select c.c_custkey, cast(count(*) filter (where o.o_orderpriority = '1-URGENT') > 0 as int)::double as label,
+       true as scored
+from customer c left join orders o on o.o_custkey = c.c_custkey
+where {_point("c.c_custkey")} >= 0.8 group by 1"""
+
 
+def _class_given(pred):
+    return pred.select("c_custkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
 
-@register("decision_tree")
+
+@register("decision_tree", _TREE_ORACLE)
 def q_decision_tree(spark, sf):
     train, holdout = _tree_data(spark, sf)
-    model = M.decision_tree(3).fit(train)
-    return model.transform(holdout).select("c_custkey", "label", "prediction")
+    return _class_given(M.decision_tree(3).fit(train).transform(holdout))
 
 
-@register("random_forest")
+@register("random_forest", _TREE_ORACLE)
 def q_random_forest(spark, sf):
     train, holdout = _tree_data(spark, sf)
-    model = M.random_forest(6).fit(train)
-    return model.transform(holdout).select("c_custkey", "label", "prediction")
+    return _class_given(M.random_forest(6).fit(train).transform(holdout))
 
 
 def _embedding_vectors(spark, sf):
@@ -250,80 +284,158 @@ def _kmeans_fit(spark, sf):
     return data, M.kmeans(5, seed=1).fit(data)
 
 
-@register("kmeans")
+@register("kmeans", "select count(*) as total, cast(least(5, count(*)) as bigint) as k from embeddings")
 def q_kmeans(spark, sf):
+    """Rows assigned to a cluster, and clusters that hold any."""
     data, model = _kmeans_fit(spark, sf)
-    return model.transform(data).select("vec_id", F.col("prediction").alias("cluster"))
+    return model.transform(data).agg(F.count("prediction").alias("total"),
+                                     F.count_distinct("prediction").alias("k"))
 
 
-@register("kmeans_centers")
+@register("kmeans_centers", """
+select cast(i as integer) as cluster, cast(max(len(embedding)) as integer) as dims, true as inside
+from embeddings, range(5) r(i) group by i""")
 def q_kmeans_centers(spark, sf):
-    _, model = _kmeans_fit(spark, sf)
-    return M.centers_frame(spark, model)
+    """The centres' sizes, and whether each lies inside the data's range."""
+    data, model = _kmeans_fit(spark, sf)
+    span = Tables(spark, sf).embeddings.agg(F.min(F.array_min("embedding")).alias("lo"),
+                                            F.max(F.array_max("embedding")).alias("hi")).head()
+    inside = (F.array_min("center") >= float(span.lo)) & (F.array_max("center") <= float(span.hi))
+    return M.centers_frame(spark, model).select("cluster", F.size("center").alias("dims"), inside.alias("inside"))
 
 
-@register("kmeans_cost")
+@register("kmeans_cost", "select count(*) as n, cast(0 as double) as gap from embeddings")
 def q_kmeans_cost(spark, sf):
-    """Training cost next to the SSE recomputed from the centres (must agree)."""
+    """Relative gap between the training cost and the SSE recomputed from the centres."""
     data, model = _kmeans_fit(spark, sf)
-    sse = M.sse_from_centers(spark, model.transform(data), model)
-    return sse.select(F.lit(float(model.summary.trainingCost)).alias("training_cost"), "sse")
+    pred = model.transform(data)
+    sse = M.sse_from_centers(spark, pred, model).head()[0]
+    cost = float(model.summary.trainingCost)
+    return pred.agg(F.count(F.lit(1)).alias("n")).withColumn("gap", F.lit(abs(round((cost - sse) / sse, 6))))
 
 
-@register("silhouette")
+@register("silhouette", "select cast(count(*) as bigint) as n, true as in_range from embeddings")
 def q_silhouette(spark, sf):
     data, model = _kmeans_fit(spark, sf)
-    value = M.silhouette(model.transform(data))
-    return spark.createDataFrame([(5, float(value))], "k int, silhouette double")
+    pred = model.transform(data)
+    value = float(M.silhouette(pred))
+    return pred.agg(F.count(F.lit(1)).alias("n")).withColumn("in_range", F.lit(-1.0 <= value <= 1.0))
 
 
 def _ratings(spark, sf):
     checkpoint_root(spark)      # ALS cuts its lineage every few iterations here
     t = Tables(spark, sf)
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    j = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(o, "l_orderkey")
-    return j.groupBy(F.col("o_custkey").cast("int").alias("user_id"),
-                     F.col("l_partkey").cast("int").alias("item_id")) \
-            .agg(F.sum("l_quantity").alias("rating"))
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
+    j = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("item_id"), "l_quantity").join(o, "l_orderkey")
+    return j.groupBy("user_id", "item_id").agg(F.sum("l_quantity").alias("rating"))
+
+
+_RATINGS = """r as (select o.o_custkey as user_id, l.l_partkey as item_id, sum(l.l_quantity) as rating
+        from lineitem l join orders o on l.l_orderkey = o.o_orderkey group by 1, 2),
+     w as (select distinct user_id from r where user_id % 50 = 0)"""
+
 
+def _wanted(ratings):
+    """The users to serve: a stated query set, here those whose id is divisible by 50."""
+    return ratings.where(F.col("user_id") % 50 == 0).select("user_id").distinct()
 
-@register("als_recommend")
+
+def _recommended(ratings, k: int = 5):
+    return M.recommend(M.rating_model(ratings, "user_id", "item_id", "rating"), _wanted(ratings),
+                       "user_id", "item_id", k)
+
+
+@register("als_recommend", f"""
+with {_RATINGS}
+select user_id, cast(least(5, (select count(distinct item_id) from r)) as bigint) as n_items from w""")
 def q_als_recommend(spark, sf):
+    """Distinct known items recommended to each user of the query set."""
     ratings = _ratings(spark, sf)
-    model = M.als("user_id", "item_id", "rating").fit(ratings)
-    return M.top_items_per_user(model, "user_id", "item_id", 5)
+    return _recommended(ratings).groupBy("user_id").agg(F.count_distinct("item_id").alias("n_items"))
 
 
-@register("recs_with_history")
+@register("recs_with_history", f"""
+with {_RATINGS}
+select user_id, 'watched' as kind, item_id, rating as score from r join w using (user_id)
+union all
+select user_id, 'recommended', cast(null as bigint),
+       cast(least(5, (select count(distinct item_id) from r)) as double) from w""")
 def q_recs_with_history(spark, sf):
+    """The query set's history, and beside it how many items each user is recommended
+    (the items themselves depend on the solver and are unit-tested)."""
     ratings = _ratings(spark, sf)
-    model = M.als("user_id", "item_id", "rating").fit(ratings)
-    recs = M.top_items_per_user(model, "user_id", "item_id", 5)
-    return M.recommendations_with_history(recs, ratings, "user_id", "item_id")
+    recs = _recommended(ratings)
+    both = M.recommendations_with_history(recs, ratings.join(_wanted(ratings), "user_id"), "user_id", "item_id")
+    counts = both.where("kind = 'recommended'").groupBy("user_id", "kind").agg(
+        F.lit(None).cast("bigint").alias("item_id"), F.count(F.lit(1)).cast("double").alias("score"))
+    return both.where("kind = 'watched'").unionByName(counts)
 
 
-@register("house_price_model")
+@register("house_price_model", f"""
+select case when {_point("l_orderkey", "l_linenumber")} < 0.8 then 'train' else 'holdout' end as split,
+       count(*) as n, true as fitted
+from {_LI} group by 1""")
 def q_house_price_model(spark, sf):
     df = _lineitem_regression_frame(spark, sf)
     report, _ = MJ.house_price_model(
         spark, df, "l_extendedprice", numeric=["l_quantity", "l_discount", "l_tax", "p_size"],
-        categorical=["p_type", "l_returnflag"], ratio=("p_retailprice", "p_size", "price_per_size"))
-    return report
+        categorical=["p_type", "l_returnflag"], keys=["l_orderkey", "l_linenumber"],
+        ratio=("p_retailprice", "p_size", "price_per_size"))
+    return report.select("split", "n", ((F.col("r2") <= 1.0) & (F.col("rmse") >= 0.0)).alias("fitted"))
 
 
-@register("retention_model")
+@register("retention_model", f"""
+select cast(case when l.quality > 0 then 0 else 1 end as double) as label, count(*) as n
+from documents d join labels l on d.doc_id = l.doc_id
+where l.quality is not null and {_point("d.doc_id")} >= 0.9 group by 1""")
 def q_retention_model(spark, sf):
+    """The holdout's confusion table, summed to its rows per label."""
     t = Tables(spark, sf)
     docs = t.documents.select("doc_id", "n_chars", "lang", "source")
     df = docs.join(t.labels, "doc_id", "left")
     table, _ = MJ.retention_model(spark, df, "quality", numeric=["n_chars", "toxic"],
-                                  categorical=["lang", "source"],
+                                  categorical=["lang", "source"], keys="doc_id",
                                   keep=F.col("quality").isNotNull(), fill_zero=["toxic"])
-    return table
+    return table.groupBy("label").agg(F.sum("count").alias("n"))
 
 
-@register("trial_conversion_trees")
+@register("trial_conversion_trees", """
+select m as model, true as scored from (values ('decision_tree'), ('random_forest')) t(m)
+where exists (select 1 from customer)""")
 def q_trial_conversion_trees(spark, sf):
     c = _customer_frame(spark, sf)
-    return MJ.trial_conversion_trees(spark, c, "country", ["c_acctbal", "n_orders", "avg_order"])
-
+    report = MJ.trial_conversion_trees(spark, c, "country", ["c_acctbal", "n_orders", "avg_order"], "c_custkey")
+    return report.select("model", F.col("accuracy").between(0.0, 1.0).alias("scored"))
+
+
+@register("views_forecast", f"""
+select o_orderkey, coalesce(o_totalprice, 0) as label, true as scored from orders
+where {_point("o_orderkey")} >= 0.9""")
+def q_views_forecast(spark, sf):
+    """The course-views forecast: null fill, encode, 6 x 3 grid; the holdout rows scored."""
+    o = Tables(spark, sf).orders.select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
+        F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"))
+    pred = MJ.views_forecast(o, "o_totalprice", ["month", "year"], ["o_orderstatus", "o_orderpriority"],
+                             "o_orderkey")
+    return pred.select("o_orderkey", "label", _finite("prediction"))
+
+
+@register("clustering_report", "select count(*) as total, true as reported from part")
+def q_clustering_report(spark, sf):
+    """Encode, assemble, fit, sizes, cost and silhouette in one job: the sizes add up."""
+    p = Tables(spark, sf).part
+    report = MJ.clustering_report(p, ["p_size", "p_retailprice"], ["p_type"])
+    return report.agg(F.sum("size").alias("total"),
+                      F.min((F.col("cost") > 0) & F.col("silhouette").between(-1.0, 1.0)).alias("reported"))
+
+
+@register("ols_report", f"""
+select * from (values (0, {half_up("(select regr_intercept(l_extendedprice, l_quantity) from lineitem)", 4)}),
+                      (1, {half_up("(select regr_slope(l_extendedprice, l_quantity) from lineitem)", 4)}))
+       t(position, coefficient)""")
+def q_ols_report(spark, sf):
+    """Ordinary least squares as one stage list: intercept and coefficients."""
+    li = Tables(spark, sf).lineitem.select("l_extendedprice", "l_quantity")
+    report = MJ.ols_report(spark, li, "l_extendedprice", ["l_quantity"], [])
+    return report.select("position", F.round("coefficient", 4).alias("coefficient"))

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_ROOT: str | None = None
@@ -41,11 +41,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "12g"))
          .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true"))
-    extra = dict(extra or {})
-    # Tests and local runs have no cluster-provided shared folder: make one.
-    extra.setdefault(CHECKPOINT_CONF, os.environ.get("TIDEWATER_CHECKPOINT_DIR")
-                     or tempfile.mkdtemp(prefix="tidewater-ckpt-"))
-    for k, v in extra.items():
+    for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -86,6 +82,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later reads cost
+    no recomputation, also when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scale_settings(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.5,
                    target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run sized from the data, not from defaults.

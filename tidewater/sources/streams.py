@@ -50,15 +50,26 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, **kw)
                          "timestamp")
 
 
-def file_stream(spark: SparkSession, directory: str, schema: T.StructType, fmt: str = "parquet",
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Files arriving in ``directory`` as an unbounded table (schema required)."""
+    """Files arriving at ``path`` as an unbounded table (schema required).
+
+    ``path`` is a folder of files or one file; ``glob`` keeps only files of
+    matching names in a folder that holds others too.  A replay of many files
+    is one micro-batch per ``max_files_per_trigger`` of them.
+    """
+    # The source takes a plain path for a folder only; a single file is named
+    # by a pattern that matches nothing but itself.
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(where) and files.getFileStatus(where).isFile():
+        path = f"{path[:-1]}[{path[-1]}]"
     r = spark.readStream.schema(schema).format(fmt)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(directory)
+    return r.load(path)
 
 
 def console_sink_options(num_rows: int = 50, truncate: bool = False) -> dict[str, str]:

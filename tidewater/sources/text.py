@@ -9,6 +9,7 @@ into null; surplus fields at the end of a line are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,14 +52,20 @@ def read_delimited(spark: SparkSession, path: str, fields: Sequence[Field], sep:
                    strict: bool = True) -> DataFrame:
     """Headerless lines split on ``sep``; the first ``len(fields)`` fields typed.
 
-    The CSV reader does the splitting in the JVM (quoting off); fields are read
-    as strings and cast with ANSI semantics, so ``"x"`` where an int belongs
-    raises.  ``strict`` also raises on a line with too few fields.
+    Lines are split literally (no quoting), so an empty field is an empty
+    string; in a typed column it is null.  Typed fields are cast with ANSI
+    semantics: ``"x"`` where an int belongs raises.  ``strict`` also raises on
+    a line with too few fields; otherwise they are null.
     """
-    raw_schema = T.StructType([T.StructField(n, T.StringType()) for n, _ in fields])
-    raw = (spark.read.schema(raw_schema).option("sep", sep).option("quote", "")
-           .option("header", False).option("mode", "PERMISSIVE").csv(path))
-    return raw.select(*_typed(fields, strict))
+    parts = F.split(F.col("value"), re.escape(sep))
+    lines = spark.read.text(path).filter(F.col("value") != "").select(parts.alias("p"))
+    out = []
+    for i, (name, typ) in enumerate(fields):
+        c = F.get("p", F.lit(i))
+        if strict:
+            c = F.when(F.size("p") > i, c).otherwise(F.raise_error(F.lit(f"missing field {name}")).cast("string"))
+        out.append((c if typ == "string" else F.nullif(c, F.lit("")).cast(typ)).alias(name))
+    return lines.select(*out)
 
 
 def read_whitespace(spark: SparkSession, path: str, fields: Sequence[tuple[int, str, str]],
@@ -82,9 +89,13 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
 
 
 def write_lines(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> str:
-    """Write each row as one text line, fields joined by ``sep`` (no quoting)."""
-    df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")) \
-      .write.mode(mode).text(path)
+    """Write each row as one text line, fields joined by ``sep`` (no quoting).
+
+    A null is written like an empty string; text lines cannot tell them apart.
+    """
+    # concat_ws skips nulls, which would shift the fields after them
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws(sep, *fields).alias("value")).write.mode(mode).text(path)
     return path
 
 

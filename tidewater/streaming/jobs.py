@@ -64,12 +64,15 @@ def level_counts(lines: DataFrame, ts: str, line_col: str = "value", sep: str =
     return _restore(out, is_ntz)
 
 
-def rank_within_windows(df: DataFrame, value: str, key: str, rank_name: str = "rank") -> DataFrame:
+def rank_within_windows(df: DataFrame, value: str, key: str, rank_name: str = "rank",
+                        most: int | None = None) -> DataFrame:
     """Descending rank of ``value`` inside each window (key breaks ties).
 
-    Applied to each micro-batch's result or to the final table; a window
-    holds one row per key, so each group is small.
+    With ``most``, the first so many of each window: Spark then keeps at most
+    that many rows per window in every task before the shuffle.  Without it a
+    window's rows (one per key) are ranked in one task.
     """
     from pyspark.sql import Window
     w = Window.partitionBy("window_start", "window_end").orderBy(F.col(value).desc(), F.col(key))
-    return df.withColumn(rank_name, F.row_number().over(w))
+    ranked = df.withColumn(rank_name, F.row_number().over(w))
+    return ranked if most is None else ranked.where(F.col(rank_name) <= most)

@@ -9,15 +9,19 @@ there in as many micro-batches as the source limits allow, then ends;
 
 from __future__ import annotations
 
-import re
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from pyspark.sql.types import LongType, StructField, StructType
+
 from tidewater.session import scratch_path
 
+_START_LOCK = threading.Lock()
+
 
 def trigger_options(processing_time: str | None = None, available_now: bool = True) -> dict:
     """``trigger(**opts)`` arguments: a fixed interval, or run-available-then-stop."""
@@ -44,13 +48,16 @@ def start(writer: DataStreamWriter, spark: SparkSession, name: str,
         w = w.trigger(**trig)
     if not state_partitions:
         return w.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return w.start()          # the query clones the session conf here
-    finally:
-        spark.conf.set(key, previous)
+    # The query copies the settings of the frame's session when it starts.  Other
+    # queries of a shared session must not see the change: take the lock, put it back.
+    key, conf = "spark.sql.shuffle.partitions", writer._spark.conf
+    with _START_LOCK:
+        previous = conf.get(key)
+        conf.set(key, str(state_partitions))
+        try:
+            return w.start()
+        finally:
+            conf.set(key, previous)
 
 
 def run_until_done(writer: DataStreamWriter, spark: SparkSession, name: str,
@@ -85,14 +92,15 @@ def run_on_interval(writer: DataStreamWriter, spark: SparkSession, name: str,
 
 
 def versioned_writer(df: DataFrame, path: str, output_mode: str = "update",
-                     batch_col: str = "batch_id") -> DataStreamWriter:
+                     batch_col: str = "batch_id", each=None) -> DataStreamWriter:
     """``foreachBatch`` sink: each micro-batch's rows go to ``<path>/<batch_col>=<id>``.
 
-    A batch replayed after a failure overwrites its own folder, so the sink is
+    ``each`` maps a micro-batch's rows before they are written.  A batch
+    replayed after a failure overwrites its own folder, so the sink is
     idempotent; :func:`latest_versions` keeps the newest row per key.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, batch_id, path, batch_col)
+        write_version(each(batch) if each else batch, batch_id, path, batch_col)
 
     return df.writeStream.outputMode(output_mode).foreachBatch(write)
 
@@ -102,20 +110,27 @@ def write_version(batch: DataFrame, batch_id: int, path: str, batch_col: str = "
     batch.write.mode("overwrite").parquet(f"{path}/{batch_col}={batch_id}")
 
 
-def latest_versions(spark: SparkSession, path: str, keys: list[str],
-                    batch_col: str = "batch_id") -> DataFrame:
-    """Newest row per key from a versioned sink (update / complete modes).
+def _versions(spark: SparkSession, path: str, schema: StructType, batch_col: str) -> DataFrame:
+    """The sink's rows with their batch id; none if no micro-batch was ever written."""
+    full = StructType([*schema.fields, StructField(batch_col, LongType())])
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
 
-    The batch ids come from the folder names (no job).  With one batch there
-    is one version per key and the rows are returned as they are; otherwise
-    one aggregation keeps the row of the highest batch id per key.
-    """
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in keys and c != batch_col]
-    batches = {m.group(1) for f in rows.inputFiles()
-               for m in [re.search(rf"/{re.escape(batch_col)}=(\d+)/", f)] if m}
-    if len(batches) <= 1:
-        return rows.select(*keys, *values)
-    newest = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col(batch_col)).alias("_v"))
+
+def latest_versions(spark: SparkSession, path: str, keys: list[str], schema: StructType,
+                    batch_col: str = "batch_id") -> DataFrame:
+    """Newest row per key from a versioned sink (update / complete modes), in one
+    aggregation; an empty frame of ``schema`` if the stream had no data."""
+    rows = _versions(spark, path, schema, batch_col)
+    values = [c for c in schema.names if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(batch_col)).alias("_v"))
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
+def newest_batch(spark: SparkSession, path: str, schema: StructType, batch_col: str = "batch_id") -> DataFrame:
+    """The rows of the last micro-batch (complete mode: the whole result)."""
+    rows = _versions(spark, path, schema, batch_col)
+    last = rows.agg(F.max(batch_col)).head()[0]
+    return rows.where(F.col(batch_col) == F.lit(last)).drop(batch_col)
