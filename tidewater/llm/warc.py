@@ -158,6 +158,12 @@ def _captures(rows) -> pa.RecordBatch:
                                       names=["key", "page_id", "file", "offset", "length"])
 
 
+def _tasks(df: DataFrame) -> int:
+    """A stated number of tasks: the rows dealt are small, what is read for them is not,
+    so adaptive merging of small partitions would go by the wrong size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 # ------------------------------------------------------------------ index
 
 def build_index(captures: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -270,7 +276,7 @@ def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
             yield _captures(rows)
 
     routed = keys.select("key").distinct().mapInArrow(route, "part int, key string")
-    dealt = routed.repartition("part").sortWithinPartitions("part", "key")
+    dealt = routed.repartition(_tasks(index), "part").sortWithinPartitions("part", "key")
     return dealt.mapInArrow(search, CAPTURE)
 
 
@@ -301,7 +307,8 @@ def read_records(captures: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[
                 "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
 
-    dealt = captures.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    dealt = captures.select("file", "offset", "length").repartition(_tasks(captures), "file")
+    dealt = dealt.sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, "
                                  "record_type string, refers_to bigint, url string, payload binary")
 
