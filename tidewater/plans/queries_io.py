@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidewater.plans import queries_core  # noqa: F401  (registers the batch oracles reused here)
 from tidewater.plans.registry import ORACLES, half_up, register
-from tidewater.session import scratch_path
+from tidewater.session import remove_at_exit, scratch_path
 from tidewater.sources import text as S
 from tidewater.operators.windows import sliding_from_buckets
 from tidewater.sources.streams import file_stream
@@ -38,6 +38,7 @@ def q_csv_strings(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderstatus",
                                         "o_orderpriority")
     S.write_csv(o, path)
+    remove_at_exit(spark, path)
     return S.read_csv_strings(spark, path)
 
 
@@ -47,6 +48,7 @@ from customer""")
 def q_csv_inferred(spark, sf):
     path = scratch_path(spark, "csv-inferred")
     S.write_csv(Tables(spark, sf).customer, path)
+    remove_at_exit(spark, path)
     return S.read_csv_inferred(spark, path)
 
 
@@ -60,6 +62,7 @@ def q_csv_glob(spark, sf):
     path = scratch_path(spark, "csv-glob")
     # several part files at any size, as many as the scan has tasks
     S.write_csv(Tables(spark, sf).supplier, path)
+    remove_at_exit(spark, path)
     return S.read_csv_typed(spark, f"{path}/part-*.csv", SUPPLIER_SCHEMA)
 
 
@@ -69,6 +72,7 @@ def q_text_delimited(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderstatus",
                                         "o_orderpriority")
     S.write_lines(o, path, ",")
+    remove_at_exit(spark, path)
     return S.read_delimited(spark, path, [("o_orderkey", "bigint"), ("o_custkey", "bigint"),
                                           ("o_orderstatus", "string")])
 
@@ -82,6 +86,7 @@ def q_text_whitespace(spark, sf):
                                F.col("l_quantity").cast("string"), F.lit("\t"),
                                F.unix_timestamp("l_shipdate").cast("string")).alias("value"))
     lines.write.text(path)
+    remove_at_exit(spark, path)
     return S.read_whitespace(spark, path, [(1, "item", "bigint"), (2, "rating", "double")])
 
 
@@ -89,6 +94,7 @@ def q_text_whitespace(spark, sf):
 def q_text_pipe_lookup(spark, sf):
     path = scratch_path(spark, "text-pipe")
     S.write_lines(Tables(spark, sf).part.select("p_partkey", "p_name", "p_brand"), path, "|")
+    remove_at_exit(spark, path)
     return S.read_pipe_lookup(spark, path)
 
 
@@ -140,6 +146,7 @@ def events_stream(spark, sf, max_files_per_trigger=FILES_PER_TRIGGER):
 def _run_versioned(spark, df, name, keys, output_mode="update", state_partitions=STATE_PARTITIONS):
     out = scratch_path(spark, f"sink-{name}")
     run_until_done(versioned_writer(df, out, output_mode), spark, name, state_partitions=state_partitions)
+    remove_at_exit(spark, out)
     return latest_versions(spark, out, keys, df.schema)
 
 

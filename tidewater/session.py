@@ -82,11 +82,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver remove a scratch table when it ends (results may read it until then)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: later reads cost
     no recomputation, also when an executor is lost."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
