@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewater.session import checkpoint_root
+from tidewater.session import checkpoint_root, remove_at_exit
 
 #: A word is a maximal run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,6 +47,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
     void = {c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if kind == "void"}
     (df.withColumns(void) if void else df).write.parquet(path)
+    remove_at_exit(spark, path)
     return spark.read.schema(df.withColumns(void).schema if void else df.schema).parquet(path)
 
 
