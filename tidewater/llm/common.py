@@ -51,6 +51,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.withColumns(void).schema if void else df.schema).parquet(path)
 
 
+def is_scan(df: DataFrame) -> bool:
+    """True if ``df`` only filters and projects a source: every read deals its rows to the same tasks."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        below = node.children()
+        if below.size() and node.nodeName() not in ("Project", "Filter"):
+            return False
+        todo += [below.apply(i) for i in range(below.size())]
+    return True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -45,6 +45,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidewater.llm.common import is_scan, stored
+
 LENGTH, GRAM, HOT = 100, 30, 2000
 CHUNK_BYTES = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -383,6 +385,8 @@ def cut_documents(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Data
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of every row."""
     if length < GRAM + 1:
         raise ValueError(f"length must be at least {GRAM + 1}")
+    if not is_scan(docs):                      # the steps below must see the same scan partitions
+        docs = stored(docs.select("doc_id", "text"), "suffix-input")
     # a row's number holds its scan partition in its upper bits
     rows = docs.select(F.col("doc_id").cast("long").alias("d"), F.monotonically_increasing_id().alias("a"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("body"))
