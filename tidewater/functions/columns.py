@@ -44,10 +44,6 @@ def binary_label(c: ColumnOrName, threshold: float, when_true: int = 1, when_fal
     return F.when(cond, F.lit(when_true)).otherwise(F.lit(when_false))
 
 
-def zero_if_null(c: ColumnOrName) -> Column:
-    return F.coalesce(_c(c), F.lit(0))
-
-
 def safe_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
     """Double quotient; null where the denominator is 0 or null (never raises)."""
     return F.try_divide(_c(numerator).cast("double"), _c(denominator).cast("double"))
