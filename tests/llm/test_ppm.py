@@ -101,6 +101,11 @@ def test_awkward_rows(awkward):
     check(short, max_frequent=3)          # most words go by the join
 
 
+@pytest.mark.parametrize("max_edges", [10, 100])
+def test_scores_are_of_the_whole_trie_whatever_part_is_broadcast(awkward, max_edges):
+    check(awkward.where("doc_id is null or doc_id not in (5, 6, 13)"), max_edges=max_edges)
+
+
 def test_the_model_is_cut_at_its_bound_and_stays_a_distribution(awkward):
     counts = P.corpus_counts(awkward, 3)
     orders = P.fit(counts, 3, max_edges=200)

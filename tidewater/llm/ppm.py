@@ -11,11 +11,14 @@ add up to one.
 
 Counting: every task adds up its own strings of context and symbol and its
 words, Spark adds the tasks' counts.  Shorter contexts are sums of longer
-ones.  Each order of the trie keeps at most ``max_edges`` (context, symbol)
-pairs, those of the contexts with the highest counts, cut at a power of two:
-a documented bound on the model, never on the texts, so what is broadcast has
-a fixed bound.  Tasks score all bytes of a run of texts together, order by
-order.
+ones.  The whole trie stays a table.  Of each order at most ``max_edges``
+(context, symbol) pairs are also broadcast, those of the contexts with the
+highest counts, cut at a power of two.  A context that was broadcast is there
+with all its symbols and all its shorter contexts, so a byte behind it is
+coded exactly in the scan, where tasks code all bytes of a run of texts
+together, order by order.  The other bytes leave the scan as one row per
+document and distinct (context, symbol) pair; those pairs are coded by joins
+with the tables, so the bound has no effect on any score.
 
 The word-level base score needs the counts of all training words, which have
 no bound: the ``max_frequent`` most frequent ones are broadcast and handle
@@ -137,9 +140,12 @@ class Model:
     every node can hold the costs of what follows an escape from it.
     """
 
-    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
-        """``orders[i]``: sorted (context of i bytes, symbol) numbers and their counts."""
-        self.edges, self.nodes = [], []
+    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]], whole: bool = True):
+        """``orders[i]``: sorted (context of i bytes, symbol) numbers and their counts.
+
+        ``whole``: the longest contexts are all there; if not, the others are left open.
+        """
+        self.edges, self.nodes, self.whole = [], [], whole
         below = None                                 # (places, total, distinct, count) one order below
         for i, (keys, n) in enumerate(orders):
             keys, n = keys.astype(np.uint64), n.astype(np.float64)
@@ -167,7 +173,7 @@ class Model:
             below = {"edges": edges, "nodes": nodes, "n": n, "total": total, "distinct": distinct}
 
     def code(self, keys: np.ndarray) -> np.ndarray:
-        """Log10 probability of each (context, symbol) number."""
+        """Log10 probability of each (context, symbol) number, nan where it is open."""
         out = np.zeros(len(keys))
         rest, escape = np.full(len(keys), np.nan), np.zeros(len(keys))   # nan: no longer context known
         open_ = np.arange(len(keys))
@@ -183,6 +189,9 @@ class Model:
                 return out
             node = nodes.find(k >> np.uint64(8))
             known = node >= 0
+            if not self.whole and i == len(self.edges) - 1:
+                out[open_[~known]] = np.nan
+                open_, node, known = open_[known], node[known], known[known]
             at, node = open_[known], node[known]
             out[at] += np.where(np.isnan(rest[at]), stats["escape"][node], escape[at])
             rest[at] = stats["rest"][node]
@@ -191,12 +200,26 @@ class Model:
         return out
 
     def scores(self, raws: list[bytes]) -> list[float]:
-        """Log10 probability of each text."""
-        out = []
+        """Log10 probability of each text (of its bytes that are not open)."""
+        return self.parted(raws)[0]
+
+    def parted(self, raws: list[bytes]) -> tuple[list[float], np.ndarray, np.ndarray, np.ndarray]:
+        """(scores without the open bytes, text, (context, symbol) number and count of the open ones)."""
+        out, left, first = [], [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
         for part in chunks(raws):
             keys, starts = grams(part, len(self.edges) - 1)
-            out += np.add.reduceat(self.code(keys), starts).tolist()
-        return out
+            logs = self.code(keys)
+            open_ = np.flatnonzero(np.isnan(logs))
+            logs[open_] = 0.0
+            out += np.add.reduceat(logs, starts).tolist()
+            if len(open_):
+                text, keys = np.searchsorted(starts, open_, side="right") - 1 + first, keys[open_]
+                place = np.lexsort((keys, text))
+                text, keys = text[place], keys[place]
+                new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])])
+                left.append((text[new], keys[new], np.diff(np.r_[new, len(keys)])))
+            first += len(part)
+        return out, *(np.concatenate(x) for x in zip(*left))
 
 
 def _log(x: np.ndarray) -> np.ndarray:
@@ -254,28 +277,89 @@ def least_count(df: DataFrame, most: int, size: Column | None = None) -> int:
     return next((1 << j for j in range(48) if sums[j] <= most), 1 << 48)
 
 
-def fit(counts: DataFrame, order: int = ORDER, max_edges: int = MAX_EDGES):
-    """Per order the kept (context, symbol) numbers and their counts, as sorted arrays.
+def _low(gram: str, size: int) -> Column:
+    return F.col(gram).bitwiseAND((1 << 8 * size) - 1)
 
-    At most ``max_edges`` of each order reach the driver.  A context stays if
-    its count reaches that order's threshold, which never falls with the
-    order: with a context, all its shorter ones stay.
-    """
+
+def tables(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
+    """The whole trie: per order (gram, n) and (context, n, edges), its pairs and its contexts."""
     by_order = [counts.where("gram is not null").select("gram", "n")]
     for i in range(order, 0, -1):
-        shorter = by_order[0].groupBy(F.col("gram").bitwiseAND((1 << 8 * i) - 1).alias("gram"))
+        shorter = by_order[0].groupBy(_low("gram", i).alias("gram"))
         by_order.insert(0, stored(shorter.agg(F.sum("n").alias("n")), "ppm-order"))
+    return [(e, stored(e.groupBy(F.shiftright("gram", 8).alias("context")).agg(
+        F.sum("n").alias("n"), F.count("*").alias("edges")), "ppm-contexts")) for e in by_order]
+
+
+def hot_part(trie: list[tuple[DataFrame, DataFrame]], max_edges: int = MAX_EDGES):
+    """(per order the (context, symbol) numbers and counts to broadcast, as sorted arrays; whether that is all).
+
+    At most ``max_edges`` of each order reach the driver.  A context is among
+    them if its count reaches that order's threshold, which never falls with
+    the order: with a context, all its shorter ones are.
+    """
     out, least = [], 1
-    for grams_ in by_order:
-        keyed = grams_.withColumn("context", F.shiftright("gram", 8))
-        contexts = stored(keyed.groupBy("context").agg(F.sum("n").alias("n"), F.count("*").alias("edges")),
-                          "ppm-contexts")
+    for edges, contexts in trie:
         least = max(least, least_count(contexts, max_edges, F.col("edges")))
         kept = contexts.where(F.col("n") >= least).select("context")
+        keyed = edges.withColumn("context", F.shiftright("gram", 8))
         t = keyed.join(kept, "context", "left_semi").select("gram", "n").toArrow()
         place = np.argsort(t["gram"].to_numpy())
         out.append((t["gram"].to_numpy()[place].astype(np.uint64), t["n"].to_numpy()[place].astype(np.float64)))
-    return out
+    return out, least == 1
+
+
+def fit(counts: DataFrame, order: int = ORDER, max_edges: int = MAX_EDGES):
+    """Per order the (context, symbol) numbers of the trie's hot part and their counts."""
+    return hot_part(tables(counts, order), max_edges)[0]
+
+
+def pair_costs(pairs: DataFrame, trie: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """gram, cost: log10 probability of each distinct (context, symbol) number, by joins with the whole trie.
+
+    The same steps as ``Model.code``, from the shortest context up.  A pair's
+    row of one order has its count there (``n``), its cost if coding starts
+    there, and ``tail``, what it costs after an escape from there.  At most 256
+    rows of an order share a row of the one below.
+    """
+    wanted = [stored(pairs.select("gram").distinct(), "ppm-open")]
+    for i in range(len(trie) - 1, 0, -1):
+        wanted.insert(0, stored(wanted[0].select(_low("gram", i).alias("gram")).distinct(), "ppm-open"))
+    state = None
+    for i, (edges, contexts) in enumerate(trie):
+        here = wanted[i].withColumn("context", F.shiftright("gram", 8))
+        known = here.select("context").distinct().join(contexts, "context").select(
+            "context", F.col("n").alias("total"), F.col("edges").alias("distinct"))
+        escape = F.when(F.col("distinct") < 256, F.col("distinct")).otherwise(0)
+        whole = F.col("total") + escape
+        stats = ["context", F.log10(whole).alias("whole"), F.log10(escape / whole).alias("escape")]
+        if i:
+            shorter, parents = trie[i - 1]
+            up = (edges.withColumn("context", F.shiftright("gram", 8)).join(known.select("context"), "context")
+                  .select("context", _low("gram", i).alias("gram")))
+            hidden = up.join(shorter, "gram").groupBy("context").agg(F.sum("n").alias("hidden"))
+            parents = parents.select(F.col("context").alias("parent"), F.col("n").alias("up_total"),
+                                     F.col("edges").alias("up_distinct"))
+            known = known.join(hidden, "context").withColumn("parent", _low("context", i - 1)).join(parents, "parent")
+            weight = F.when(F.col("up_distinct") < 256, F.col("up_distinct") - F.col("distinct")).otherwise(0)
+            rest = F.col("up_total") - F.col("hidden") + weight
+            stats += [F.log10(F.greatest(rest, F.lit(1))).alias("rest"),
+                      F.when(rest > 0, F.log10(weight / rest)).otherwise(0.0).alias("escape_below")]
+        else:
+            stats += [F.log10(F.greatest(256 - F.col("distinct"), F.lit(1))).alias("rest")]
+        here = here.join(edges, "gram", "left").join(known.select(*stats), "context", "left")
+        if i:
+            here = here.withColumn("shorter", _low("gram", i)).join(state.select(
+                F.col("gram").alias("shorter"), F.col("n").alias("n_below"), F.col("tail").alias("tail_below"),
+                F.col("cost").alias("cost_below")), "shorter")
+            tail = F.when(F.col("n_below").isNotNull(), F.log10("n_below") - F.col("rest")).otherwise(
+                F.col("escape_below") + F.col("tail_below"))
+        else:
+            here, tail = here.withColumn("cost_below", -F.log10(F.lit(256.0))), -F.col("rest")
+        cost = (F.when(F.col("whole").isNull(), F.col("cost_below"))
+                .when(F.col("n").isNotNull(), F.log10("n") - F.col("whole")).otherwise(F.col("escape") + F.col("tail")))
+        state = stored(here.withColumn("tail", tail).select("gram", "n", "tail", cost.alias("cost")), "ppm-costs")
+    return state.select("gram", "cost")
 
 
 _MODELS: dict = {}
@@ -290,24 +374,26 @@ def _worker(name: str, parts: dict):
         _MODELS.clear()
         logs = np.log10((parts.pop("counts") + 1) / parts.pop("denominator")).tolist()
         known = dict(zip(parts.pop("words"), logs))
-        _MODELS[name] = (Model(parts.pop("orders")), known)
+        _MODELS[name] = (Model(parts.pop("orders"), parts.pop("whole")), known)
     return _MODELS[name]
 
 
-def scan_scores(docs: DataFrame, orders, words: list[bytes], counts: np.ndarray, denominator: float) -> DataFrame:
-    """One row per document, and one per document and distinct word that is not among ``words``."""
+def scan_scores(docs: DataFrame, orders, whole: bool, words: list[bytes], counts: np.ndarray,
+                denominator: float) -> DataFrame:
+    """One row per document, one per document and distinct word that is not among ``words``, and
+    one per document and distinct (context, symbol) pair that ``orders`` leave open."""
     name = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(
-        {"orders": orders, "words": words, "counts": counts, "denominator": denominator})
+        {"orders": orders, "whole": whole, "words": words, "counts": counts, "denominator": denominator})
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "tf"]
-    kinds = (pa.int64(), None, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
+    names = ["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "gram", "tf"]
+    kinds = (pa.int64(), None, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, logs = _worker(name, shared.value)
         for b in (x.slice(i, SLICE_ROWS) for x in batches for i in range(0, x.num_rows, SLICE_ROWS)):
             raws = [_raw(t) for t in b.column(2).to_pylist()]
-            score = model.scores(raws)
+            score, text, gram, times = model.parted(raws)
             totals, known, base, rare = [], [], [], ([], [], [])
             for row, raw in zip(b.column(0).to_pylist(), raws):
                 seen = Counter(raw.lower().split())
@@ -327,16 +413,21 @@ def scan_scores(docs: DataFrame, orders, words: list[bytes], counts: np.ndarray,
                 base.append(s)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip((totals, known, base, score), kinds[2:6])),
-                 pa.nulls(len(raws), pa.binary()), pa.nulls(len(raws), pa.int64())], names=names)
+                 *(pa.nulls(len(raws), t) for t in kinds[6:])], names=names)
             n = len(rare[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rare[0], pa.int64()), pa.nulls(n, b.column(1).type),
                  *(pa.nulls(n, t) for t in kinds[2:6]), pa.array(rare[1], pa.binary()),
-                 pa.array(rare[2], pa.int64())], names=names)
+                 pa.nulls(n, pa.int64()), pa.array(rare[2], pa.int64())], names=names)
+            n = len(gram)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(text)), pa.nulls(n, b.column(1).type),
+                 *(pa.nulls(n, t) for t in kinds[2:7]), pa.array(gram.astype(np.int64)), pa.array(times, pa.int64())],
+                names=names)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     return rows.mapInArrow(run, f"row bigint, doc_id {kind}, n_tokens bigint, n_known bigint, base double, "
-                                "score double, word binary, tf bigint")
+                                "score double, word binary, gram bigint, tf bigint")
 
 
 def document_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER,
@@ -351,15 +442,24 @@ def document_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int =
     denominator = float(total + distinct + 1)
     short = words.where(F.octet_length("word") <= WORD_BYTES)
     frequent = short.where(F.col("n") >= least_count(short, max_frequent)).toArrow()
-    scan = stored(scan_scores(docs, fit(counts, order, max_edges), frequent["word"].to_pylist(),
+    trie = tables(counts, order)
+    orders, whole = hot_part(trie, max_edges)
+    scan = stored(scan_scores(docs, orders, whole, frequent["word"].to_pylist(),
                               frequent["n"].to_numpy().astype(np.float64), denominator), "ppm-scan")
     rare = scan.where("word is not null").select("row", "word", "tf").join(words, "word", "left")
     gain = F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(denominator))
-    rare = rare.groupBy("row").agg(F.sum(gain).alias("rare_base"),
-                                   F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("rare_known"))
-    rows = scan.where("word is null").join(rare, "row", "left")
+    more = rare.select("row", gain.alias("base"), F.when(F.col("n") > 0, F.col("tf")).alias("known"),
+                       F.lit(0.0).alias("score"))
+    if not whole:                                        # else no pair is open
+        pairs = scan.where("gram is not null").select("row", "gram", "tf")
+        more = more.unionByName(pairs.join(pair_costs(pairs, trie), "gram").select(
+            "row", F.lit(0.0).alias("base"), F.lit(None).cast("long").alias("known"),
+            (F.col("tf") * F.col("cost")).alias("score")))
+    more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("base", "known", "score")])
+    rows = scan.where("word is null and gram is null").join(more, "row", "left")
     return rows.select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
