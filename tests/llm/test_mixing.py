@@ -87,3 +87,19 @@ def test_mixed_rows_repeat_whole_documents(crowded, empty):
 def test_no_words_at_all(spark, awkward):
     got = mixing.mix_documents(awkward.where("doc_id in (0, 1, 2)")).collect()
     assert [(r["size"], r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 3
+
+
+def test_blocks_hold_every_source_s_words(awkward):
+    how = dict(block_words=16, blocks_per_shard=32)
+    out = mixing.mixed_blocks(awkward, share=10.0, most=1.0, **how).collect()      # each source once
+    want, got = {}, {}
+    for r in awkward.collect():
+        want.setdefault(r.source, []).extend(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    for r in out:
+        assert 0 < len(r.words) <= 16 and 0 <= r.place < 32
+        got.setdefault(r.source, []).extend(r.words)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v}
+    at = [r.shard * 32 + r.place for r in out]
+    assert sorted(at) == list(range(len(at)))
+    size = sum(r.taken for r in mixing.mix_documents(awkward, **how).collect())
+    assert sum(len(r.words) for r in mixing.mixed_blocks(awkward, **how).collect()) == size

@@ -11,7 +11,9 @@
    permutation of all slots deal them out.
 4. A source's k-th slot reads block ``perm(k mod blocks)``, with another
    permutation for each pass over the source.
-5. Blocks are joined by (source, index).
+5. Blocks are joined by (source, index): ``mixed_blocks`` gives the words of
+   every slot of every output shard, ``mix_documents`` what they take of each
+   document.
 
 No step holds a source in one task: streams are built from ``lanes`` (a hash
 of the row) per source, whose sums give each lane's offset.  All tables but
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.llm.common import feistel, packed, row_hash, stored, word_count
+from tidewater.llm.common import feistel, packed, row_hash, stored, word_count, words
 
 WEIGHTS = (3.0, 1.0, 2.0)
 CHUNK, MAX_TASKS = 4096, 20_000
@@ -127,27 +129,60 @@ def plan(rows: DataFrame, block_words: int, blocks_per_shard: int, seed: int, la
     return streams(rows, src, lanes), src, draw_slots(src, total, blocks_per_shard, seed)
 
 
+def slot_parts(docs: DataFrame, block_words: int, blocks_per_shard: int, seed: int, lanes: int,
+               share: float, most: float):
+    """(slots with their blocks' parts, placed rows, sources).
+
+    ``parts`` of a slot: start in the source, size and doc_id of each document
+    in its block, and that document's words there, parted by blanks.
+    """
+    keyed = docs.select("doc_id", "source", "text", word_count(F.col("text")).alias("size"),
+                        F.xxhash64("doc_id", "text").alias("key"))
+    rows = keyed.select("doc_id", "source", "size", "key")
+    placed, src, slots = plan(rows, block_words, blocks_per_shard, seed, lanes, share, most)
+    slots = stored(slots, "mix-slots")
+    L, start, end = F.lit(block_words), F.col("start"), F.col("start") + F.col("size")
+
+    def pieces(found: Column) -> Column:                 # the words are found once per document
+        return F.transform(F.sequence(F.floor(start / L), F.floor((end - 1) / L)), lambda b: F.struct(
+            b.alias("block"), F.array_join(F.slice(
+                found, (F.greatest(start, b * L) - start + 1).cast("int"),
+                (F.least(end, (b + 1) * L) - F.greatest(start, b * L)).cast("int")), " ").alias("words")))
+
+    texts = keyed.where("size > 0").select("key", "text").dropDuplicates(["key"])
+    cut = placed.where("size > 0").select("key", "doc_id", "pos", "start", "size").join(texts.hint("merge"), "key")
+    cut = cut.select("doc_id", "pos", "start", "size", F.explode(F.flatten(
+        F.transform(F.array(words(F.col("text"))), pieces))).alias("piece"))
+    blocks = cut.groupBy("pos", F.col("piece.block").alias("block")).agg(F.array_sort(F.collect_list(
+        F.struct("start", "size", "doc_id", F.col("piece.words").alias("words")))).alias("parts"))
+    return slots.hint("merge").join(blocks.hint("merge"), ["pos", "block"]), placed, src
+
+
+def mixed_blocks(docs: DataFrame, block_words: int = 256, blocks_per_shard: int = 4096,
+                 seed: int = 11, lanes: int = 1024, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mix itself: shard, place, source and the words of every output slot."""
+    filled, _, src = slot_parts(docs, block_words, blocks_per_shard, seed, lanes, share, most)
+    text = F.array_join(F.transform("parts", lambda p: p["words"]), " ")
+    return filled.join(src.select("pos", "source"), "pos").select(
+        "shard", "place", "source", F.split(text, " ").alias("words"))
+
+
 def mix_documents(docs: DataFrame, block_words: int = 256, blocks_per_shard: int = 4096,
                   seed: int = 11, lanes: int = 1024, share: float = 1.5,
                   most: float = 2.0) -> DataFrame:
-    """What the mix takes of each document: doc_id, size, source_size, target, taken."""
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                       F.xxhash64("doc_id", "text").alias("key"))
-    placed, src, slots = plan(rows, block_words, blocks_per_shard, seed, lanes, share, most)
-    uses = block_uses(slots)
-    L = F.lit(block_words)
-    cut = placed.where("size > 0").select(
-        "doc_id", "pos", "start", "size", F.explode(F.sequence(
-            F.floor(F.col("start") / L), F.floor((F.col("start") + F.col("size") - 1) / L)))
-        .alias("block"))
-    cut = cut.withColumn("words", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * L)
-                         - F.greatest(F.col("start"), F.col("block") * L))
-    taken = (cut.join(uses, ["pos", "block"], "left")
-             .groupBy("pos", "start", "size", "doc_id")     # (pos, start) is unique where size > 0
-             .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).cast("long").alias("taken")))
-    none = placed.where("size = 0").select("pos", "start", "size", "doc_id",
-                                           F.lit(0).cast("long").alias("taken"))
-    return taken.unionByName(none).join(src.select("pos", "source_size", "target"), "pos").select(
+    """What the mix takes of each document: doc_id, size, source_size, target, taken.
+
+    ``taken`` is counted on the words of the filled slots, shard by shard.
+    """
+    filled, placed, src = slot_parts(docs, block_words, blocks_per_shard, seed, lanes, share, most)
+    part = filled.select("shard", "pos", F.explode("parts").alias("part")).select(
+        "shard", "pos", "part.start", F.size(F.split("part.words", " ")).alias("n"))
+    taken = (part.groupBy("shard", "pos", "start").agg(F.sum("n").alias("n"))
+             .groupBy("pos", "start").agg(F.sum("n").alias("taken")))    # (pos, start) is unique where size > 0
+    some = placed.where("size > 0").join(taken.hint("merge"), ["pos", "start"], "left").select(
+        "pos", "size", "doc_id", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    none = placed.where("size = 0").select("pos", "size", "doc_id", F.lit(0).cast("long").alias("taken"))
+    return some.unionByName(none).join(src.select("pos", "source_size", "target"), "pos").select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
