@@ -91,3 +91,8 @@ def test_junk_goes_and_clean_documents_stay(spark):
     clean = [r.kept for r in got if r.quality == 1]
     junk = [not r.kept for r in got if r.quality == 0]
     assert sum(clean) == len(clean) and sum(junk) >= 0.9 * len(junk)
+
+
+def test_every_text_labelled_1_is_trusted(spark):
+    labels = spark.range(25_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert Q.trusted_ids(labels.union(labels)).count() == 25_000

@@ -8,8 +8,8 @@ likelihood ratio divided by its number of n-grams; it is kept if the score is
 at least ``threshold``, a fixed number, so a document's verdict depends on the
 document and the two models alone.
 
-All of it runs in scan stages: the corpus counts shuffle ``buckets`` rows per
-task at most, and the model (``buckets`` numbers, a fixed size) goes into the
+The corpus counts shuffle ``buckets`` rows per task at most (and the word
+hashes, if the trusted doc_ids are too many to broadcast), and the model (``buckets`` numbers, a fixed size) goes into the
 scoring expression as a literal.  Nothing depends on a document's neighbours,
 so hot sources or groups of copies do not matter.
 
@@ -31,7 +31,6 @@ SYMBOLS = r"[#*$%&|<>]"
 BLANKS = " \t\n\x0b\x0c\r"
 WIDTH = 3                                     # words of a repeated window
 BUCKETS, THRESHOLD = 8192, -0.07
-MAX_TRUSTED = 20_000
 
 
 def _next(col: str, both) -> Column:
@@ -80,19 +79,18 @@ def gram_buckets(hashes: str, buckets: int) -> Column:
     return F.concat(one, two)
 
 
-def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
-    """doc_ids of trusted texts: ``most`` of those labelled 1, least hash first (a fixed sample)."""
-    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_ids of trusted texts: all that are labelled 1."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log p_trusted - log p_raw of each bucket: raw counts over all of ``docs``.
 
-    ``trusted``: a bounded list of doc_ids (``trusted_ids``), small enough to broadcast.
+    ``trusted``: distinct doc_ids (``trusted_ids``), of any number: Spark picks the join by their size.
     """
     marked = docs.select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_h"))
-    marked = marked.join(F.broadcast(trusted.withColumn("_ok", F.lit(1))), "doc_id", "left")
+    marked = marked.join(trusted.withColumn("_ok", F.lit(1)), "doc_id", "left")
     counts = (marked.select("_ok", F.explode(gram_buckets("_h", buckets)).alias("b"))
               .groupBy("b").agg(F.count("*").alias("raw"), F.count("_ok").alias("trusted")))
     raw, good = [0] * buckets, [0] * buckets
