@@ -129,3 +129,40 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame,
     out = dealt.join(F.broadcast(offsets), "_part").withColumn(
         "_rank", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1))
     return out.drop("_part", "_at", "_start"), total
+
+
+def streamed_sha256(pieces: DataFrame, key: str, order: str, text: str, sep: str) -> DataFrame:
+    """(key, sha256): the digest of each key's texts in ``order``, joined by ``sep``.
+
+    A digest reads its input in order, so a key is one task's work; rows are
+    hashed as they stream by and no key is ever held whole.  ``key`` has no nulls.
+    """
+    kind = pieces.schema[key].dataType.simpleString()
+    glue = sep.encode()
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        now, digest = None, None
+        for batch in batches:
+            keys, hashes = [], []
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if digest is None or k != now:
+                    if digest is not None:
+                        keys.append(now)
+                        hashes.append(digest.hexdigest())
+                    now, digest = k, hashlib.sha256(t.as_py().encode())
+                else:
+                    digest.update(glue)
+                    digest.update(t.as_py().encode())
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(0).type), pa.array(hashes, pa.string())],
+                                                 names=[key, "sha256"])
+        if digest is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], batch.column(0).type),
+                                              pa.array([digest.hexdigest()], pa.string())], names=[key, "sha256"])
+
+    dealt = pieces.repartition(key).sortWithinPartitions(key, order).select(key, text)
+    return dealt.mapInArrow(run, f"`{key}` {kind}, sha256 string")

@@ -1,11 +1,11 @@
-"""The ten registered operator queries, each over its whole intended table."""
+"""The registered operator queries, each over its whole intended table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import (decontam, mixing, ppm, quality_rules, ranking, sharding, simhash,
-                           suffix_dedup, warc, wordpiece)
+from tidewater.llm import (credentials, decontam, mixing, ppm, prefix_trie, quality_rules, ranking, repair, sharding,
+                           simhash, suffix_dedup, warc, wordpiece)
 from tidewater.llm.common import read
 
 #: A public byte-level vocabulary, read as word pieces: those with a leading space begin a word.
@@ -55,6 +55,19 @@ def op10_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.document_secrets(read(spark, sf_dir, "documents"))
+
+
+def op12_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_conversations(read(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_classes, op2_quality_ratio, op3_mix_sources, op4_warc_index,
-    op5_repeated_bytes, op6_ppm_scores, op7_feistel_shards, op8_wordpiece_counts, op9_pairwise_quality, op10_benchmark_overlaps)}
+    op5_repeated_bytes, op6_ppm_scores, op7_feistel_shards, op8_wordpiece_counts, op9_pairwise_quality, op10_benchmark_overlaps,
+    op11_linked_secrets, op12_repaired_conversations, op13_prefix_trie)}
