@@ -8,15 +8,17 @@ likelihood ratio divided by its number of n-grams; it is kept if the score is
 at least ``threshold``, a fixed number, so a document's verdict depends on the
 document and the two models alone.
 
-The corpus counts shuffle ``buckets`` rows per task at most (and the word
-hashes, if the trusted doc_ids are too many to broadcast), and the model (``buckets`` numbers, a fixed size) goes into the
-scoring expression as a literal.  Nothing depends on a document's neighbours,
+The corpus counts shuffle ``buckets`` rows per task at most; to tell trusted
+texts, the documents' bucket numbers (two bytes an n-gram) are joined with the
+trusted doc_ids, in the same way at every size.  The model (``buckets``
+numbers, a fixed size) goes into the scoring expression as a literal.  Nothing depends on a document's neighbours,
 so hot sources or groups of copies do not matter.
 
 Defined results: a null text has no words and fails the base rules like an
 empty one; without trusted texts there is no verdict and the base rules
 decide; repeated rows each get a row; an empty table gives none; extra columns
-are kept by ``kept_rows`` and ignored by ``document_quality``.
+are kept by ``kept_rows`` and ignored by ``document_quality``.  A text of any
+length is judged whole, as one row of one task.
 """
 
 from __future__ import annotations
@@ -87,11 +89,15 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log p_trusted - log p_raw of each bucket: raw counts over all of ``docs``.
 
-    ``trusted``: distinct doc_ids (``trusted_ids``), of any number: Spark picks the join by their size.
+    ``trusted``: distinct doc_ids (``trusted_ids``), of any number: always a merge join, of which the
+    documents' side holds two bytes an n-gram, its bucket number.
     """
-    marked = docs.select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_h"))
-    marked = marked.join(trusted.withColumn("_ok", F.lit(1)), "doc_id", "left")
-    counts = (marked.select("_ok", F.explode(gram_buckets("_h", buckets)).alias("b"))
+    if not 0 < buckets <= 1 << 15:
+        raise ValueError("bucket numbers are 16-bit: buckets must be 1 to 32768")
+    hashed = docs.select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_h"))
+    marked = hashed.select("doc_id", gram_buckets("_h", buckets).cast("array<smallint>").alias("_b"))
+    marked = marked.join(trusted.withColumn("_ok", F.lit(1)).hint("merge"), "doc_id", "left")
+    counts = (marked.select("_ok", F.explode("_b").alias("b"))
               .groupBy("b").agg(F.count("*").alias("raw"), F.count("_ok").alias("trusted")))
     raw, good = [0] * buckets, [0] * buckets
     for b, x, y in counts.collect():              # ``buckets`` rows at most
