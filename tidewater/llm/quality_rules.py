@@ -72,9 +72,8 @@ def word_features(docs: DataFrame) -> DataFrame:
     }).drop("_g", "_l")
 
 
-def gram_buckets(hashes: str, buckets: int) -> Column:
-    """Bucket numbers of the 1- and 2-grams of an array column of word hashes."""
-    h = F.col(hashes)
+def gram_buckets(h: Column, buckets: int) -> Column:
+    """Bucket numbers of the 1- and 2-grams of an array of word hashes."""
     one = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)))
     two = F.transform(F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))),
                       lambda x, i: F.pmod(F.xxhash64(h[i], x), F.lit(buckets)))
@@ -94,8 +93,10 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[flo
     """
     if not 0 < buckets <= 1 << 15:
         raise ValueError("bucket numbers are 16-bit: buckets must be 1 to 32768")
-    hashed = docs.select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_h"))
-    marked = hashed.select("doc_id", gram_buckets("_h", buckets).cast("array<smallint>").alias("_b"))
+    hashes = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
+    # the hashes are bound to a name, so they are made once and not for each n-gram
+    grams = F.transform(F.array(hashes), lambda h: gram_buckets(h, buckets).cast("array<smallint>"))[0]
+    marked = docs.select("doc_id", grams.alias("_b"))
     marked = marked.join(trusted.withColumn("_ok", F.lit(1)).hint("merge"), "doc_id", "left")
     counts = (marked.select("_ok", F.explode("_b").alias("b"))
               .groupBy("b").agg(F.count("*").alias("raw"), F.count("_ok").alias("trusted")))
@@ -111,7 +112,7 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[flo
 def ratio(hashes: str, model: list[float]) -> Column:
     """Mean log likelihood ratio of the n-grams of an array column of word hashes."""
     table = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")
-    total = F.aggregate(gram_buckets(hashes, len(model)), F.lit(0.0),
+    total = F.aggregate(gram_buckets(F.col(hashes), len(model)), F.lit(0.0),
                         lambda s, b: s + F.get(table, b.cast("int")))
     return F.when(F.size(hashes) > 0, total / (2 * F.size(hashes) - 1))
 
