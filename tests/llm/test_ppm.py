@@ -106,6 +106,21 @@ def test_scores_are_of_the_whole_trie_whatever_part_is_broadcast(awkward, max_ed
     check(awkward.where("doc_id is null or doc_id not in (5, 6, 13)"), max_edges=max_edges)
 
 
+def test_long_texts_and_clashing_columns(awkward, crowded):
+    check(awkward)
+    assert P.document_scores(crowded, order=1).count() == awkward.count()
+
+
+def test_the_broadcast_part_holds_the_same_share_at_every_size(spark):
+    held = []
+    for sf in ("sf0.001", "sf0.01"):
+        counts = P.corpus_counts(read(spark, f"/root/testdata/{sf}", "documents"), 3)
+        orders = P.fit(counts, 3, share=2.0 ** -12)
+        assert all(len(np.unique(k >> np.uint64(8))) <= 2 ** 12 for k, _ in orders)
+        held.append(orders[3][1].sum() / orders[0][1].sum())
+    assert 0.5 < min(held) and max(held) - min(held) < 0.05
+
+
 def test_the_model_is_cut_at_its_bound_and_stays_a_distribution(awkward):
     counts = P.corpus_counts(awkward, 3)
     orders = P.fit(counts, 3, max_edges=200)

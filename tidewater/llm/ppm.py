@@ -11,9 +11,11 @@ add up to one.
 
 Counting: every task adds up its own strings of context and symbol and its
 words, Spark adds the tasks' counts.  Shorter contexts are sums of longer
-ones.  The whole trie stays a table.  Of each order at most ``max_edges``
-(context, symbol) pairs are also broadcast, those of the contexts with the
-highest counts, cut at a power of two.  A context that was broadcast is there
+ones.  The whole trie stays a table.  The contexts that hold at least ``share``
+of all training bytes are also broadcast with their pairs: at most 1 / share
+of an order on any input, and about the same share of the bytes lies behind
+them at every size (should an order have more than ``max_edges`` such pairs,
+the share is doubled until they fit).  A context that was broadcast is there
 with all its symbols and all its shorter contexts, so a byte behind it is
 coded exactly in the scan, where tasks code all bytes of a run of texts
 together, order by order.  The other bytes leave the scan as one row per
@@ -32,6 +34,7 @@ get a row; an empty table gives none; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -45,7 +48,8 @@ from tidewater.llm.common import stored
 ORDER = 5                                    # context bytes; with the symbol at most 8 bytes
 CHUNK_BYTES, FLUSH_WORDS = 512 << 10, 300_000
 SLICE_ROWS = 1000
-MAX_EDGES, MAX_FREQUENT, WORD_BYTES = 1 << 20, 1 << 17, 64
+SHARE, MAX_EDGES = 2.0 ** -21, 1 << 21
+MAX_FREQUENT, WORD_BYTES = 1 << 17, 64
 
 
 def fold(doc_id: Column, folds: int = 7) -> Column:
@@ -291,27 +295,28 @@ def tables(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataF
         F.sum("n").alias("n"), F.count("*").alias("edges")), "ppm-contexts")) for e in by_order]
 
 
-def hot_part(trie: list[tuple[DataFrame, DataFrame]], max_edges: int = MAX_EDGES):
-    """(per order the (context, symbol) numbers and counts to broadcast, as sorted arrays; whether that is all).
+def hot_part(trie: list[tuple[DataFrame, DataFrame]], share: float = SHARE, max_edges: int = MAX_EDGES):
+    """Per order the (context, symbol) numbers and counts to broadcast, as sorted arrays.
 
-    At most ``max_edges`` of each order reach the driver.  A context is among
-    them if its count reaches that order's threshold, which never falls with
-    the order: with a context, all its shorter ones are.
+    A context is among them if its count reaches that order's threshold, which never falls with the
+    order: with a context, all its shorter ones are.
     """
-    out, least = [], 1
+    total = trie[0][1].agg(F.sum("n")).head()[0] or 0           # one row: the empty context
+    out, least = [], max(1, math.ceil(share * total))
     for edges, contexts in trie:
-        least = max(least, least_count(contexts, max_edges, F.col("edges")))
+        while (contexts.where(F.col("n") >= least).agg(F.sum("edges")).head()[0] or 0) > max_edges:
+            least *= 2
         kept = contexts.where(F.col("n") >= least).select("context")
         keyed = edges.withColumn("context", F.shiftright("gram", 8))
         t = keyed.join(kept, "context", "left_semi").select("gram", "n").toArrow()
         place = np.argsort(t["gram"].to_numpy())
         out.append((t["gram"].to_numpy()[place].astype(np.uint64), t["n"].to_numpy()[place].astype(np.float64)))
-    return out, least == 1
+    return out
 
 
-def fit(counts: DataFrame, order: int = ORDER, max_edges: int = MAX_EDGES):
+def fit(counts: DataFrame, order: int = ORDER, share: float = SHARE, max_edges: int = MAX_EDGES):
     """Per order the (context, symbol) numbers of the trie's hot part and their counts."""
-    return hot_part(tables(counts, order), max_edges)[0]
+    return hot_part(tables(counts, order), share, max_edges)
 
 
 def pair_costs(pairs: DataFrame, trie: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -374,17 +379,17 @@ def _worker(name: str, parts: dict):
         _MODELS.clear()
         logs = np.log10((parts.pop("counts") + 1) / parts.pop("denominator")).tolist()
         known = dict(zip(parts.pop("words"), logs))
-        _MODELS[name] = (Model(parts.pop("orders"), parts.pop("whole")), known)
+        _MODELS[name] = (Model(parts.pop("orders"), whole=False), known)
     return _MODELS[name]
 
 
-def scan_scores(docs: DataFrame, orders, whole: bool, words: list[bytes], counts: np.ndarray,
+def scan_scores(docs: DataFrame, orders, words: list[bytes], counts: np.ndarray,
                 denominator: float) -> DataFrame:
     """One row per document, one per document and distinct word that is not among ``words``, and
     one per document and distinct (context, symbol) pair that ``orders`` leave open."""
     name = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(
-        {"orders": orders, "whole": whole, "words": words, "counts": counts, "denominator": denominator})
+        {"orders": orders, "words": words, "counts": counts, "denominator": denominator})
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "gram", "tf"]
     kinds = (pa.int64(), None, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.int64())
@@ -431,7 +436,7 @@ def scan_scores(docs: DataFrame, orders, whole: bool, words: list[bytes], counts
 
 
 def document_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER,
-                    max_edges: int = MAX_EDGES, max_frequent: int = MAX_FREQUENT) -> DataFrame:
+                    share: float = SHARE, max_edges: int = MAX_EDGES, max_frequent: int = MAX_FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     if not 0 <= order <= 6:
         raise ValueError("order must be 0 to 6: a context and its symbol are kept as one 64-bit number")
@@ -443,18 +448,17 @@ def document_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int =
     short = words.where(F.octet_length("word") <= WORD_BYTES)
     frequent = short.where(F.col("n") >= least_count(short, max_frequent)).toArrow()
     trie = tables(counts, order)
-    orders, whole = hot_part(trie, max_edges)
-    scan = stored(scan_scores(docs, orders, whole, frequent["word"].to_pylist(),
+    orders = hot_part(trie, share, max_edges)
+    scan = stored(scan_scores(docs, orders, frequent["word"].to_pylist(),
                               frequent["n"].to_numpy().astype(np.float64), denominator), "ppm-scan")
     rare = scan.where("word is not null").select("row", "word", "tf").join(words, "word", "left")
     gain = F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(denominator))
     more = rare.select("row", gain.alias("base"), F.when(F.col("n") > 0, F.col("tf")).alias("known"),
                        F.lit(0.0).alias("score"))
-    if not whole:                                        # else no pair is open
-        pairs = scan.where("gram is not null").select("row", "gram", "tf")
-        more = more.unionByName(pairs.join(pair_costs(pairs, trie), "gram").select(
-            "row", F.lit(0.0).alias("base"), F.lit(None).cast("long").alias("known"),
-            (F.col("tf") * F.col("cost")).alias("score")))
+    pairs = scan.where("gram is not null").select("row", "gram", "tf")
+    more = more.unionByName(pairs.join(pair_costs(pairs, trie), "gram").select(
+        "row", F.lit(0.0).alias("base"), F.lit(None).cast("long").alias("known"),
+        (F.col("tf") * F.col("cost")).alias("score")))
     more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("base", "known", "score")])
     rows = scan.where("word is null and gram is null").join(more, "row", "left")
     return rows.select(
