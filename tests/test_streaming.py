@@ -180,7 +180,7 @@ def test_streams_read_a_table_stored_as_a_folder(spark, small_dir, tmp_path):
         assert rows(many) == rows(one) and one.count() > 0, key
     # one file per micro-batch: five versions of the windows, the same result
     agg = SJ.seconds_per_course(Q.events_stream(spark, str(tmp_path), 1), "ts", "event_type", "2 minutes",
-                                watermark=Q.WATERMARK)
+                                watermark=Q.replay_watermark(spark, str(tmp_path)))
     out = scratch_path(spark, "sink")
     run_until_done(versioned_writer(agg, out), spark, "files", state_partitions=3)
     assert spark.read.parquet(out).select("batch_id").distinct().count() >= 5
@@ -203,3 +203,83 @@ def test_state_partitions_leave_the_session_alone(spark, small_dir):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     queries()["stream_file_source"](spark, small_dir)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_folder_over_several_years_loses_nothing(spark, tmp_path):
+    """One file per trigger, the newest year first: no event falls behind the watermark."""
+    from tidewater.plans import queries_io as Q
+    from tidewater.sources.tables import SCHEMAS
+    for i, year in enumerate((2024, 2019, 2022, 2016)):
+        day = [(k, dt.datetime(year, 3, 1 + k % 20, k % 24, k % 60), k % 7, "ab"[k % 2], 1.0, "") for k in range(60)]
+        spark.createDataFrame(day, SCHEMAS["events"]).coalesce(1).write.parquet(f"{tmp_path}/events.parquet/{i}")
+    spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/events.parquet").write.parquet(f"{tmp_path}/flat/events.parquet")
+    flat = f"{tmp_path}/flat"
+    agg = SJ.seconds_per_course(Q.events_stream(spark, flat, 1), "ts", "event_type", "2 minutes",
+                                watermark=Q.replay_watermark(spark, flat))
+    out = scratch_path(spark, "sink")
+    run_until_done(versioned_writer(agg, out), spark, "years")
+    keys = ["window_start", "window_end", "course_name"]
+    assert latest_versions(spark, out, keys, agg.schema).agg(F.sum("seconds_watched")).head()[0] == 4 * 60 * 5
+
+
+def test_compaction_bounds_the_versions_read(spark):
+    from tidewater.streaming.runner import compact_versions, versions, write_version
+    out = scratch_path(spark, "compact")
+    schema = spark.createDataFrame([], "k string, v int").schema
+    want = {}
+    for i in range(11):
+        part = [(f"k{j % 5}", 100 * i + j) for j in range(i % 4 + 1)]
+        want.update(dict(part))
+        if i and i % 3 == 0:
+            compact_versions(spark, out, ["k"], schema, i - 1)
+        write_version(spark.createDataFrame(part, schema), i, out)
+        write_version(spark.createDataFrame(part, schema), i, out)      # replayed
+        merged, batches = versions(spark, out)
+        assert len(merged) + len(batches) <= 4
+        assert dict(rows(latest_versions(spark, out, ["k"], schema))) == want
+    # a merge cut off before its end is not read, and repeating one changes nothing
+    merged, batches = versions(spark, out)
+    spark.createDataFrame([("k0", -1)], schema).write.parquet(f"{out}/merged/upto=10")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/merged/upto=10/_SUCCESS")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    assert versions(spark, out) == (merged, batches)
+    for _ in range(2):
+        compact_versions(spark, out, ["k"], schema, 10)
+        assert dict(rows(latest_versions(spark, out, ["k"], schema))) == want
+    assert versions(spark, out)[1] == {}
+
+
+def test_a_stream_is_resumed_from_its_checkpoint(spark):
+    from tidewater.streaming.runner import run_with_restarts, write_version
+    d = _write_batches(spark, BATCHES)
+    agg = SJ.seconds_per_course(_stream(spark, d), "ts", "event_type", "2 minutes")
+    out, written, faults = scratch_path(spark, "sink"), [], [0, 2]
+
+    def write(batch, batch_id):
+        write_version(batch, batch_id, out)
+        written.append(batch_id)
+        if batch_id in faults:
+            faults.remove(batch_id)
+            raise ValueError("lost")
+
+    n = run_with_restarts(lambda: agg.writeStream.outputMode("update").foreachBatch(write), spark, "resumed",
+                          scratch_path(spark, "ckpt"))
+    assert n == 2 and written[:4] == [0, 0, 1, 2] and written.count(2) == 2
+    whole = scratch_path(spark, "sink")
+    run_until_done(versioned_writer(agg, whole), spark, "uninterrupted")
+    keys = ["window_start", "window_end", "course_name"]
+    a, b = (latest_versions(spark, p, keys, agg.schema) for p in (out, whole))
+    assert rows(a, *keys, "seconds_watched") == rows(b, *keys, "seconds_watched")
+
+
+def test_a_fault_that_stays_is_raised(spark):
+    import pytest
+    from tidewater.streaming.runner import run_with_restarts
+    d = _write_batches(spark, BATCHES)
+
+    def fail(batch, batch_id):
+        raise ValueError("always")
+
+    with pytest.raises(Exception, match="always"):
+        run_with_restarts(lambda: _stream(spark, d).writeStream.foreachBatch(fail), spark, "broken",
+                          scratch_path(spark, "ckpt"), restarts=1)

@@ -18,11 +18,13 @@ from tidewater.plans.registry import ORACLES, half_up, register
 from tidewater.session import remove_at_exit, scratch_path
 from tidewater.sources import text as S
 from tidewater.operators.windows import sliding_from_buckets
-from tidewater.sources.streams import file_stream
+from tidewater.functions.columns import ntz_to_instant
+from tidewater.sources.streams import delivered_once, file_stream
 from tidewater.sources.tables import SCHEMAS, Tables, table_path
 from tidewater.streaming import jobs as SJ
-from tidewater.streaming.runner import (latest_versions, newest_batch, run_on_interval,
-                                        run_until_done, versioned_writer)
+from tidewater.streaming.runner import (default_state_partitions, latest_versions, newest_batch,
+                                        run_on_interval, run_until_done, run_with_restarts,
+                                        versioned_writer, write_version)
 
 # --------------------------------------------------------------------------
 # 2.1 sources
@@ -132,10 +134,19 @@ def q_temp_view_sql(spark, sf):
 # 2.6 streams (file source replaying events.parquet)
 # --------------------------------------------------------------------------
 
-#: How late an event may come: state older than this is dropped.  The test events span
-#: weeks and are not in file order, so replaying them file by file needs this much.
-WATERMARK = "400 days"
-FILES_PER_TRIGGER, STATE_PARTITIONS = 64, 8
+FILES_PER_TRIGGER = 64
+
+
+def replay_watermark(spark, sf, margin_minutes: int = 1) -> str:
+    """How late an event of a replayed table may come: its whole span, read off the table.
+
+    The files of a table are in no order of time, so an event may arrive after
+    any other; a watermark of the span drops none.  (A live stream states the
+    lateness it allows instead.)
+    """
+    lo, hi = Tables(spark, sf).events.agg(F.min("ts"), F.max("ts")).head()
+    minutes = int((hi - lo).total_seconds() // 60) if lo is not None else 0
+    return f"{minutes + margin_minutes} minutes"
 
 
 def events_stream(spark, sf, max_files_per_trigger=FILES_PER_TRIGGER):
@@ -143,9 +154,9 @@ def events_stream(spark, sf, max_files_per_trigger=FILES_PER_TRIGGER):
     return file_stream(spark, table_path(sf, "events"), schema, max_files_per_trigger=max_files_per_trigger)
 
 
-def _run_versioned(spark, df, name, keys, output_mode="update", state_partitions=STATE_PARTITIONS):
+def _run_versioned(spark, df, name, keys, output_mode="update"):
     out = scratch_path(spark, f"sink-{name}")
-    run_until_done(versioned_writer(df, out, output_mode), spark, name, state_partitions=state_partitions)
+    run_until_done(versioned_writer(df, out, output_mode), spark, name, state_partitions=default_state_partitions(spark))
     remove_at_exit(spark, out)
     return latest_versions(spark, out, keys, df.schema)
 
@@ -159,7 +170,7 @@ def q_stream_file_source(spark, sf):
 
 @register("stream_tumbling_update", ORACLES["tumbling_event_window"])
 def q_stream_tumbling_update(spark, sf):
-    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes", watermark=WATERMARK)
+    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes", watermark=replay_watermark(spark, sf))
     return _run_versioned(spark, agg, "tumbling", ["window_start", "window_end", "course_name"])
 
 
@@ -170,7 +181,7 @@ def q_stream_sliding_sum(spark, sf):
     minute are built from that bucket table, not by copying each event into
     60 windows of streaming state."""
     buckets = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "1 minute",
-                                    watermark=WATERMARK)
+                                    watermark=replay_watermark(spark, sf))
     latest = _run_versioned(spark, buckets, "sliding-buckets",
                             ["window_start", "window_end", "course_name"])
     return sliding_from_buckets(latest, "window_start", "course_name", "60 minutes", "1 minute",
@@ -183,7 +194,7 @@ def q_stream_key_count(spark, sf):
     lines = ev.select("ts", F.concat_ws(",", "event_type", F.col("ts").cast("string"))
                       .alias("value"))
     # 2-second bucket counts in the stream; 2-minute windows built from them
-    buckets = SJ.level_counts(lines, "ts", "value", ",", "2 seconds", None, WATERMARK)
+    buckets = SJ.level_counts(lines, "ts", "value", ",", "2 seconds", None, replay_watermark(spark, sf))
     latest = _run_versioned(spark, buckets, "key-count", ["window_start", "window_end", "level"])
     return sliding_from_buckets(latest, "window_start", "level", "2 minutes", "2 seconds", "n", "n")
 
@@ -191,10 +202,11 @@ def q_stream_key_count(spark, sf):
 @register("micro_batch_trigger", ORACLES["tumbling_event_window"])
 def q_micro_batch_trigger(spark, sf):
     """The tumbling job under a fixed 1-second processing-time trigger."""
-    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes", watermark=WATERMARK)
+    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes", watermark=replay_watermark(spark, sf))
     out = scratch_path(spark, "sink-interval")
+    remove_at_exit(spark, out)
     run_on_interval(versioned_writer(agg, out), spark, "interval", "1 second",
-                    state_partitions=STATE_PARTITIONS)
+                    state_partitions=default_state_partitions(spark))
     return latest_versions(spark, out, ["window_start", "window_end", "course_name"], agg.schema)
 
 
@@ -215,8 +227,9 @@ def q_stream_watermark_append(spark, sf):
     agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes",
                                 watermark="10 minutes")
     out = scratch_path(spark, "sink-append")
+    remove_at_exit(spark, out)
     writer = agg.writeStream.outputMode("append").format("parquet").option("path", out)
-    run_until_done(writer, spark, "watermark-append", state_partitions=STATE_PARTITIONS)
+    run_until_done(writer, spark, "watermark-append", state_partitions=default_state_partitions(spark))
     return spark.read.schema(agg.schema).parquet(out)
 
 
@@ -230,7 +243,7 @@ select window_start, window_start + interval 2 minute as window_end, course_name
                                order by seconds_watched desc, course_name) as integer) as rank
 from s""")
 def q_viewing_figures_stream(spark, sf):
-    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes", watermark=WATERMARK)
+    agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes", watermark=replay_watermark(spark, sf))
     latest = _run_versioned(spark, agg, "viewing-figures",
                             ["window_start", "window_end", "course_name"])
     return SJ.rank_within_windows(latest, "seconds_watched", "course_name")
@@ -250,7 +263,7 @@ def q_stream_sliding_ranked(spark, sf):
     """Sliding windows kept by the stream itself (30 minutes, every 10), each
     micro-batch emitting the windows it changed; the ten best courses of each."""
     agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "30 minutes", "10 minutes",
-                                watermark=WATERMARK)
+                                watermark=replay_watermark(spark, sf))
     latest = _run_versioned(spark, agg, "sliding-ranked", ["window_start", "window_end", "course_name"])
     return SJ.rank_within_windows(latest, "seconds_watched", "course_name", most=10)
 
@@ -267,8 +280,83 @@ def q_stream_top_emissions(spark, sf):
     the ranking runs inside each micro-batch on the complete window table."""
     agg = SJ.seconds_per_course(events_stream(spark, sf), "ts", "event_type", "2 minutes")
     out = scratch_path(spark, "sink-ranked")
+    remove_at_exit(spark, out)
     ranked = lambda b: SJ.rank_within_windows(b, "seconds_watched", "course_name", most=3)
     run_until_done(versioned_writer(agg, out, "complete", each=ranked), spark, "ranked",
-                   state_partitions=STATE_PARTITIONS)
+                   state_partitions=default_state_partitions(spark))
     schema = agg.schema.add("rank", "integer")
     return newest_batch(spark, out, schema)
+
+
+# ---- delivery, restart and compaction ----------------------------------------
+
+ARRIVALS = 8
+
+
+def _arriving(spark, rows, name, n=ARRIVALS):
+    """Rows as a folder of ``n`` files, the stand-in for a topic or a landing folder."""
+    out = scratch_path(spark, f"arrivals-{name}")
+    remove_at_exit(spark, out)
+    rows.repartition(n, *[F.col(c) for c in rows.columns[:1]]).write.parquet(out)
+    return file_stream(spark, out, rows.schema, max_files_per_trigger=1, glob="*.parquet")
+
+
+@register("stream_delivered_once", """
+select cast(event_id % 4 as integer) as partition, event_id as "offset", event_type as course_name,
+       cast(user_id as varchar) as user_key
+from events where event_id is not null""")
+def q_stream_delivered_once(spark, sf):
+    """At-least-once delivery: a topic's records, a third of them delivered again in other files, come
+    out once each; key and value are decoded from their bytes."""
+    ev = Tables(spark, sf).events.where("event_id is not null")
+    record = ev.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"), F.col("event_type").cast("binary").alias("value"),
+        F.lit("views").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), ntz_to_instant("ts").alias("timestamp"), F.lit(0).alias("timestampType"))
+    again = record.where("offset % 3 = 0").withColumn("timestampType", F.lit(1))
+    topic = _arriving(spark, record.unionByName(again).select("timestampType", *record.columns[:-1]), "topic")
+    once = delivered_once(topic, replay_watermark(spark, sf))
+    out = scratch_path(spark, "sink-once")
+    remove_at_exit(spark, out)
+    decoded = once.select("partition", "offset", F.col("value").cast("string").alias("course_name"),
+                          F.col("key").cast("string").alias("user_key"))
+    run_until_done(decoded.writeStream.outputMode("append").format("parquet").option("path", out), spark,
+                   "delivered-once", state_partitions=default_state_partitions(spark))
+    return spark.read.schema(decoded.schema).parquet(out)
+
+
+class _Fault(Exception):
+    """Stands for a lost driver: raised once, after a batch was written and before it is committed."""
+
+
+@register("stream_stop_resume", ORACLES["tumbling_event_window"])
+def q_stream_stop_resume(spark, sf):
+    """Stop and resume: the query ends twice between a batch's write and its commit and is started again
+    on its checkpoint; the batch is written again in its own place, the state goes on from before it."""
+    ev = _arriving(spark, Tables(spark, sf).events.select("event_id", "ts", "event_type"), "resume")
+    agg = SJ.seconds_per_course(ev, "ts", "event_type", "2 minutes", watermark=replay_watermark(spark, sf))
+    out, checkpoint = scratch_path(spark, "sink-resume"), scratch_path(spark, "resume")
+    remove_at_exit(spark, out)
+    faults = {2, 5}
+
+    def write(batch, batch_id):
+        write_version(batch, batch_id, out)
+        if batch_id in faults:
+            faults.remove(batch_id)
+            raise _Fault(f"after batch {batch_id}")
+
+    run_with_restarts(lambda: agg.writeStream.outputMode("update").foreachBatch(write), spark, "resume", checkpoint,
+                      state_partitions=default_state_partitions(spark))
+    return latest_versions(spark, out, ["window_start", "window_end", "course_name"], agg.schema)
+
+
+@register("stream_compacted", ORACLES["tumbling_event_window"])
+def q_stream_compacted(spark, sf):
+    """The versioned sink with compaction: after every third batch the versions before it become one."""
+    ev = _arriving(spark, Tables(spark, sf).events.select("event_id", "ts", "event_type"), "compact")
+    agg = SJ.seconds_per_course(ev, "ts", "event_type", "2 minutes", watermark=replay_watermark(spark, sf))
+    out, keys = scratch_path(spark, "sink-compact"), ["window_start", "window_end", "course_name"]
+    remove_at_exit(spark, out)
+    run_until_done(versioned_writer(agg, out, keys=keys, compact_every=3), spark, "compact",
+                   state_partitions=default_state_partitions(spark))
+    return latest_versions(spark, out, keys, agg.schema)

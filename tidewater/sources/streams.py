@@ -81,3 +81,19 @@ def console_sink(df: DataFrame, output_mode: str = "update", num_rows: int = 50,
     """The reference's sink: print each micro-batch (``numRows`` rows) on the driver."""
     return (df.writeStream.format("console").outputMode(output_mode)
             .options(**console_sink_options(num_rows, truncate)))
+
+
+#: The columns of Spark's Kafka source.
+KAFKA_SCHEMA = ("key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
+                "timestampType int")
+
+
+def delivered_once(records: DataFrame, watermark: str) -> DataFrame:
+    """Kafka-shaped stream rows, each (topic, partition, offset) once.
+
+    A producer's retry or a rewound consumer delivers a record again; its
+    place in the topic is the same.  State holds one place per record and is
+    dropped ``watermark`` after the record's own timestamp, so a repeat must
+    come within that time.
+    """
+    return records.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
