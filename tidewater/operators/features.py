@@ -156,3 +156,26 @@ def split_check(parts: Sequence[DataFrame], key: str) -> DataFrame:
     return per_key.agg(F.sum("_n").alias("total"),
                        F.sum(F.when(F.col("_lo") != F.col("_hi"), 1).otherwise(0))
                        .cast("long").alias("overlap"))
+
+
+def index_by_frequency(df: DataFrame, column: str, output: str) -> DataFrame:
+    """``df`` with the rank of ``column``'s value: most frequent 0.0, equal counts by value; null stays null.
+
+    For columns of any number of values: no label list reaches the driver.
+    The distinct values are dealt by range of (count descending, value), each
+    range numbers its own, and only the ranges' sizes are collected; the ranks
+    come back by a join on the value.
+    """
+    from pyspark.sql import Window
+
+    from tidewater.session import written
+
+    order = [F.col("_n").desc(), F.col("_v")]
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = written(values.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "_v", "_n", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "value-ranks")
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))           # one row per range
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    ranks = dealt.join(F.broadcast(before), "_part").select(
+        "_v", (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).cast("double").alias(output))
+    return df.join(ranks, df[column] == ranks["_v"], "left").drop("_v")

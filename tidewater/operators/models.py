@@ -206,3 +206,33 @@ def recommendations_with_history(recs: DataFrame, history: DataFrame, user: str,
     h = history.select(user, F.lit("watched").alias("kind"), item,
                        F.col(history_score).cast("double").alias("score"))
     return r.unionByName(h)
+
+
+def silhouette_from_sums(df: DataFrame, features: str, cluster: str) -> DataFrame:
+    """(silhouette, n) of a given assignment, squared Euclidean distance, from per-cluster sums.
+
+    A point's mean distance to a cluster follows from the cluster's row count,
+    vector sum and sum of squared lengths; those are k x d numbers, so points
+    never meet points.  ``features`` is an array column; a point alone in its
+    cluster counts 0.
+    """
+    x = df.select(F.col(cluster).alias("c"), F.col(features).cast("array<double>").alias("x"))
+    x = x.withColumn("xx", F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
+    sums = x.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("xx").alias("q"))
+    each = x.select("c", F.posexplode("x")).groupBy("c", "pos").agg(F.sum("col").alias("s"))
+    vectors = each.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))),
+                                                lambda p: p["s"]).alias("y"))
+    clusters = sums.join(vectors, "c").agg(F.collect_list(F.struct("c", "n", "q", "y")).alias("all"))
+    # the one row of k clusters goes to every point
+    pairs = x.withColumn("_one", F.lit(1)).join(F.broadcast(clusters.withColumn("_one", F.lit(1))), "_one")
+
+    def mean(e):
+        dot = F.aggregate(F.zip_with(F.col("x"), e["y"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        whole = e["n"] * F.col("xx") + e["q"] - 2 * dot
+        return whole / F.when(e["c"] == F.col("c"), F.greatest(e["n"] - 1, F.lit(1))).otherwise(e["n"])
+
+    own = F.filter("all", lambda e: e["c"] == F.col("c"))[0]
+    other = F.array_min(F.transform(F.filter("all", lambda e: e["c"] != F.col("c")), mean))
+    points = pairs.select(own["n"].alias("n"), mean(own).alias("a"), other.alias("b"))
+    value = F.when(F.col("n") == 1, 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return points.agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("n"))

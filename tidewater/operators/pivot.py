@@ -106,3 +106,16 @@ def pivot_agg(df: DataFrame, group_cols, pivot_col: str,
     if isinstance(measures, Column):
         return p.agg(measures)
     return p.agg(*[m.alias(name) for name, m in measures.items()])
+
+
+def sparse_pivot(df: DataFrame, group: str, item: str, measure: Column) -> DataFrame:
+    """``group`` and ``cells``: its (item, value) pairs sorted by item, null first.
+
+    The pivot for columns of many values: a group holds the items it has, not
+    a column per item of the table, and the list of items is never needed.
+    One shuffle of (group, item) cells, one of the lists; a hot group moves
+    one row per item it has.
+    """
+    cells = df.groupBy(group, item).agg(measure.alias("value"))
+    pair = F.struct(F.col(item).alias("item"), "value")
+    return cells.groupBy(group).agg(F.sort_array(F.collect_list(pair)).alias("cells"))

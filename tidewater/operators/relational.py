@@ -130,3 +130,21 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """null -> 0 on the named columns, names and positions kept."""
     return df.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
+
+
+def store_bucketed(df: DataFrame, keys: list[str], buckets: int, table: str) -> DataFrame:
+    """``df`` stored as table ``table``, hashed and sorted by ``keys`` into ``buckets`` files.
+
+    Two tables stored so, with the same keys and number of buckets, join
+    bucket to bucket: neither side is shuffled again, however often they meet.
+    The files go to the shared folder and are removed when the driver ends.
+    """
+    from tidewater.session import remove_at_exit, scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, table)
+    # one writer per bucket, else every task would write a file into every bucket
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    remove_at_exit(spark, path)
+    return spark.table(table)

@@ -16,7 +16,7 @@ from tidewater.functions import columns as C
 from tidewater.functions.udfs import (register_brand_number, register_country_grouping,
                                       register_has_passed)
 from tidewater.operators import relational as R
-from tidewater.operators.pivot import pivot_agg
+from tidewater.operators.pivot import pivot_agg, sparse_pivot
 from tidewater.operators.stats import correlations
 from tidewater.operators.text import STOP_WORDS, remove_stop_words, tokenize, word_counts
 from tidewater.operators.windows import sliding_sum, top_k_per_window, window_agg
@@ -674,3 +674,31 @@ def q_price_correlation_report(spark, sf):
         li, "l_extendedprice", drop=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                      "l_shipdate"), digits=6)
 
+
+
+# ---- forms for large inputs -------------------------------------------------------------
+
+@register("bucketed_join", """
+select o.o_orderkey, c.c_name, o.o_totalprice
+from orders o join customer c on o.o_custkey = c.c_custkey""")
+def q_bucketed_join(spark, sf):
+    """Both sides stored in buckets of the join key: the join itself moves no rows."""
+    t = Tables(spark, sf)
+    n, tag = max(1, spark.sparkContext.defaultParallelism), uuid.uuid4().hex[:12]
+    o = R.store_bucketed(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey"], n, f"orders_{tag}")
+    c = R.store_bucketed(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"), ["o_custkey"], n,
+                         f"customers_{tag}")
+    return R.inner_join(o, c.hint("merge"), "o_custkey").select("o_orderkey", "c_name", "o_totalprice")
+
+
+@register("sparse_user_items", """
+with c as (select user_id, event_type, cast(round(cast(sum(value) as decimal(38, 10)), 2) * 100 as bigint) as cents
+           from events group by 1, 2)
+select user_id, count(*) as n_items, string_agg(coalesce(event_type, '') || '=' || coalesce(cast(cents as varchar), ''), ',' order by event_type) as items
+from c group by 1""")
+def q_sparse_user_items(spark, sf):
+    """The user-item pivot as sparse rows: a user's items and sums in one sorted list."""
+    cells = sparse_pivot(Tables(spark, sf).events, "user_id", "event_type", F.sum("value"))
+    text = F.transform("cells", lambda c: F.concat(F.coalesce(c["item"], F.lit("")), F.lit("="), F.coalesce(
+        F.round(F.round(c["value"], 2) * 100).cast("long").cast("string"), F.lit(""))))
+    return cells.select("user_id", F.size("cells").cast("long").alias("n_items"), F.array_join(text, ",").alias("items"))

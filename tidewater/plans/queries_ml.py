@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import binary_label, category_group
 from tidewater.operators import features as FE
 from tidewater.operators import models as M
+from tidewater.operators import recommend as RC
+from tidewater.operators import tuning as TU
 from tidewater.operators.relational import lookup
 from tidewater.plans import model_jobs as MJ
 from tidewater.plans.registry import half_up, register
@@ -439,3 +441,71 @@ def q_ols_report(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_extendedprice", "l_quantity")
     report = MJ.ols_report(spark, li, "l_extendedprice", ["l_quantity"], [])
     return report.select("position", F.round("coefficient", 4).alias("coefficient"))
+
+
+# ---- forms for large inputs: shared statistics, unbounded columns, all users ----------------
+
+_GRID = "(values (cast(0.01 as double)), (0.1), (0.5)) r(r), (values (cast(0.0 as double)), (0.5), (1.0)) e(e)"
+
+
+@register("grid_from_statistics", f"""
+with t as (select l_extendedprice as y, l_quantity as x, {_point("l_orderkey", "l_linenumber")} < 0.8 as train from lineitem),
+     a as (select count(*) as n, avg(x) as mx, avg(y) as my, stddev_samp(x) as sx, stddev_samp(y) as sy, corr(x, y) as rho
+           from t where train),
+     g as (select r, e, mx, my, rho * (n - 1) / n as c, (n - 1) / n as d, sy / sx as scale, r / sy * e as l1, r / sy * (1 - e) as l2
+           from a, {_GRID}),
+     w as (select r, e, mx, my, sign(c) * greatest(abs(c) - l1, 0) / (d + l2) * scale as w from g),
+     v as (select y, x, avg(y) over () as m from t where not train),
+     s as (select r, e, 1 - sum(power(y - (my - w * mx) - w * x, 2)) / sum(power(y - m, 2)) as r2 from v, w group by r, e)
+select r as reg_param, e as elastic_net, {half_up("r2", 6)} as r2 from s""")
+def q_grid_from_statistics(spark, sf):
+    """The 3 x 3 grid on one scan: moments per fold, every point solved and scored from them."""
+    li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    folds = li.withColumn("fold", F.when(F.expr(_point("l_orderkey", "l_linenumber")) < 0.8, 0).otherwise(1))
+    report = TU.grid_from_moments(folds, ["l_quantity"], "l_extendedprice", "fold", *MJ.PRICE_GRID)
+    return report.select("reg_param", "elastic_net", F.round("r2", 6).alias("r2"))
+
+
+@register("string_index_ranked", _PRIORITY_RANK + """
+select o.o_orderkey, r.idx as priority_index from orders o join r on o.o_orderpriority = r.v""")
+def q_string_index_ranked(spark, sf):
+    """String index of a column with any number of values: ranks by range, no label list on the driver."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderpriority")
+    return FE.index_by_frequency(o, "o_orderpriority", "priority_index").select("o_orderkey", "priority_index")
+
+
+@register("silhouette_from_sums", f"""
+with p as (select vec_id, vec_id % 5 as c, embedding as x from embeddings where embedding is not null),
+     q as (select c, count(*) as n, sum(list_dot_product(x::double[], x::double[])) as q from p group by c),
+     e as (select c, unnest(range(1, len(x) + 1)) as i, unnest(x) as v from p),
+     y as (select c, list(s order by i) as y from (select c, i, sum(cast(v as double)) as s from e group by c, i) group by c),
+     m as (select p.vec_id, p.c = q.c as own, q.n,
+                  (q.n * list_dot_product(p.x::double[], p.x::double[]) + q.q - 2 * list_dot_product(p.x::double[], y.y))
+                  / case when p.c = q.c then greatest(q.n - 1, 1) else q.n end as mean
+           from p, q join y on y.c = q.c),
+     s as (select vec_id, max(n) filter (own) as n, max(mean) filter (own) as a, min(mean) filter (not own) as b from m group by 1)
+select {half_up("avg(case when n = 1 then 0 else (b - a) / greatest(a, b) end)", 6)} as silhouette, count(*) as n from s""")
+def q_silhouette_from_sums(spark, sf):
+    """Silhouette of a given assignment (vec_id % 5), from per-cluster sums."""
+    e = Tables(spark, sf).embeddings.where("embedding is not null").withColumn("cluster", F.col("vec_id") % 5)
+    return M.silhouette_from_sums(e, "embedding", "cluster").select(F.round("silhouette", 6).alias("silhouette"), "n")
+
+
+@register("recommend_all_users", f"""
+with {_RATINGS}
+select distinct user_id, cast(least(5, (select count(distinct item_id) from r)) as bigint) as n_items, true as exact from r""")
+def q_recommend_all_users(spark, sf):
+    """Five best items of every user by the length-bounded search; ``exact``: its scores descend and, for
+    users whose id is divisible by 50, are those of the model's own search over all items."""
+    model, users, items = M.rating_model(_ratings(spark, sf), "user_id", "item_id", "rating")
+    best = RC.top_items_for_all(model.userFactors, model.itemFactors, 5)
+    asked = users.where(F.col("user_id") % 50 == 0)
+    own = M.top_items_for_users(model, asked, "user_no", "item_no", 5).select(
+        F.col("user_no").alias("id"), "rank", F.col("score").alias("own"))
+    both = best.join(own, ["id", "rank"], "left").groupBy("id").agg(
+        F.count_distinct("item").alias("n_items"), F.max(F.abs(F.col("score") - F.col("own"))).alias("gap"),
+        F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("s"))
+    falls = F.forall(F.zip_with("s", F.slice("s", 2, 4), lambda a, b: F.coalesce(a["score"] >= b["score"], F.lit(True))),
+                     lambda x: x)
+    exact = falls & (F.coalesce("gap", F.lit(0.0)) < 1e-4)
+    return both.join(users, both["id"] == users["user_no"]).select("user_id", "n_items", exact.alias("exact"))
