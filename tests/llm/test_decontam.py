@@ -1,8 +1,11 @@
 """Spaced-seed decontamination: changed passages, blocks of seeds, against brute force."""
 from __future__ import annotations
 
-import regex
+import itertools
+import time
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
@@ -87,3 +90,50 @@ def test_decontaminated(planted, crowded, empty, spark):
     assert out.columns == crowded.columns and out.where(F.col("text") == prose(2, 120)).count() == 0
     assert D.decontaminated(empty, benchmark).count() == 0
     assert D.matches(docs, benchmark.where("false")).count() == 0
+
+
+def test_masks_lose_no_allowed_change():
+    """Every way to change a fifth of a window's words leaves some seed of its family unchanged."""
+    for n in range(1, 14):
+        masks = next(m for words, m in D.FAMILIES if n >= words)
+        kept = [{o + i for i, c in enumerate(m) if c == "1"} for m in masks for o in range(n - len(m) + 1)]
+        changes = int(n - 0.8 * n + 1e-9)
+        for changed in itertools.combinations(range(n), changes):
+            assert any(not seed & set(changed) for seed in kept), (n, changed)
+
+
+def test_changed_short_items_are_all_found(spark):
+    """Items of 12 and 13 words with every pattern of two changes, alone in a long text."""
+    benchmark, docs = [], []
+    for n in (12, 13):
+        item = [f"w{n}x{i}" for i in range(n)]
+        benchmark.append((n, " ".join(item), "x"))
+        for k, changed in enumerate(itertools.combinations(range(n), 2)):
+            words = ["z" if i in changed else w for i, w in enumerate(item)]
+            docs.append((1000 * n + k, " ".join(["fill"] * (900 + k) + words + ["end"] * 200)))
+    found = pairs(D.matches(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(benchmark, ITEMS)))
+    assert found == sorted(((i, i // 1000) for i, _ in docs), key=str)
+
+
+def test_document_segments_change_nothing(planted, monkeypatch):
+    docs, benchmark = planted
+    whole = sorted((tuple(r) for r in D.matches(docs, benchmark).collect()), key=str)
+    monkeypatch.setattr(D, "DOC_SEGMENT", 5)
+    assert sorted((tuple(r) for r in D.matches(docs, benchmark).collect()), key=str) == whole
+
+
+def test_time_is_linear_in_the_text(spark):
+    benchmark = spark.createDataFrame([(0, prose(50, 30), "x")], ITEMS)
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, prose(51, n))], "doc_id bigint, text string")
+        best = 1e9
+        for _ in range(2):
+            began = time.time()
+            D.matches(docs, benchmark).collect()
+            best = min(best, time.time() - began)
+        return best
+
+    start = seconds(10)
+    short, long = seconds(80_000) - start, seconds(160_000) - start
+    assert long < 2.2 * max(short, 0.0) + 1.5

@@ -12,7 +12,7 @@ Documents never move: their seeds are made, looked up and checked in the scan
 stage, and only confirmed (document, item) pairs are shuffled.  The benchmark
 is broadcast in blocks whose number of seeds is checked against
 ``block_seeds``; a larger benchmark takes more passes, a very long item is cut
-into overlapping segments.
+into overlapping segments, and so is a long document: time is linear in a text.
 
 Defined results: null and empty texts or items never match, null ids are
 kept as such; equal doc_ids or item_ids report together; extra columns are
@@ -26,10 +26,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewater.llm.common import packed, row_hash, stored
 
 TOKEN = r"[\p{L}\p{M}\p{N}]+"
-#: (least words of an item, masks of that span); 1 keeps a position, 0 ignores it.
-FAMILIES = ((12, ("110100100001", "101000010011", "100011001001")), (4, ("1101", "1011")),
-            (3, ("111",)), (2, ("11",)), (1, ("1",)))
-SEGMENT = 4096
+#: (least words of an item, its masks); 1 keeps a position, 0 ignores it.  Each family keeps some
+#: place free of changes in every window that may differ in a fifth of its words (enumerated in tests).
+FAMILIES = ((12, ("11001011", "11010011")), (4, ("1101", "1011")), (3, ("111",)), (2, ("11",)), (1, ("1",)))
+SEGMENT, DOC_SEGMENT = 4096, 1024
 
 
 def token_hashes(text: Column) -> Column:
@@ -49,25 +49,41 @@ def seeds(hashes: str, mask: str) -> Column:
 
 
 def _family(n: Column) -> Column:
-    """The span of the masks for an item of n words."""
+    """The family of masks for an item of n words, named by its least number of words."""
     out = F.lit(0)
-    for span, _ in reversed(FAMILIES):
-        out = F.when(n >= span, F.lit(span)).otherwise(out)
+    for words, _ in reversed(FAMILIES):
+        out = F.when(n >= words, F.lit(words)).otherwise(out)
     return out
 
 
 def segments(benchmark: DataFrame, window: int) -> DataFrame:
-    """item_id, item words of at most SEGMENT + window, and the span of their masks."""
+    """item_id, item words of at most SEGMENT + window, and the family of their masks."""
     items = benchmark.select("item_id", token_hashes(F.col("text")).alias("all"))
     step = F.greatest(F.ceil((F.size("all") - window) / SEGMENT), F.lit(1)) - 1
     cut = items.where(F.size("all") > 0).select("item_id", "all", F.explode(
         F.sequence(F.lit(0), step.cast("int"))).alias("seg"))
     cut = cut.select("item_id", F.slice("all", F.col("seg") * SEGMENT + 1, F.lit(SEGMENT + window))
                      .alias("item"))
-    return cut.withColumn("span", _family(F.size("item"))).withColumn(
+    return cut.withColumn("family", _family(F.size("item"))).withColumn(
         "seg_id", F.xxhash64("item_id", "item")).dropDuplicates(["seg_id"])
 
 
+def document_segments(docs: DataFrame, key: list[str], window: int) -> DataFrame:
+    """key..., doc (words of at most DOC_SEGMENT and some before and after), doc_start.
+
+    Segments overlap by what a window around a seed may need, so every seed has a segment that
+    holds its windows whole.  A seed's row then carries words of bounded number, and a text's
+    cost grows with its length.
+    """
+    longest = max(len(m) for _, masks in FAMILIES for m in masks)
+    words = docs.select(*key, token_hashes(F.col("text")).alias("all"))
+    last = F.greatest(F.ceil(F.size("all") / DOC_SEGMENT), F.lit(1)) - 1
+    cut = words.select(*key, "all", F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("seg"))
+    start = F.greatest(F.col("seg") * DOC_SEGMENT - window, F.lit(0))
+    stop = (F.col("seg") + 1) * DOC_SEGMENT + longest + window
+    return cut.select(*key, F.slice("all", start + 1, stop - start).alias("doc"), start.alias("doc_start"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, key: list[str] = ("doc_id",), window: int = 13,
             least: float = 0.8, block_seeds: int = 500_000) -> DataFrame:
     """Confirmed overlaps: key..., item_id, words (equal words of the best window), first, last."""
@@ -80,10 +96,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: list[str] = ("doc_id",),
         if (sized.groupBy("block").agg(F.sum(cost).alias("n")).agg(F.max("n")).head()[0] or 0) <= bound:
             break
         n_blocks *= 2
-    blocks = {tuple(r) for r in sized.select("block", "span").distinct().collect()}   # one per pass
-    base = docs.select(*key, token_hashes(F.col("text")).alias("doc"))
-    hits = [_hits(base, sized.where(F.col("block") == b), span, masks, list(key), window, least)
-            for b, s in sorted(blocks) for span, masks in FAMILIES if span == s]
+    blocks = {tuple(r) for r in sized.select("block", "family").distinct().collect()}   # one per pass
+    base = document_segments(docs, list(key), window)
+    hits = [_hits(base, sized.where(F.col("block") == b), words, masks, list(key), window, least)
+            for b, f in sorted(blocks) for words, masks in FAMILIES if words == f]
     if not hits:
         hits = [_hits(base, sized, 1, ("1",), list(key), window, least)]
     found = hits[0]
@@ -93,15 +109,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: list[str] = ("doc_id",),
         F.max("words").alias("words"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
-def _hits(base: DataFrame, items: DataFrame, span: int, masks, key: list[str], window: int,
+def _hits(base: DataFrame, items: DataFrame, family: int, masks, key: list[str], window: int,
           least: float) -> DataFrame:
-    items = items.where(F.col("span") == span)
+    items, span = items.where(F.col("family") == family), len(masks[0])
     of_item = items.select("seg_id", F.posexplode(F.concat(*[seeds("item", m) for m in masks])),
                            F.size("item").alias("n_item"))
     of_item = of_item.select(F.col("col").alias("seed"), "seg_id", F.pmod(
         "pos", F.col("n_item") - span + 1).alias("item_at"))
-    of_doc = base.select(*key, "doc", F.posexplode(F.concat(*[seeds("doc", m) for m in masks])))
-    of_doc = of_doc.select(*key, "doc", F.col("col").alias("seed"),
+    of_doc = base.select(*key, "doc", "doc_start", F.posexplode(F.concat(*[seeds("doc", m) for m in masks])))
+    of_doc = of_doc.select(*key, "doc", "doc_start", F.col("col").alias("seed"),
                            F.pmod("pos", F.size("doc") - span + 1).alias("doc_at"))
     hit = (of_doc.join(F.broadcast(of_item), "seed")
            .join(F.broadcast(items.select("seg_id", "item_id", "item")), "seg_id"))
@@ -118,8 +134,8 @@ def _hits(base: DataFrame, items: DataFrame, span: int, masks, key: list[str], w
         F.sequence(F.lit(0), F.col("hi") - F.col("lo") - F.col("w")),
         lambda s: F.aggregate(F.slice("equal", s + 1, F.col("w")), F.lit(0), lambda x, y: x + y)))
     return (hit.withColumn("words", best).where(F.col("words") >= F.col("w") * F.lit(least))
-            .select(*key, "item_id", "words", F.col("doc_at").alias("first"),
-                    (F.col("doc_at") + span - 1).alias("last")))
+            .select(*key, "item_id", "words", (F.col("doc_start") + F.col("doc_at")).alias("first"),
+                    (F.col("doc_start") + F.col("doc_at") + span - 1).alias("last")))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
