@@ -16,8 +16,10 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +128,69 @@ def fit_stages(stages: Sequence, train: DataFrame) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(train)
 
 
+# ---------------------------------------------------------------- what a right fit must satisfy
+
+def optimality_gap(model, data: DataFrame, features: str = "features", label: str = "label") -> float:
+    """How far a fitted linear or binary logistic regression is from the optimum of its own
+    elastic-net objective on the rows it was fitted on; 0 at the optimum.
+
+    The largest breach of the optimality conditions, in units of standardised
+    features (and label, for a linear model): the residuals' mean is 0, and each
+    feature's mean product with them equals its penalty's slope (or stays within
+    the L1 weight where the coefficient is 0).  One pass, one row per feature;
+    constant features carry no condition.
+    """
+    scored = model.transform(data)
+    logistic = "probability" in scored.columns
+    fitted = vector_to_array("probability").getItem(1) if logistic else F.col("prediction")
+    rows = scored.select(F.col(label).cast("double").alias("y"), (F.col(label) - fitted).alias("r"),
+                         vector_to_array(F.col(features)).alias("x"))
+    n, sy, off = rows.agg(F.count(F.lit(1)), F.stddev_samp("y"), F.avg("r")).head()
+    if not n or not sy:
+        return 0.0
+    unit = 1.0 if logistic else sy
+    penalty, mix = model.getOrDefault("regParam") / unit, model.getOrDefault("elasticNetParam")
+    sums = rows.select("r", F.posexplode("x").alias("j", "v")).groupBy("j").agg(
+        F.stddev_samp("v").alias("sx"), F.covar_pop("v", "r").alias("c")).where("sx > 1e-12").collect()
+    worst = abs(off) / unit
+    for j, sx, c in sums:
+        w = float(model.coefficients[j]) * sx / unit
+        slope = c / (sx * unit) - penalty * (1 - mix) * w
+        l1 = penalty * mix
+        worst = max(worst, abs(slope - l1 * (1 if w > 0 else -1)) if w else max(0.0, abs(slope) - l1))
+    return worst
+
+
+def brier_score(pred: DataFrame, label: str = "label") -> float:
+    """Mean squared gap between a binary classifier's probability of 1 and the label."""
+    gap = vector_to_array("probability").getItem(1) - F.col(label)
+    return pred.agg(F.avg(gap * gap)).head()[0]
+
+
+def one_cut_brier(data: DataFrame, feature: str, label: str = "label") -> float:
+    """The same of the simplest tree: one cut at the feature's mean, each side's share as its probability."""
+    mean = data.agg(F.avg(feature)).head()[0]
+    sides = data.groupBy(F.col(feature) > F.lit(mean)).agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("p"))
+    return sides.agg(F.sum(F.col("n") * F.col("p") * (1 - F.col("p"))) / F.sum("n")).head()[0]
+
+
+def center_distances(pred: DataFrame, model, features: str = "features") -> DataFrame:
+    """``distances``: each row's squared distance to each of the k centres."""
+    x = vector_to_array(F.col(features))
+
+    def to(center):
+        return F.aggregate(F.zip_with(x, F.lit([float(v) for v in center]), lambda a, b: (a - b) * (a - b)),
+                           F.lit(0.0), lambda s, v: s + v)
+
+    return pred.withColumn("distances", F.array(*[to(c) for c in model.clusterCenters()]))
+
+
+def total_squares(data: DataFrame, features: str = "features") -> float:
+    """Sum of squared distances to the mean of all rows."""
+    v, n = data.agg(Summarizer.variance(F.col(features)), F.count(F.lit(1))).head()
+    return float(v.toArray().sum()) * (n - 1) if n > 1 else 0.0
+
+
 # ---------------------------------------------------------------- clustering
 
 def kmeans(k: int = 5, seed: int = 1, features: str = "features", max_iter: int = 20) -> KMeans:
@@ -146,7 +211,6 @@ def sse_from_centers(spark: SparkSession, pred: DataFrame, model, features: str
                      prediction: str = "prediction") -> DataFrame:
     """Sum of squared distances to the assigned centre, recomputed by a join
     with the k-row centre table (k rows: broadcast is bounded by k)."""
-    from pyspark.ml.functions import vector_to_array
     centers = centers_frame(spark, model).withColumnRenamed("cluster", prediction)
     pts = pred.select(prediction, vector_to_array(F.col(features)).alias("_x"))
     j = pts.join(F.broadcast(centers), prediction)
@@ -189,6 +253,24 @@ def rating_model(ratings: DataFrame, user: str, item: str, rating: str, **params
     return als("user_no", "item_no", rating, **params).fit(numbered), users, items
 
 
+def score_gap(model, recs: DataFrame, user: str = "user_no", item: str = "item_no") -> float:
+    """Largest gap between a recommended score and the product of the two factors."""
+    u = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("u"))
+    i = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("i"))
+    dot = F.aggregate(F.zip_with("u", "i", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0),
+                      lambda s, v: s + v)
+    return recs.join(u, user).join(i, item).agg(F.max(F.abs(F.col("score") - dot))).head()[0] or 0.0
+
+
+def rating_errors(fitted, ratings: DataFrame, user: str, item: str, rating: str) -> tuple[float, float]:
+    """(RMSE of the model on the ratings, RMSE of their mean)."""
+    model, users, items = fitted
+    pred = model.transform(ratings.join(users, user).join(items, item))
+    e = F.col(rating).cast("double") - F.col("prediction")
+    rmse, spread = pred.agg(F.sqrt(F.avg(e * e)), F.stddev_pop(rating)).head()
+    return rmse or 0.0, spread or 0.0
+
+
 def recommend(fitted, wanted: DataFrame, user: str, item: str, k: int = 5) -> DataFrame:
     """(user, rank, item, score) in the original keys for the users in ``wanted``."""
     model, users, items = fitted

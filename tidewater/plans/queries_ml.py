@@ -2,9 +2,11 @@
 
 Feature transformers and metrics have SQL oracles.  The numbers of fitted
 models depend on Spark ML's solvers and seeds; their queries fit and apply the
-model and return what SQL can tell as well: which rows are held out, with
-which labels, how many, and that each got a valid result.  The fitted numbers
-themselves are checked in the unit tests.
+model and return what SQL can tell as well (which rows are held out, with
+which labels, how many) beside conditions that only a right fit meets: the
+optimality conditions of the regressions' own objectives, tree probabilities
+that beat the simplest cut, centres that are settled and nearest, scores that
+are the factors' products.  A model put in the fit's place breaks them.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from tidewater.operators import tuning as TU
 from tidewater.operators.relational import lookup
 from tidewater.plans import model_jobs as MJ
 from tidewater.plans.registry import half_up, register
-from tidewater.session import checkpoint_root
+from tidewater.session import checkpoint_root, remove_at_exit, scratch_path
 from tidewater.sources.tables import Tables
 
 _PRIORITY_RANK = """
@@ -170,12 +172,13 @@ _LI = "lineitem l join part p on l.l_partkey = p.p_partkey"
 
 
 @register("grid_search", """
-select r.r as reg_param, e.e as elastic_net, true as scored, cast(1 as bigint) as n_chosen
+select r.r as reg_param, e.e as elastic_net, true as scored, cast(1 as bigint) as n_chosen, true as optimal
 from (values (cast(0.01 as double)), (0.1), (0.5)) r(r), (values (cast(0.0 as double)), (0.5), (1.0)) e(e)
 where exists (select 1 from lineitem)""")
 def q_grid_search(spark, sf):
     """3 x 3 grid of (regParam, elasticNet), validation split 0.8, R²: the grid
-    points, each with a finite metric, and exactly one of them chosen."""
+    points, each with a finite metric, exactly one of them chosen, and whether
+    the model refitted there is the optimum of its objective."""
     df = _lineitem_regression_frame(spark, sf)
     data = FE.assemble(df.withColumnRenamed("l_extendedprice", "label"),
                        ["l_quantity", "p_retailprice", "l_discount", "l_tax"]).select("label", "features")
@@ -184,11 +187,29 @@ def q_grid_search(spark, sf):
     report = M.grid_report(spark, model, "r2")
     chosen = report.agg(F.count_if("chosen")).head()[0]
     return report.select("reg_param", "elastic_net", (F.col("r2") <= 1.0).alias("scored"),
-                         F.lit(chosen).cast("long").alias("n_chosen"))
+                         F.lit(chosen).cast("long").alias("n_chosen"),
+                         F.lit(_optimal(model.bestModel, data)).alias("optimal"))
+
+
+#: A solver stops within this distance of its optimum (in standardised units); a model that is
+#: no fit misses by about one over the square root of the rows, or more.
+NEAR = 1e-4
+
+
+def _optimal(model, data) -> bool:
+    return M.optimality_gap(model, data) < NEAR
+
+
+def _tuned_optimal(stages, train) -> bool:
+    """The same for a stage list that ends in a tuned regression."""
+    best = stages.stages[-1].bestModel
+    for stage in stages.stages[:-1]:
+        train = stage.transform(train)
+    return _optimal(best, train.select("label", "features"))
 
 
 def _finite(c: str):
-    return (F.col(c).isNotNull() & ~F.isnan(c)).alias("scored")
+    return F.col(c).isNotNull() & ~F.isnan(c)
 
 
 @register("ml_stages", f"""
@@ -197,7 +218,7 @@ where {_point("l_orderkey", "l_linenumber")} >= 0.8""")
 def q_ml_stages(spark, sf):
     """Indexers -> one-hot -> assembler -> tuned linear regression (3 x 3 grid,
     validation ratio 0.8), fitted as one stage list on a training split; every
-    holdout row with its label and whether it got a prediction."""
+    holdout row with its label and whether it got a prediction of an optimal fit."""
     df = _lineitem_regression_frame(spark, sf).withColumnRenamed("l_extendedprice", "label")
     train, holdout = FE.seeded_split(df, [0.8, 0.2], ["l_orderkey", "l_linenumber"], 42)
     stages = MJ._encoded_stages(["p_type", "l_returnflag"], ["l_quantity", "p_retailprice"])
@@ -206,7 +227,8 @@ def q_ml_stages(spark, sf):
                                  evaluator=RegressionEvaluator(metricName="r2"), trainRatio=0.8,
                                  seed=42, parallelism=4)
     model = M.fit_stages(stages + [tvs], train)
-    return model.transform(holdout).select("l_orderkey", "l_linenumber", "label", _finite("prediction"))
+    scored = _finite("prediction") & F.lit(_tuned_optimal(model, train))
+    return model.transform(holdout).select("l_orderkey", "l_linenumber", "label", scored.alias("scored"))
 
 
 @register("logistic_regression", f"""
@@ -215,7 +237,7 @@ from documents d join labels l on d.doc_id = l.doc_id where {_point("d.doc_id")}
 def q_logistic_regression(spark, sf):
     """Binary classifier on document features, tuned over regParam x elasticNet
     (6 x 3, validation ratio 0.9, area under ROC); every holdout row with its
-    label and whether it got a probability."""
+    label and whether it got a probability of an optimal fit."""
     d = _labelled_docs(spark, sf)
     stages = MJ._encoded_stages(["lang"], ["n_chars"])
     prepared = M.fit_stages(stages, d).transform(d) \
@@ -225,8 +247,8 @@ def q_logistic_regression(spark, sf):
     tuned = M.tune(lr, M.grid(lr, *MJ.RETENTION_GRID),
                    BinaryClassificationEvaluator(metricName="areaUnderROC"), train, 0.9, 42)
     pred = tuned.bestModel.transform(holdout)
-    return pred.select("doc_id", "label",
-                       vector_to_array("probability").getItem(1).between(0.0, 1.0).alias("scored"))
+    scored = vector_to_array("probability").getItem(1).between(0.0, 1.0) & F.lit(_optimal(tuned.bestModel, train))
+    return pred.select("doc_id", "label", scored.alias("scored"))
 
 
 def _customer_frame(spark, sf):
@@ -260,20 +282,30 @@ from customer c left join orders o on o.o_custkey = c.c_custkey
 where {_point("c.c_custkey")} >= 0.8 group by 1"""
 
 
-def _class_given(pred):
-    return pred.select("c_custkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
+def _beats_one_cut(model, train, orders_at: int) -> bool:
+    """Whether the trees' probabilities on their training rows are nearer to the labels than those of
+    one cut at the mean number of orders, the strongest feature."""
+    cut = train.withColumn("n_orders", vector_to_array("features").getItem(orders_at))
+    return M.brier_score(model.transform(train)) < M.one_cut_brier(cut, "n_orders")
+
+
+def _class_given(model, train, holdout):
+    """Each holdout row: whether it got the class that its probability says, of a model that learned."""
+    sure = F.when(vector_to_array("probability").getItem(1) > 0.5, 1.0).otherwise(0.0)
+    good = (F.col("prediction") == sure) & F.lit(_beats_one_cut(model, train, 2))
+    return model.transform(holdout).select("c_custkey", "label", good.alias("scored"))
 
 
 @register("decision_tree", _TREE_ORACLE)
 def q_decision_tree(spark, sf):
     train, holdout = _tree_data(spark, sf)
-    return _class_given(M.decision_tree(3).fit(train).transform(holdout))
+    return _class_given(M.decision_tree(3).fit(train), train, holdout)
 
 
 @register("random_forest", _TREE_ORACLE)
 def q_random_forest(spark, sf):
     train, holdout = _tree_data(spark, sf)
-    return _class_given(M.random_forest(6).fit(train).transform(holdout))
+    return _class_given(M.random_forest(6).fit(train), train, holdout)
 
 
 def _embedding_vectors(spark, sf):
@@ -286,24 +318,34 @@ def _kmeans_fit(spark, sf):
     return data, M.kmeans(5, seed=1).fit(data)
 
 
-@register("kmeans", "select count(*) as total, cast(least(5, count(*)) as bigint) as k from embeddings")
+@register("kmeans", """
+select count(*) as total, cast(least(5, count(*)) as bigint) as k, count(*) as n_nearest, true as closer from embeddings""")
 def q_kmeans(spark, sf):
-    """Rows assigned to a cluster, and clusters that hold any."""
+    """Rows assigned to a cluster, clusters that hold any, rows whose centre is the nearest one, and
+    whether the centres are closer to the rows than the mean of all is."""
     data, model = _kmeans_fit(spark, sf)
-    return model.transform(data).agg(F.count("prediction").alias("total"),
-                                     F.count_distinct("prediction").alias("k"))
+    d = M.center_distances(model.transform(data), model)
+    own, best = F.get("distances", F.col("prediction")), F.array_min("distances")
+    return d.agg(F.count("prediction").alias("total"), F.count_distinct("prediction").alias("k"),
+                 F.count_if(own <= best + 1e-9).alias("n_nearest"),
+                 (F.sum(own) < M.total_squares(data)).alias("closer"))
 
 
 @register("kmeans_centers", """
-select cast(i as integer) as cluster, cast(max(len(embedding)) as integer) as dims, true as inside
+select cast(i as integer) as cluster, cast(max(len(embedding)) as integer) as dims, true as settled
 from embeddings, range(5) r(i) group by i""")
 def q_kmeans_centers(spark, sf):
-    """The centres' sizes, and whether each lies inside the data's range."""
+    """The centres' sizes, and whether each is settled: moved to the mean of its rows, it would
+    lower their squared distances by less than a tenth."""
     data, model = _kmeans_fit(spark, sf)
-    span = Tables(spark, sf).embeddings.agg(F.min(F.array_min("embedding")).alias("lo"),
-                                            F.max(F.array_max("embedding")).alias("hi")).head()
-    inside = (F.array_min("center") >= float(span.lo)) & (F.array_max("center") <= float(span.hi))
-    return M.centers_frame(spark, model).select("cluster", F.size("center").alias("dims"), inside.alias("inside"))
+    d = M.center_distances(model.transform(data), model)
+    means = d.groupBy(F.col("prediction").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.get("distances", F.col("prediction"))).alias("cost"),
+        vector_to_array(M.Summarizer.mean(F.col("features"))).alias("mean"))
+    moved = F.aggregate(F.zip_with("mean", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    settled = F.coalesce(F.col("n") * moved <= 0.1 * F.col("cost") + 1e-9, F.lit(False))
+    return M.centers_frame(spark, model).join(means, "cluster", "left").select(
+        "cluster", F.size("center").alias("dims"), settled.alias("settled"))
 
 
 @register("kmeans_cost", "select count(*) as n, cast(0 as double) as gap from embeddings")
@@ -316,12 +358,18 @@ def q_kmeans_cost(spark, sf):
     return pred.agg(F.count(F.lit(1)).alias("n")).withColumn("gap", F.lit(abs(round((cost - sse) / sse, 6))))
 
 
-@register("silhouette", "select cast(count(*) as bigint) as n, true as in_range from embeddings")
+@register("silhouette", """
+select cast(count(*) as bigint) as n, cast(0 as double) as gap, true as better from embeddings""")
 def q_silhouette(spark, sf):
+    """The evaluator's silhouette of the fitted clusters: its gap to the value from per-cluster sums, and
+    whether it is above that of the rows dealt to clusters by their id."""
     data, model = _kmeans_fit(spark, sf)
-    pred = model.transform(data)
+    pred = model.transform(data).withColumn("x", vector_to_array("features"))
     value = float(M.silhouette(pred))
-    return pred.agg(F.count(F.lit(1)).alias("n")).withColumn("in_range", F.lit(-1.0 <= value <= 1.0))
+    own = M.silhouette_from_sums(pred, "x", "prediction").head()
+    dealt = M.silhouette_from_sums(pred.withColumn("dealt", F.col("vec_id") % 5), "x", "dealt").head()
+    return pred.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(abs(round(value - (own[0] or 0.0), 6))).alias("gap"), F.lit(value > (dealt[0] or 0.0)).alias("better"))
 
 
 def _ratings(spark, sf):
@@ -329,7 +377,11 @@ def _ratings(spark, sf):
     t = Tables(spark, sf)
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
     j = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("item_id"), "l_quantity").join(o, "l_orderkey")
-    return j.groupBy("user_id", "item_id").agg(F.sum("l_quantity").alias("rating"))
+    out = scratch_path(spark, "ratings")       # read by the id tables, the fit and the history
+    remove_at_exit(spark, out)
+    sums = j.groupBy("user_id", "item_id").agg(F.sum("l_quantity").alias("rating"))
+    sums.write.parquet(out)
+    return spark.read.schema(sums.schema).parquet(out)
 
 
 _RATINGS = """r as (select o.o_custkey as user_id, l.l_partkey as item_id, sum(l.l_quantity) as rating
@@ -343,17 +395,22 @@ def _wanted(ratings):
 
 
 def _recommended(ratings, k: int = 5):
-    return M.recommend(M.rating_model(ratings, "user_id", "item_id", "rating"), _wanted(ratings),
-                       "user_id", "item_id", k)
+    """(recommendations, whether the fit holds): its error on the ratings is below that of their mean,
+    and every score is the product of the two factors."""
+    fitted = M.rating_model(ratings, "user_id", "item_id", "rating")
+    recs = M.recommend(fitted, _wanted(ratings), "user_id", "item_id", k)
+    rmse, spread = M.rating_errors(fitted, ratings, "user_id", "item_id", "rating")
+    numbered = recs.join(fitted[1], "user_id").join(fitted[2], "item_id")
+    return recs, rmse < spread and M.score_gap(fitted[0], numbered) < 1e-3
 
 
 @register("als_recommend", f"""
 with {_RATINGS}
-select user_id, cast(least(5, (select count(distinct item_id) from r)) as bigint) as n_items from w""")
+select user_id, cast(least(5, (select count(distinct item_id) from r)) as bigint) as n_items, true as fitted from w""")
 def q_als_recommend(spark, sf):
-    """Distinct known items recommended to each user of the query set."""
-    ratings = _ratings(spark, sf)
-    return _recommended(ratings).groupBy("user_id").agg(F.count_distinct("item_id").alias("n_items"))
+    """Distinct known items recommended to each user of the query set, by a fit that holds."""
+    recs, fits = _recommended(_ratings(spark, sf))
+    return recs.groupBy("user_id").agg(F.count_distinct("item_id").alias("n_items")).withColumn("fitted", F.lit(fits))
 
 
 @register("recs_with_history", f"""
@@ -363,13 +420,13 @@ union all
 select user_id, 'recommended', cast(null as bigint),
        cast(least(5, (select count(distinct item_id) from r)) as double) from w""")
 def q_recs_with_history(spark, sf):
-    """The query set's history, and beside it how many items each user is recommended
-    (the items themselves depend on the solver and are unit-tested)."""
+    """The query set's history, and beside it how many items each user is recommended by a fit that
+    holds (the items themselves depend on the solver and are unit-tested)."""
     ratings = _ratings(spark, sf)
-    recs = _recommended(ratings)
+    recs, fits = _recommended(ratings)
     both = M.recommendations_with_history(recs, ratings.join(_wanted(ratings), "user_id"), "user_id", "item_id")
     counts = both.where("kind = 'recommended'").groupBy("user_id", "kind").agg(
-        F.lit(None).cast("bigint").alias("item_id"), F.count(F.lit(1)).cast("double").alias("score"))
+        F.lit(None).cast("bigint").alias("item_id"), F.count_if(F.lit(fits)).cast("double").alias("score"))
     return both.where("kind = 'watched'").unionByName(counts)
 
 
@@ -378,58 +435,74 @@ select case when {_point("l_orderkey", "l_linenumber")} < 0.8 then 'train' else
        count(*) as n, true as fitted
 from {_LI} group by 1""")
 def q_house_price_model(spark, sf):
+    """Rows of the two parts, each with R² and RMSE of an optimal fit."""
     df = _lineitem_regression_frame(spark, sf)
-    report, _ = MJ.house_price_model(
-        spark, df, "l_extendedprice", numeric=["l_quantity", "l_discount", "l_tax", "p_size"],
+    fitted, train, holdout = MJ.house_price_fit(
+        df, "l_extendedprice", numeric=["l_quantity", "l_discount", "l_tax", "p_size"],
         categorical=["p_type", "l_returnflag"], keys=["l_orderkey", "l_linenumber"],
         ratio=("p_retailprice", "p_size", "price_per_size"))
-    return report.select("split", "n", ((F.col("r2") <= 1.0) & (F.col("rmse") >= 0.0)).alias("fitted"))
+    report, _ = MJ.price_report(fitted, train, holdout)
+    good = (F.col("r2") <= 1.0) & (F.col("rmse") >= 0.0) & F.lit(_tuned_optimal(fitted, train))
+    return report.select("split", "n", good.alias("fitted"))
 
 
 @register("retention_model", f"""
-select cast(case when l.quality > 0 then 0 else 1 end as double) as label, count(*) as n
+select cast(case when l.quality > 0 then 0 else 1 end as double) as label, count(*) as n, true as optimal
 from documents d join labels l on d.doc_id = l.doc_id
 where l.quality is not null and {_point("d.doc_id")} >= 0.9 group by 1""")
 def q_retention_model(spark, sf):
-    """The holdout's confusion table, summed to its rows per label."""
+    """The holdout's confusion table, summed to its rows per label, of an optimal fit."""
     t = Tables(spark, sf)
     docs = t.documents.select("doc_id", "n_chars", "lang", "source")
     df = docs.join(t.labels, "doc_id", "left")
-    table, _ = MJ.retention_model(spark, df, "quality", numeric=["n_chars", "toxic"],
-                                  categorical=["lang", "source"], keys="doc_id",
-                                  keep=F.col("quality").isNotNull(), fill_zero=["toxic"])
-    return table.groupBy("label").agg(F.sum("count").alias("n"))
+    model, train, holdout = MJ.retention_fit(df, "quality", numeric=["n_chars", "toxic"],
+                                             categorical=["lang", "source"], keys="doc_id",
+                                             keep=F.col("quality").isNotNull(), fill_zero=["toxic"])
+    table = M.confusion_table(model.transform(holdout))
+    return table.groupBy("label").agg(F.sum("count").alias("n")).withColumn("optimal", F.lit(_optimal(model, train)))
 
 
-@register("trial_conversion_trees", """
-select m as model, true as scored from (values ('decision_tree'), ('random_forest')) t(m)
-where exists (select 1 from customer)""")
+@register("trial_conversion_trees", f"""
+with h as ({_TREE_ORACLE})
+select m as model, count(*) as n, true as learned from (values ('decision_tree'), ('random_forest')) t(m), h group by 1""")
 def q_trial_conversion_trees(spark, sf):
+    """Holdout rows that the two models classified, and whether each learned more than one cut."""
     c = _customer_frame(spark, sf)
-    report = MJ.trial_conversion_trees(spark, c, "country", ["c_acctbal", "n_orders", "avg_order"], "c_custkey")
-    return report.select("model", F.col("accuracy").between(0.0, 1.0).alias("scored"))
+    tree, forest, train, holdout = MJ.trial_conversion_fit(c, "country", ["c_acctbal", "n_orders", "avg_order"], "c_custkey")
+    parts = [m.transform(holdout).agg(F.lit(name).alias("model"), F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n"))
+             .withColumn("learned", F.lit(_beats_one_cut(m, train, 2)))
+             for name, m in (("decision_tree", tree), ("random_forest", forest))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("views_forecast", f"""
 select o_orderkey, coalesce(o_totalprice, 0) as label, true as scored from orders
 where {_point("o_orderkey")} >= 0.9""")
 def q_views_forecast(spark, sf):
-    """The course-views forecast: null fill, encode, 6 x 3 grid; the holdout rows scored."""
+    """The course-views forecast: null fill, encode, 6 x 3 grid; the holdout rows scored by an optimal fit."""
     o = Tables(spark, sf).orders.select(
         "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
         F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"))
-    pred = MJ.views_forecast(o, "o_totalprice", ["month", "year"], ["o_orderstatus", "o_orderpriority"],
-                             "o_orderkey")
-    return pred.select("o_orderkey", "label", _finite("prediction"))
+    model, train, holdout = MJ.views_forecast_fit(o, "o_totalprice", ["month", "year"],
+                                                  ["o_orderstatus", "o_orderpriority"], "o_orderkey")
+    scored = _finite("prediction") & F.lit(_tuned_optimal(model, train))
+    return model.transform(holdout).select("o_orderkey", "label", scored.alias("scored"))
 
 
-@register("clustering_report", "select count(*) as total, true as reported from part")
+@register("clustering_report", """
+select count(*) as total, true as cost_holds, true as closer, true as apart from part""")
 def q_clustering_report(spark, sf):
-    """Encode, assemble, fit, sizes, cost and silhouette in one job: the sizes add up."""
+    """Encode, assemble, fit, sizes, cost and silhouette in one job: the sizes add up, the cost is
+    that of the centres (Spark states it before the last move of the centres, which lowers it a
+    little), below that of the mean, and the clusters lie apart."""
     p = Tables(spark, sf).part
-    report = MJ.clustering_report(p, ["p_size", "p_retailprice"], ["p_type"])
-    return report.agg(F.sum("size").alias("total"),
-                      F.min((F.col("cost") > 0) & F.col("silhouette").between(-1.0, 1.0)).alias("reported"))
+    model, rows = MJ.clustering_fit(p, ["p_size", "p_retailprice"], ["p_type"])
+    report = MJ.cluster_sizes(model, rows)
+    sse = M.center_distances(rows, model).agg(F.sum(F.array_min("distances"))).head()[0] or 0.0
+    holds = F.max("cost").between(sse * (1 - 1e-6), sse * 1.02 + 1e-6)
+    return report.agg(F.sum("size").alias("total"), holds.alias("cost_holds"),
+                      (F.max("cost") < M.total_squares(rows)).alias("closer"),
+                      (F.max("silhouette") > 0).alias("apart"))
 
 
 @register("ols_report", f"""
