@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -12,7 +14,8 @@ from tidewater.session import scratch_path
 from tidewater.sources.streams import (console_sink, console_sink_options, file_stream,
                                        kafka_options)
 from tidewater.streaming import jobs as SJ
-from tidewater.streaming.runner import (latest_versions, run_until_done, trigger_options,
+from tidewater.streaming.arrival import arrival_windows, windows_ended
+from tidewater.streaming.runner import (ROCKSDB, latest_versions, run_until_done, trigger_options,
                                         versioned_writer)
 
 SCHEMA = "ts timestamp_ntz, event_type string"
@@ -283,3 +286,55 @@ def test_a_fault_that_stays_is_raised(spark):
     with pytest.raises(Exception, match="always"):
         run_with_restarts(lambda: _stream(spark, d).writeStream.foreachBatch(fail), spark, "broken",
                           scratch_path(spark, "ckpt"), restarts=1)
+
+
+# ---- windows by time of arrival --------------------------------------------
+
+def _ended(ring, due, now, length, slide):
+    """Every window from ``due`` to ``now``, each summed on its own."""
+    out = []
+    for end in range(due, now + 1, slide):
+        inside = [v for s, v in ring.items() if end - length <= s < end]
+        if inside:
+            out.append((end, sum(inside)))
+    return out
+
+
+@given(st.dictionaries(st.integers(0, 60), st.integers(0, 9), min_size=1, max_size=20),
+       st.integers(1, 8), st.integers(1, 5), st.lists(st.integers(0, 90), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_the_ring_gives_every_window_once(slides, n, slide, clock):
+    """Any slides, window lengths and clocks: the windows of all calls are those summed one by one."""
+    ring = {s * slide: v for s, v in slides.items()}
+    length, due, got, left = n * slide, min(ring) + slide, [], dict(ring)
+    for now in [*sorted(c * slide for c in clock), 200 * slide]:
+        if due is None or due > now:
+            continue
+        some, left, due = windows_ended(left, due, now, length, slide)
+        got += some
+        assert (due is None) == (not left) and (due is None or due > now)
+    assert got == _ended(ring, min(ring) + slide, 200 * slide, length, slide)
+    assert not left
+
+
+def test_arrival_windows_over_several_batches(spark):
+    """Gaps longer than a window, a null course, a null arrival, one file a batch."""
+    batches = [[(_t(10, 0, 5), "a"), (_t(10, 1, 0), "b"), (_t(10, 3, 59), "a"), (None, "a")],
+               [(_t(10, 6, 0), "a"), (_t(10, 6, 30), None), (_t(10, 6, 40), "a")],
+               [(_t(10, 30, 30), "b")], [(_t(11, 0, 0), "c")]]
+    d = _write_batches(spark, batches)
+    sums = arrival_windows(_stream(spark, d), "ts", "event_type", length_minutes=5, wait="0 seconds")
+    out = scratch_path(spark, "sink")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    run_until_done(sums.writeStream.outputMode("append").format("parquet").option("path", out), spark, "test-arrival",
+                   state_partitions=2, settings=ROCKSDB)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+    got = {(r.course_name, r.window_end): r.seconds_watched for r in spark.read.schema(sums.schema).parquet(out).collect()}
+    want, last = {}, _t(11, 0)
+    for ts, course in (r for b in batches for r in b if r[0] is not None):
+        first = ts.replace(second=0) + dt.timedelta(minutes=1)
+        for k in range(5):
+            if first + dt.timedelta(minutes=k) <= last:
+                key = (course, first + dt.timedelta(minutes=k))
+                want[key] = want.get(key, 0) + 5
+    assert got == want

@@ -22,7 +22,8 @@ from tidewater.functions.columns import ntz_to_instant
 from tidewater.sources.streams import delivered_once, file_stream
 from tidewater.sources.tables import SCHEMAS, Tables, table_path
 from tidewater.streaming import jobs as SJ
-from tidewater.streaming.runner import (default_state_partitions, latest_versions, newest_batch,
+from tidewater.streaming.arrival import arrival_windows
+from tidewater.streaming.runner import (ROCKSDB, default_state_partitions, latest_versions, newest_batch,
                                         run_on_interval, run_until_done, run_with_restarts,
                                         versioned_writer, write_version)
 
@@ -290,7 +291,7 @@ def q_stream_top_emissions(spark, sf):
 
 # ---- delivery, restart and compaction ----------------------------------------
 
-ARRIVALS = 8
+ARRIVALS, SPANS = 8, 3
 
 
 def _arriving(spark, rows, name, n=ARRIVALS):
@@ -325,6 +326,36 @@ def q_stream_delivered_once(spark, sf):
     return spark.read.schema(decoded.schema).parquet(out)
 
 
+@register("stream_arrival_windows", """
+with b as (select time_bucket(interval 1 minute, ts) as b, event_type, count(*) as n
+           from events where ts is not null group by 1, 2)
+select event_type as course_name, b - k * interval 1 minute as window_start,
+       b - k * interval 1 minute + interval 60 minute as window_end, cast(sum(n) * 5 as bigint) as seconds_watched
+from b, range(60) r(k)
+where b - k * interval 1 minute + interval 60 minute <= (select max(ts) from events) - interval 10 minute
+group by 1, 2, 3""")
+def q_stream_arrival_windows(spark, sf):
+    """The last 60 minutes every minute by time of arrival, as state with timers: a ring of slide sums
+    per course, added at the front and subtracted at the back.  The events arrive span by span in the
+    order of ``ts``; after each span the query is started again on its checkpoint.  Windows come out
+    until ten minutes before the last arrival."""
+    ev = Tables(spark, sf).events.select("ts", "event_type")
+    out, sink, checkpoint = (scratch_path(spark, f"arrival-{x}") for x in ("in", "sink", "state"))
+    remove_at_exit(spark, out)
+    remove_at_exit(spark, sink)
+    ev.limit(0).write.parquet(out)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).head()
+    stream = file_stream(spark, out, ev.schema, max_files_per_trigger=None, glob="*.parquet")
+    sums = arrival_windows(stream, "ts", "event_type", wait="10 minutes")
+    ends = [lo + (hi - lo) * i / SPANS for i in range(1, SPANS)] if lo is not None else []
+    for at, to in zip([None, *ends], [*ends, None]):
+        part = ev if at is None else ev.where(F.col("ts") >= F.lit(at))
+        (part if to is None else part.where(F.col("ts") < F.lit(to))).write.mode("append").parquet(out)
+        run_until_done(sums.writeStream.outputMode("append").format("parquet").option("path", sink), spark, "arrival",
+                       checkpoint=checkpoint, state_partitions=default_state_partitions(spark), settings=ROCKSDB)
+    return spark.read.schema(sums.schema).parquet(sink)
+
+
 class _Fault(Exception):
     """Stands for a lost driver: raised once, after a batch was written and before it is committed."""
 

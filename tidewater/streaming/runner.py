@@ -24,6 +24,10 @@ from tidewater.session import scratch_path
 
 _START_LOCK = threading.Lock()
 
+#: Settings of a query whose state has timers or lists; also the choice for any large state.
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
+           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
 
 def trigger_options(processing_time: str | None = None, available_now: bool = True) -> dict:
     """``trigger(**opts)`` arguments: a fixed interval, or run-available-then-stop."""
@@ -34,39 +38,45 @@ def trigger_options(processing_time: str | None = None, available_now: bool = Tr
 
 def start(writer: DataStreamWriter, spark: SparkSession, name: str,
           processing_time: str | None = None, checkpoint: str | None = None,
-          state_partitions: int | None = None) -> StreamingQuery:
+          state_partitions: int | None = None, settings: dict[str, str] | None = None) -> StreamingQuery:
     """Start with its own checkpoint folder and a unique name.
 
     ``state_partitions`` fixes the number of state-store partitions of the
     query's stateful operators.  Spark reads it once, when the query first
     starts, and keeps it in the checkpoint (AQE does not re-plan streams), so
     choose it for the peak state size; by default the session's
-    ``spark.sql.shuffle.partitions`` applies.
+    ``spark.sql.shuffle.partitions`` applies.  ``settings`` hold for this query
+    alone, e.g. :data:`ROCKSDB`.
     """
     ckpt = checkpoint or scratch_path(spark, f"stream-{name}")
     w = writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}").option("checkpointLocation", ckpt)
     trig = trigger_options(processing_time)
     if trig:
         w = w.trigger(**trig)
-    if not state_partitions:
+    own = dict(settings or {})
+    if state_partitions:
+        own["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if not own:
         return w.start()
     # The query copies the settings of the frame's session when it starts.  Other
     # queries of a shared session must not see the change: take the lock, put it back.
-    key, conf = "spark.sql.shuffle.partitions", writer._spark.conf
+    conf = writer._spark.conf
     with _START_LOCK:
-        previous = conf.get(key)
-        conf.set(key, str(state_partitions))
+        previous = {key: conf.get(key, None) for key in own}
         try:
+            for key, value in own.items():
+                conf.set(key, value)
             return w.start()
         finally:
-            conf.set(key, previous)
+            for key, value in previous.items():
+                conf.unset(key) if value is None else conf.set(key, value)
 
 
 def run_until_done(writer: DataStreamWriter, spark: SparkSession, name: str,
                    timeout_s: float | None = None, checkpoint: str | None = None,
-                   state_partitions: int | None = None) -> None:
+                   state_partitions: int | None = None, settings: dict[str, str] | None = None) -> None:
     """Run an ``availableNow`` query to its end; re-raise its failure."""
-    q = start(writer, spark, name, checkpoint=checkpoint, state_partitions=state_partitions)
+    q = start(writer, spark, name, checkpoint=checkpoint, state_partitions=state_partitions, settings=settings)
     try:
         q.awaitTermination(timeout_s)
         err = q.exception()
