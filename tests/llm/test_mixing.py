@@ -1,8 +1,12 @@
 """Mixing: targets, packed blocks and what is taken, against plain Python."""
 from __future__ import annotations
 
+import math
 import re
+import struct
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidewater.llm import mixing
@@ -49,7 +53,7 @@ def check(docs, **how):
         key = (sizes[s], round(want[s], 6))
         n[key] = n.get(key, 0) + 1
     for key, t in taken.items():
-        assert abs(t - n[key] * key[1]) <= n[key] * 2 * block
+        assert abs(t - n[key] * key[1]) <= n[key] * (block + 1)
     return got
 
 
@@ -103,3 +107,87 @@ def test_blocks_hold_every_source_s_words(awkward):
     assert sorted(at) == list(range(len(at)))
     size = sum(r.taken for r in mixing.mix_documents(awkward, **how).collect())
     assert sum(len(r.words) for r in mixing.mixed_blocks(awkward, **how).collect()) == size
+
+
+# ---- the whole mix once more, in plain Python ------------------------------
+
+def xx(*values) -> int:
+    """Spark's xxhash64 of (value, format) pairs: 'q' a long, 'i' an int, 's' a string; nulls are passed over."""
+    h = 42
+    for v, kind in values:
+        if v is not None:
+            raw = v.encode() if kind == "s" else struct.pack("<" + kind, v)
+            h = xxhash.xxh64(raw, seed=h % 2 ** 64).intdigest()
+    return h - 2 ** 64 if h >= 2 ** 63 else h
+
+
+def permuted(x: int, n: int, key) -> int:
+    a = max(math.ceil(math.sqrt(n)), 1)
+    b = max(-(-n // a), 1)
+    while True:
+        left, right = divmod(x, b)
+        for i in range(4):
+            left = (left + xx((right, "q"), (i, "i"), key) % a) % a
+            right = (right + xx((left, "q"), (i + 100, "i"), key) % b) % b
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def mixed(docs, block, per_shard, lanes, seed=11, share=1.5, most=2.0):
+    """({(shard, place): (source, words)}, sorted (doc_id, size, taken)) by the rules of the module."""
+    rows, sizes = [], {}
+    for r in docs:
+        found = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        key = xx((r.doc_id, "q"), (r.text, "s"))
+        rows.append((r.source, xx((key, "q"), (len(found), "q")) % lanes, key, len(found), r.doc_id, found))
+        sizes[r.source] = sizes.get(r.source, 0) + len(found)
+    want = targets(sizes, share, most)
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    slots, streams = [], {}
+    for pos, name in enumerate(names):
+        stream = streams[pos] = []                       # (word, row number) of the source in order
+        for i, row in sorted(((i, r) for i, r in enumerate(rows) if r[0] == name), key=lambda x: x[1][1:4]):
+            stream += [(w, i) for w in row[5]]
+        size, n = sizes[name], -(-sizes[name] // block)
+        passes = int(want[name] // size) if size else 0
+        rest = math.floor(want[name] - passes * size + 0.5)
+        count = passes * n + -(-rest // block)
+        for k in range(count):
+            index = permuted(k % n, n, (xx((pos, "q"), (k // n, "q"), (seed, "i")), "q"))
+            limit = rest % block if k == count - 1 and rest % block else block
+            slots.append((pos, stream[index * block:(index + 1) * block][:limit]))
+    blocks, taken = {}, [0] * len(rows)
+    for at, (pos, cut) in enumerate(slots):
+        place = permuted(at, len(slots), (seed, "q"))
+        blocks[divmod(place, per_shard)] = (names[pos], [w for w, _ in cut])
+        for _, i in cut:
+            taken[i] += 1
+    key = lambda t: tuple((x is None, x or 0) for x in t)
+    return blocks, sorted(((r[4], r[3], t) for r, t in zip(rows, taken)), key=key)
+
+
+@pytest.mark.parametrize("block, per_shard, lanes", [(8, 32, 8), (64, 16, 1024), (256, 4096, 1024)])
+def test_every_slot_and_word_against_python(awkward, block, per_shard, lanes):
+    docs = awkward.select("doc_id", "source", "text")
+    blocks, taken = mixed(docs.collect(), block, per_shard, lanes)
+    how = dict(block_words=block, blocks_per_shard=per_shard, lanes=lanes)
+    got = {(r.shard, r.place): (r.source, r.words) for r in mixing.mixed_blocks(docs, **how).collect()}
+    assert got == blocks
+    key = lambda t: tuple((x is None, x or 0) for x in t)
+    rows = mixing.mix_documents(docs, **how).select("doc_id", "size", "taken").collect()
+    assert sorted(map(tuple, rows), key=key) == taken
+
+
+def test_a_source_below_a_block_meets_its_target(spark):
+    text = lambda n, w: " ".join(f"{w}{i}" for i in range(n))
+    docs = spark.createDataFrame([(1, "a", text(200, "x")), (2, "b", text(5000, "y")), (3, "c", text(500, "z"))],
+                                 "doc_id long, source string, text string")
+    for share in (0.3, 0.8, 1.5):
+        for r in mixing.mix_documents(docs, share=share).collect():
+            assert abs(r.taken - r.target) <= (1 if r["size"] <= 256 else 256)
+
+
+def test_lanes_follow_the_rows():
+    assert mixing.lane_count(0) == mixing.lane_count(1_000_000) == 1024
+    assert mixing.lane_count(10 ** 10) == -(-10 ** 10 // 4096)

@@ -10,18 +10,21 @@
    exactly by laying the sources' quotas end to end and letting a Feistel
    permutation of all slots deal them out.
 4. A source's k-th slot reads block ``perm(k mod blocks)``, with another
-   permutation for each pass over the source.
+   permutation for each pass over the source.  The last slot takes only the
+   words that its source's target still lacks.
 5. Blocks are joined by (source, index): ``mixed_blocks`` gives the words of
    every slot of every output shard, ``mix_documents`` what they take of each
    document.
 
-No step holds a source in one task: streams are built from ``lanes`` (a hash
-of the row) per source, whose sums give each lane's offset.  All tables but
-the per-source one (a row per source) are dealt by keys that spread.
+No step holds a source in one task: streams are built from lanes (a hash of
+the row) per source, whose sums give each lane's offset; there is a lane for
+every ``ROWS_A_LANE`` rows of the table, and ``LEAST_LANES`` at least.  All
+tables but the per-source one (a row per source) are dealt by keys that spread.
 
 Defined results: null is a source of its own, last in order, "" the first;
 null and empty texts have size 0 and are never taken; equal rows are
-interchangeable; an empty table mixes to nothing; extra columns are kept.
+interchangeable; an empty table mixes to nothing; extra columns are kept.  A
+very long text is cut into as many pieces as it has blocks, in one row's task.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from tidewater.llm.common import feistel, packed, row_hash, stored, word_count,
 
 WEIGHTS = (3.0, 1.0, 2.0)
 CHUNK, MAX_TASKS = 4096, 20_000
+ROWS_A_LANE, LEAST_LANES = 4096, 1024
 
 
 def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0,
@@ -60,24 +64,27 @@ def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0,
 
 
 def quotas(src: DataFrame, block_words: int) -> DataFrame:
-    """Blocks and slots of each source, and where its slots start among all quotas."""
+    """Blocks and slots of each source, where its slots start among all quotas, and the words its
+    last slot takes (the others take their whole block)."""
     size, target, n = F.col("source_size"), F.col("target"), F.col("blocks")
     src = src.withColumn("blocks", F.ceil(size / block_words).cast("long"))
     passes = F.when(size > 0, F.floor(target / size)).otherwise(0)
-    rest = F.least(n, F.round((target - passes * size) / block_words).cast("long"))
-    src = src.withColumn("slots", (passes * n + rest).cast("long"))
+    rest = F.round(target - passes * size).cast("long")               # words beyond the whole passes
+    src = src.withColumn("slots", (passes * n + F.ceil(rest / block_words)).cast("long"))
+    src = src.withColumn("last_words", F.when(rest % block_words > 0, rest % block_words).otherwise(block_words))
     before = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     return src.withColumn("slot_start", F.coalesce(F.sum("slots").over(before), F.lit(0)))
 
 
 def draw_slots(src: DataFrame, total_slots: int, blocks_per_shard: int, seed: int) -> DataFrame:
-    """Every output slot: shard, place in it, source position, pass and block index."""
+    """Every output slot: shard, place in it, source position, pass, block index, and whether it is
+    its source's last, with the words that one takes."""
     first = F.explode(F.sequence(F.lit(0).cast("long"),
                                  F.floor((F.col("slots") - 1) / CHUNK).cast("long")))
-    chunks = (src.where("slots > 0").select("pos", "blocks", "slots", "slot_start",
+    chunks = (src.where("slots > 0").select("pos", "blocks", "slots", "slot_start", "last_words",
                                             first.alias("chunk"))
               .repartition(min(total_slots // CHUNK + 1, MAX_TASKS), "pos", "chunk"))
-    k = chunks.select("pos", "blocks", "slot_start", F.explode(F.sequence(
+    k = chunks.select("pos", "blocks", "slots", "slot_start", "last_words", F.explode(F.sequence(
         F.col("chunk") * CHUNK,
         F.least((F.col("chunk") + 1) * CHUNK, F.col("slots")) - 1)).alias("k"))
     at = feistel(F.col("slot_start") + F.col("k"), F.lit(total_slots).cast("long"),
@@ -88,7 +95,8 @@ def draw_slots(src: DataFrame, total_slots: int, blocks_per_shard: int, seed: in
     return (k.withColumn("at", at)
             .select("pos", turn.alias("turn"), index.alias("block"),
                     F.floor(F.col("at") / blocks_per_shard).cast("long").alias("shard"),
-                    F.pmod("at", F.lit(blocks_per_shard)).alias("place")))
+                    F.pmod("at", F.lit(blocks_per_shard)).alias("place"),
+                    F.when(F.col("k") == F.col("slots") - 1, F.col("last_words")).alias("most_words")))
 
 
 def shard_counts(slots: DataFrame) -> DataFrame:
@@ -102,6 +110,12 @@ def block_uses(slots: DataFrame) -> DataFrame:
     return slots.groupBy("pos", "block").agg(F.count("*").alias("uses")).hint("merge")
 
 
+def lane_count(n_rows: int) -> int:
+    """Lanes per source for a table of so many rows, whatever their sources: a lane of the largest
+    possible source still has about ``ROWS_A_LANE`` rows."""
+    return max(LEAST_LANES, -(-n_rows // ROWS_A_LANE))
+
+
 def streams(rows: DataFrame, src: DataFrame, lanes: int) -> DataFrame:
     """(source, size, key...) rows with ``pos`` and ``start``, the words before them in their source."""
     rows = rows.withColumn("lane", F.pmod(F.xxhash64("key", "size"), F.lit(lanes)))
@@ -119,17 +133,17 @@ def streams(rows: DataFrame, src: DataFrame, lanes: int) -> DataFrame:
         "p.*", "pos", (F.col("lane_start") + F.col("in_lane")).alias("start")).drop("lane", "in_lane")
 
 
-def plan(rows: DataFrame, block_words: int, blocks_per_shard: int, seed: int, lanes: int,
+def plan(rows: DataFrame, block_words: int, blocks_per_shard: int, seed: int, lanes: int | None,
          share: float, most: float):
     """(placed rows, sources, slots) for rows with ``source``, ``size`` and ``key``."""
     rows = stored(rows, "mix-rows")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     src = stored(quotas(source_targets(sizes, share, most), block_words), "mix-quotas")
-    total = src.agg(F.sum("slots")).head()[0] or 0
-    return streams(rows, src, lanes), src, draw_slots(src, total, blocks_per_shard, seed)
+    total, n_rows = (x or 0 for x in src.agg(F.sum("slots"), F.sum("n_rows")).head())
+    return streams(rows, src, lanes or lane_count(n_rows)), src, draw_slots(src, total, blocks_per_shard, seed)
 
 
-def slot_parts(docs: DataFrame, block_words: int, blocks_per_shard: int, seed: int, lanes: int,
+def slot_parts(docs: DataFrame, block_words: int, blocks_per_shard: int, seed: int, lanes: int | None,
                share: float, most: float):
     """(slots with their blocks' parts, placed rows, sources).
 
@@ -155,11 +169,25 @@ def slot_parts(docs: DataFrame, block_words: int, blocks_per_shard: int, seed: i
         F.transform(F.array(words(F.col("text"))), pieces))).alias("piece"))
     blocks = cut.groupBy("pos", F.col("piece.block").alias("block")).agg(F.array_sort(F.collect_list(
         F.struct("start", "size", "doc_id", F.col("piece.words").alias("words")))).alias("parts"))
-    return slots.hint("merge").join(blocks.hint("merge"), ["pos", "block"]), placed, src
+    filled = slots.hint("merge").join(blocks.hint("merge"), ["pos", "block"])
+    return filled.withColumn("parts", F.when(F.col("most_words") < L, first_words(L)).otherwise(F.col("parts"))), placed, src
+
+
+def first_words(block_words: Column) -> Column:
+    """The parts of a block up to its first ``most_words`` words."""
+    def at(p: Column) -> Column:                          # where in the block the part begins
+        return F.greatest(p["start"] - F.col("block") * block_words, F.lit(0))
+
+    def cut(p: Column) -> Column:
+        found = F.slice(F.split(p["words"], " "), 1, (F.col("most_words") - at(p)).cast("int"))
+        return F.struct(p["start"].alias("start"), p["size"].alias("size"), p["doc_id"].alias("doc_id"),
+                        F.array_join(found, " ").alias("words"))
+
+    return F.transform(F.filter("parts", lambda p: at(p) < F.col("most_words")), cut)
 
 
 def mixed_blocks(docs: DataFrame, block_words: int = 256, blocks_per_shard: int = 4096,
-                 seed: int = 11, lanes: int = 1024, share: float = 1.5, most: float = 2.0) -> DataFrame:
+                 seed: int = 11, lanes: int | None = None, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mix itself: shard, place, source and the words of every output slot."""
     filled, _, src = slot_parts(docs, block_words, blocks_per_shard, seed, lanes, share, most)
     text = F.array_join(F.transform("parts", lambda p: p["words"]), " ")
@@ -168,7 +196,7 @@ def mixed_blocks(docs: DataFrame, block_words: int = 256, blocks_per_shard: int
 
 
 def mix_documents(docs: DataFrame, block_words: int = 256, blocks_per_shard: int = 4096,
-                  seed: int = 11, lanes: int = 1024, share: float = 1.5,
+                  seed: int = 11, lanes: int | None = None, share: float = 1.5,
                   most: float = 2.0) -> DataFrame:
     """What the mix takes of each document: doc_id, size, source_size, target, taken.
 
@@ -187,16 +215,17 @@ def mix_documents(docs: DataFrame, block_words: int = 256, blocks_per_shard: int
 
 
 def mixed_rows(docs: DataFrame, block_words: int = 256, blocks_per_shard: int = 4096,
-               seed: int = 11, lanes: int = 1024, share: float = 1.5, most: float = 2.0) -> DataFrame:
+               seed: int = 11, lanes: int | None = None, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mixed corpus as whole rows: each document once for every use of the block it begins in.
 
     Used where the output must keep the documents whole; on average a
-    document appears target / source size times.  Equal rows count together.
+    document appears target / source size times.  A last slot counts as a use
+    if it takes at least half a block.  Equal rows count together.
     """
     keyed = packed(docs, source=F.col("source"), key=row_hash(docs), size=word_count(F.col("text")))
     rows = keyed.select("key", "source", "size")
     placed, _, slots = plan(rows, block_words, blocks_per_shard, seed, lanes, share, most)
-    uses = block_uses(slots)
+    uses = block_uses(slots.where(F.coalesce(F.col("most_words") * 2 >= block_words, F.lit(True))))
     begun = placed.where("size > 0").select(
         "key", "size", "pos", F.floor(F.col("start") / block_words).alias("block"))
     copies = (begun.join(uses, ["pos", "block"]).groupBy("key", "size")
