@@ -108,3 +108,34 @@ def test_scores_and_quantile_cut(spark):
         s = R.features(t) @ w
         assert abs(got[i].score - 1 / (1 + np.exp(-(s - cut)) * 0.7 / 0.3)) < 1e-6
         assert abs(s - cut) < 1e-9 or got[i].predicted == int(s >= cut)
+
+
+def test_every_training_document_takes_part(spark, monkeypatch):
+    """Several blocks and a label that is rarer than the blocks: each document is in a pair, and the weights are
+    the optimum over all of them; a model of fewer documents has another gradient."""
+    for n_good, n_bad in ((70, 23), (60, 3), (2, 41)):
+        monkeypatch.setattr(R, "BLOCK", 8)
+        monkeypatch.setattr(R, "BLOCKS", 2)
+        sample, truth = _sample(spark, n_good, n_bad)
+        pairs = R.preference_pairs(sample, 3, n_bad).collect()
+        assert {p.winner for p in pairs} | {p.loser for p in pairs} == set(truth)
+        w, ridge = np.array(R.fit(sample, per_document=3, ridge=0.05)), 0.05
+        d = np.array([p.a for p in pairs]) - np.array([p.b for p in pairs])
+        gradient = -(d / (1 + np.exp(d @ w))[:, None]).mean(axis=0) + ridge * w
+        assert np.linalg.norm(gradient) < 1e-5 * np.linalg.norm(d.mean(axis=0) / 2)
+
+
+def test_model_and_cut_read_all_labelled_rows(spark, monkeypatch):
+    """20,011 further labelled rows: a fit or cut on the first 20,000 by hash would miss some."""
+    seen = []
+    monkeypatch.setattr(R, "fit", lambda sample, *a, **k: seen.append(sample.count()) or [1.0] + [0.0] * (
+        len(R.FEATURES) + R.BUCKETS - 1))
+    ids = spark.range(26_000).withColumnRenamed("id", "doc_id")
+    docs = ids.selectExpr("doc_id", "repeat('a ', int(doc_id % 97)) as text")
+    labels = ids.selectExpr("doc_id", "int(doc_id % 3 > 0) as quality")
+    rows = R.document_scores(docs, labels).collect()
+    kept = [i for i in range(26_000) if zlib.crc32(str(i).encode()) % 5]
+    assert seen == [len(kept)] and len(kept) > 20_000
+    cut = np.quantile([np.log1p(i % 97) for i in kept], np.mean([i % 3 == 0 for i in kept]))
+    for r in rows[::501]:
+        assert abs(r.score - 1 / (1 + np.exp(-(np.log1p(r.doc_id % 97) - cut)) * 0.7 / 0.3)) < 1e-9
