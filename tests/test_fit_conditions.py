@@ -111,3 +111,39 @@ def test_wrong_centres_and_factors_turn_the_rows_red(spark, small_dir, monkeypat
     monkeypatch.setattr(M, "als", lambda *a, **k: als(*a, max_iter=0, **k))
     assert not any(r.fitted for r in Q.q_als_recommend(spark, small_dir).collect())
     assert all(r.score == 0 for r in Q.q_recs_with_history(spark, small_dir).where("kind = 'recommended'").collect())
+
+
+def test_grid_of_linear_models_does_not_read_the_rows_per_point(spark, points, monkeypatch):
+    """Nine points: one fit, that of the best; the metrics are those of a fit and evaluation per point."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    fits, fit = [], M.LinearRegression._fit
+    lr = M.linear_regression()
+    grid, judge = M.grid(lr, (0.01, 0.1, 0.5), (0.0, 0.5, 1.0)), RegressionEvaluator(metricName="r2")
+    monkeypatch.setattr(M.LinearRegression, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+    slim = []
+    keep = M.written
+    monkeypatch.setattr(M, "written", lambda df, name: slim.append(keep(df, name)) or slim[-1])
+    tuned = M.tune(lr, grid, judge, points, 0.8, 42)
+    assert len(fits) == 1 and len(tuned.validationMetrics) == 9
+    train, held = slim[0].where("_part < 0.8"), slim[0].where("_part >= 0.8")
+    assert train.count() + held.count() == points.count() and held.count() > 400
+    want = [judge.evaluate(lr.fit(train, p).transform(held)) for p in grid]
+    assert tuned.validationMetrics == pytest.approx(want, abs=1e-5)
+    best = want.index(max(want))
+    assert tuned.bestModel.getRegParam() == grid[best][lr.regParam]
+
+
+def test_optimality_gap_is_one_pass_over_sparse_rows(spark, monkeypatch):
+    """One-hot rows: no row per feature, and the gap of the definition."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(float(i % 7 + (i % 3)), Vectors.sparse(6, [(i % 5, 1.0), (5, float(i % 11))])) for i in range(200)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    model = M.linear_regression(reg_param=0.2).fit(df.withColumn("label", F.col("label") * 2))
+    monkeypatch.setattr(F, "posexplode", None)
+    import numpy as np
+    y, x = np.array([r[0] for r in rows]), np.array([r[1].toArray() for r in rows])
+    r = y - x @ model.coefficients.toArray() - model.intercept
+    sx, sy = x.std(axis=0, ddof=1), y.std(ddof=1)
+    w = model.coefficients.toArray() * sx / sy
+    slope = ((x - x.mean(axis=0)) * r[:, None]).mean(axis=0) / (sx * sy) - 0.2 / sy * w
+    assert M.optimality_gap(model, df) == pytest.approx(max(abs(r.mean()) / sy, np.abs(slope).max()), rel=1e-9)

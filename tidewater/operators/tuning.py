@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 MAX_FEATURES = 200                              # the aggregation has a sum per pair of features
@@ -52,10 +54,24 @@ def fold_moments(df: DataFrame, features: Sequence[str], label: str, fold: str)
     return out
 
 
+def vector_moments(df: DataFrame, features: str, label: str) -> Moments | None:
+    """Moments of a vector column and a label; None with fewer than two rows.  Sparse rows cost their own entries' pairs."""
+    both = VectorAssembler(inputCols=[features, label], outputCol="_xy").transform(df.select(features, label)).select("_xy")
+    n, own = both.agg(F.count(F.lit(1)), Summarizer.metrics("mean", "variance").summary(F.col("_xy"))).head()
+    if n < 2:
+        return None
+    std = np.sqrt(own.variance.toArray())
+    correlation = np.nan_to_num(Correlation.corr(both, "_xy").head()[0].toArray())      # NaN: a constant column
+    return Moments(n, own.mean.toArray(), correlation * np.outer(std, std))
+
+
 def elastic_net(m: Moments, reg_param: float, alpha: float, tol: float = 1e-10,
-                max_iter: int = 10_000) -> tuple[np.ndarray, float]:
-    """(coefficients, intercept): coordinate descent on the scaled covariance matrix."""
-    std = np.sqrt(np.diag(m.cov))
+                max_iter: int = 10_000, population: bool = False) -> tuple[np.ndarray, float]:
+    """(coefficients, intercept): coordinate descent on the scaled covariance matrix.
+
+    ``population``: scaled by the rows' own deviations, as the solver ``normal`` does, not the sample's as ``l-bfgs`` does.
+    """
+    std = np.sqrt(np.diag(m.cov) * ((m.n - 1) / m.n if population else 1.0))
     p, y_std = len(std) - 1, std[-1]
     w = np.zeros(p)
     if y_std > 0 and m.n > 1:
