@@ -147,3 +147,11 @@ def test_optimality_gap_is_one_pass_over_sparse_rows(spark, monkeypatch):
     w = model.coefficients.toArray() * sx / sy
     slope = ((x - x.mean(axis=0)) * r[:, None]).mean(axis=0) / (sx * sy) - 0.2 / sy * w
     assert M.optimality_gap(model, df) == pytest.approx(max(abs(r.mean()) / sy, np.abs(slope).max()), rel=1e-9)
+
+
+def test_recommendations_are_searched_once(spark, small_dir):
+    """What checks the scores and what is returned read the search's rows, they do not search again."""
+    recs, fits = Q._recommended(Q._ratings(spark, small_dir))
+    plan = recs._jdf.queryExecution().optimizedPlan().toString()
+    assert fits and "Join" not in plan and "MapPartitions" not in plan
+    assert recs.count() == 5 * recs.select("user_id").distinct().count() > 0
