@@ -101,3 +101,68 @@ def test_sparse_pivot_holds_the_cells_of_the_dense_one(spark):
                                "u int, i string, v double")
     got = {r.u: [tuple(c) for c in r.cells] for r in sparse_pivot(df, "u", "i", F.sum("v")).collect()}
     assert got == {1: [(None, 1.0), ("a", 5.0)], 2: [("b", None)], None: [("a", 1.0)]}
+
+
+def test_users_meet_only_items_that_their_cone_lets_through(monkeypatch):
+    """Items of one length in all directions: their length alone spares no user any of them."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(6000, 3))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    u = np.repeat(np.eye(3), 40, axis=0) + rng.normal(size=(120, 3)) * 0.05
+    met, meet = [], RC._Best.meet
+    monkeypatch.setattr(RC, "BLOCK", 16)
+    monkeypatch.setattr(RC._Best, "meet", lambda self, some, ids, *a: met.append(len(some) * len(ids)) or meet(self, some, ids, *a))
+    items, scores = np.full((120, 5), RC.NONE), np.full((120, 5), -np.inf)
+    groups = RC._groups(RC._directions(u), np.arange(120), 32)
+    for g in groups:
+        mine, its = items[g], scores[g]
+        RC._search(u[g], mine, its, np.arange(6000), v, np.ones(6000))
+        items[g] = mine
+    assert sorted(np.concatenate(groups)) == list(range(120)) and max(map(len, groups)) <= 32
+    assert items.tolist() == np.lexsort((np.broadcast_to(np.arange(6000), (120, 6000)), -(u @ v.T)), axis=1)[:, :5].tolist()
+    assert sum(met) < 120 * 6000 / 4
+
+
+@pytest.mark.parametrize("case", ["plain", "below zero", "one direction", "one column", "tiny", "equal"])
+def test_best_items_of_odd_factors(spark, case):
+    rng = np.random.default_rng(9)
+    u, v = rng.normal(size=(150, 4)), rng.normal(size=(200, 4)) * rng.exponential(size=(200, 1))
+    if case == "below zero":
+        u, v = np.abs(u), -np.abs(v)
+    elif case == "one direction":
+        u = np.outer(np.arange(150) - 20.0, [1.0, 2.0, 0.0, -1.0])     # one user without length, some turned round
+    elif case == "one column":
+        u, v = u[:, :1], v[:, :1]
+    elif case == "tiny":
+        u, v = u * 1e-20, v * 1e-12
+    elif case == "equal":
+        v = np.repeat(v[:10], 20, axis=0)
+    frame = lambda m: spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)],
+                                            "id bigint, features array<double>")
+    exact = np.einsum("ij,kj->ik", u, v)
+    for rows_ in (RC.top_items_for_all(frame(u), frame(v), 5, 64).collect(), RC.top_items_of(frame(u), frame(v), 5, 64).collect()):
+        got = {(r.id, r["rank"]): r for r in rows_}
+        assert len(got) == len(rows_) == 150 * 5
+        for i in range(150):
+            best = np.sort(exact[i])[::-1][:5]
+            mine = [got[i, k + 1] for k in range(5)]
+            assert len({r.item for r in mine}) == 5
+            assert [r.score for r in mine] == pytest.approx(list(best), rel=1e-9, abs=0)
+            assert [exact[i, r.item] for r in mine] == pytest.approx(list(best), rel=1e-9, abs=0)
+
+
+def test_given_users_search_is_the_models_without_a_cross_join(spark):
+    df = spark.range(3000).selectExpr("cast(id % 60 as int) as u", "cast(id * 7 % 41 as int) as i",
+                                      "cast((id * id) % 9 as double) as r").groupBy("u", "i").agg(F.max("r").alias("r"))
+    model = M.als("u", "i", "r", max_iter=3).fit(df)
+    asked = spark.createDataFrame([(0,), (50,), (50,), (999,)], "u int")
+    got = M.top_items_for_users(model, asked, "u", "i", 4)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "CartesianProduct" not in plan
+    own = model.recommendForUserSubset(asked.distinct(), 4).select("u", F.posexplode("recommendations").alias("p", "b"))
+    want = {(r.u, r.p + 1): r.b.rating for r in own.collect()}
+    assert {(r.u, r["rank"]): r.score for r in got.collect()} == pytest.approx(want, abs=1e-5) and len(want) == 8
+    assert RC.top_items_of(model.userFactors, model.itemFactors.where("false")).count() == 0
+    assert RC.top_items_of(model.userFactors.where("false"), model.itemFactors).count() == 0
+    few = RC.top_items_of(model.userFactors, model.itemFactors.limit(3), 5).groupBy("id").count().collect()
+    assert len(few) == 60 and all(r["count"] == 3 for r in few)
