@@ -155,3 +155,45 @@ def test_recommendations_are_searched_once(spark, small_dir):
     plan = recs._jdf.queryExecution().optimizedPlan().toString()
     assert fits and "Join" not in plan and "MapPartitions" not in plan
     assert recs.count() == 5 * recs.select("user_id").distinct().count() > 0
+
+
+def test_blocks_of_the_fit_follow_the_ratings(spark, monkeypatch):
+    """Ten blocks up to their size, then as many as the ratings fill: a task's share does not grow with the table."""
+    made, als = [], M.als
+    monkeypatch.setattr(M, "als", lambda *a, **k: made.append(als(*a, **k)) or made[-1])
+    ratings = spark.range(3000).selectExpr("id % 60 as u", "id * 7 % 41 as i", "cast(id * id % 9 as double) as r").groupBy(
+        "u", "i").agg(F.max("r").alias("r"))
+    n, splits = ratings.count(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    errors = []
+    for size, blocks, every in ((n, 10, 5), (n // 25 + 1, 25, 1)):
+        monkeypatch.setattr(M, "BLOCK_RATINGS", size)
+        fitted = M.rating_model(ratings, "u", "i", "r", max_iter=4)
+        learner = made.pop()
+        assert (learner.getNumUserBlocks(), learner.getNumItemBlocks(), learner.getCheckpointInterval()) == (blocks, blocks, every)
+        errors.append(M.rating_errors(fitted, "r")[0])
+        for side, many in ((fitted.model.userFactors, 60), (fitted.model.itemFactors, 41)):
+            assert side.count() == many
+            plan = side._jdf.queryExecution().executedPlan().toString()
+            assert "FileScan" in plan and "ExistingRDD" not in plan           # the fit's shuffles can go
+    assert errors[1] == pytest.approx(errors[0], rel=0.2)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == splits
+
+
+@pytest.mark.parametrize("size", [1 << 22, 300, 7])
+def test_rating_errors_by_tiles_against_numpy(spark, monkeypatch, size):
+    """One tile or many, also such without ratings: the errors of every rating, without a join on the factors."""
+    import numpy as np
+    monkeypatch.setattr(M, "TILE_RATINGS", size)
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(70, 3)).astype(np.float32), rng.normal(size=(40, 3)).astype(np.float32)
+    at = [(i, j, float((i * j) % 7)) for i in range(70) for j in range(40) if (i + 3 * j) % 4 == 0 and i < 60]
+
+    def frame(m):
+        return spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "id int, features array<float>")
+
+    numbered = spark.createDataFrame(at, "user_no int, item_no int, stars float")
+    fitted = M.RatingModel(M.Factors(frame(u), frame(v)), None, None, numbered)
+    e = [r - float(u[i].astype(float) @ v[j].astype(float)) for i, j, r in at]
+    want = np.sqrt(np.mean(np.square(e))), np.std([r for *_, r in at])
+    assert M.rating_errors(fitted, "stars") == pytest.approx(want, rel=1e-9)
+    assert M.rating_errors(fitted._replace(numbered=numbered.where("false")), "stars") == (0.0, 0.0)
