@@ -197,3 +197,22 @@ def test_rating_errors_by_tiles_against_numpy(spark, monkeypatch, size):
     want = np.sqrt(np.mean(np.square(e))), np.std([r for *_, r in at])
     assert M.rating_errors(fitted, "stars") == pytest.approx(want, rel=1e-9)
     assert M.rating_errors(fitted._replace(numbered=numbered.where("false")), "stars") == (0.0, 0.0)
+
+
+def test_every_user_is_served(spark, small_dir):
+    """No user is left out, and each gets the best items of all by the fitted factors."""
+    import numpy as np
+    ratings = Q._ratings(spark, small_dir)
+    everyone = {r.user_id for r in ratings.select("user_id").distinct().collect()}
+    got = Q.q_als_recommend(spark, small_dir).collect()
+    assert sorted(r.user_id for r in got) == sorted(everyone) and any(r.user_id % 50 for r in got)
+    assert all(r.n_items == 5 and r.fitted for r in got)
+    fitted = M.rating_model(ratings, "user_id", "item_id", "rating", max_iter=2)
+    rows = M.recommend(fitted, None, "user_id", "item_id", 5).collect()
+    keys = [{r[1]: r[0] for r in side.collect()} for side in (fitted.users, fitted.items)]
+    u, v = ({keys[at][r.id]: np.array(r.features, dtype=float) for r in side.collect()}
+            for at, side in enumerate(fitted.model))
+    assert len(rows) == 5 * len(everyone) and u.keys() == everyone
+    for r in rows:
+        assert r.score == pytest.approx(float(u[r.user_id] @ v[r.item_id]), abs=1e-5)
+        assert r.score == pytest.approx(sorted((float(u[r.user_id] @ x) for x in v.values()), reverse=True)[r["rank"] - 1], abs=1e-5)
