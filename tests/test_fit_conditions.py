@@ -216,3 +216,15 @@ def test_every_user_is_served(spark, small_dir):
     for r in rows:
         assert r.score == pytest.approx(float(u[r.user_id] @ v[r.item_id]), abs=1e-5)
         assert r.score == pytest.approx(sorted((float(u[r.user_id] @ x) for x in v.values()), reverse=True)[r["rank"] - 1], abs=1e-5)
+
+
+@pytest.mark.parametrize("query", ["als_recommend", "recommend_all_users"])
+def test_queries_of_all_users_hold_in_many_blocks(spark, small_dir, monkeypatch, query):
+    """The query's own fit follows the ratings, and its conditions hold with many blocks and tiles."""
+    made, als = [], M.als
+    monkeypatch.setattr(M, "als", lambda *a, **k: made.append(als(*a, **k)) or made[-1])
+    monkeypatch.setattr(M, "BLOCK_RATINGS", 400)
+    monkeypatch.setattr(M, "TILE_RATINGS", 500)
+    got = getattr(Q, f"q_{query}")(spark, small_dir).collect()
+    assert made[0].getNumUserBlocks() == made[0].getNumItemBlocks() > 10
+    assert len({r.user_id for r in got}) == len(got) > 100 and all(r.n_items == 5 and r[2] for r in got)
